@@ -1,0 +1,163 @@
+"""Composed jobs: ingest, quarter processing and the cleaned release."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from casewright import schemas as S
+from casewright.functions import links
+from casewright.operators import cases, dedup, projections, quality, split
+from casewright.operators import standardize as std
+from casewright.operators import vocabulary as voc
+from casewright.session import stage
+from casewright.sources import files
+from casewright.sources.tables import write_csv, write_table
+
+
+def clean_cases(tables: dict[str, DataFrame], countries: DataFrame, measured: bool = False) -> DataFrame:
+    """The cleaned demographics of a release.
+
+    Standardize, keep the newest quarter per report, the last version per case
+    and per manufacturer number, drop incomplete reports, add the case flags and
+    the duplicate flags. The three selections do not commute, so their order is
+    fixed. The selected reports feed the duplicate rules and their final join,
+    so they are staged in between.
+    """
+    drug, reac = tables["drug"], tables["reac"]
+    demo = std.std_demo(tables["demo"], countries, measured)
+    demo = dedup.latest_per_manufacturer(dedup.latest_per_case(dedup.latest_quarter(demo)))
+    demo = cases.case_flags(cases.complete_reports(demo, drug, reac), drug)
+    return std.finalize_demo(dedup.rule_based_duplicates(stage(demo, "cases"), reac, drug))
+
+
+def therapy(demo: DataFrame, ther: DataFrame) -> DataFrame:
+    """Unified therapies with their length and the time to onset."""
+    unified = projections.project(ther, "ther")
+    return cases.time_to_onset(projections.project(demo, "demo"), std.duration_days(unified))
+
+
+def write_therapy(demo: DataFrame, ther: DataFrame, out: str) -> None:
+    write_csv(therapy(demo, ther), f"{out}/ther")
+    write_csv(demo, f"{out}/demo")
+
+
+def drug_details(drug: DataFrame, dims: dict[str, DataFrame], measured: bool = False) -> DataFrame:
+    """Unified drug details with route, form, frequency and doses standardized."""
+    out = projections.project(drug, "drug_info")
+    out = std.std_route(out, dims["route"], measured)
+    out = std.std_dose_form(out, dims["dose_form"], measured)
+    out = std.std_dose_freq(out, dims["dose_freq"], measured)
+    return std.std_dose(out, dims["unit"], measured)
+
+
+def standardize_terms(tables: dict[str, DataFrame], terms: DataFrame, measured: bool = False) -> dict[str, DataFrame]:
+    """Reaction, recurrence and indication terms through the term dictionary."""
+    reac = voc.standardize_pt(tables["reac"], "pt", terms, measured)
+    return {
+        **tables,
+        "reac": voc.standardize_pt(reac, "drug_rec_act", terms, measured),
+        "indi": voc.standardize_pt(tables["indi"], "indi_pt", terms, measured),
+    }
+
+
+def release(
+    tables: dict[str, DataFrame],
+    out: str,
+    *,
+    countries: DataFrame,
+    dictionary: DataFrame,
+    terms: DataFrame,
+    hierarchy: DataFrame,
+    synonyms: DataFrame | None = None,
+    deleted: DataFrame | None = None,
+) -> None:
+    """Unified tables to the ten tables of a cleaned release under ``out``."""
+    tables = standardize_terms(tables, terms)
+    drug = stage(voc.standardize_drugs(tables["drug"], dictionary, synonyms), "drug")
+    demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
+    demo = stage(clean_cases({**tables, "drug": drug, "demo": demo}, countries), "demo")
+    onset = therapy(demo, tables["ther"])
+    final = {**tables, "drug": drug, "demo": demo, "ther": onset}
+    for name, df in split.split_tables(final, hierarchy).items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+
+
+def process_quarter(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Findings and summary of raw tables whose names are already unified."""
+    findings = quality.validation_report({k: v for k, v in tables.items() if k in S.REQUIRED})
+    return findings, quality.run_summary(tables)
+
+
+def read_drop(spark: SparkSession, raw: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
+    """Every kind a drop holds, all quarters in one frame, with the malformed-line flag."""
+    kinds = {r["kind"] for r in files.discover(spark, raw, None, folder).select("kind").distinct().collect()}
+    return {
+        kind: files.read_quarter_files(spark, raw, kind, folder=folder, flag_malformed=True)
+        for kind in S.FILE_KINDS
+        if kind in kinds
+    }
+
+
+def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
+    """Repair and convert a drop to Parquet, one table per kind, next to its file list."""
+    listing = files.manifest(spark, raw, folder)
+    write_table(listing.drop("quarter"), f"{out}/manifest")
+    for kind, df in read_drop(spark, raw, folder).items():
+        write_table(df.drop("_malformed"), f"{out}/{kind}")
+    return spark.read.parquet(f"{out}/manifest")
+
+
+def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
+    """Read all quarters, write the unified tables and return the run summary.
+
+    Lines of the wrong width are counted and go to a side table; a poor quarter
+    does not stop the others.
+    """
+    parts = []
+    for kind, df in read_drop(spark, raw, folder).items():
+        parts.append(quality.quarter_summary(df, kind))
+        good = df.filter(~F.col("_malformed"))
+        write_table(projections.project(good, kind), f"{out}/{kind}")
+        broken = df.filter("_malformed")
+        write_table(broken, f"{out}/rejected/{kind}")
+    summary = parts[0]
+    for part in parts[1:]:
+        summary = summary.unionByName(part)
+    summary.write.mode("overwrite").parquet(f"{out}/summary")
+    return spark.read.parquet(f"{out}/summary")
+
+
+def quarter_calendar(spark: SparkSession, last: str | None = None, first: str = "2004Q1") -> DataFrame:
+    """All quarters from ``first`` to the one of ``last`` (``YYYYMMDD``; today if not given)."""
+    end = dt.datetime.strptime(last, "%Y%m%d").date() if last else dt.date.today()
+    start = dt.date(int(first[:4]), int(first[5]) * 3 - 2, 1)
+    days = spark.sql(
+        "SELECT explode(sequence(CAST(:a AS DATE), CAST(:b AS DATE), INTERVAL 3 MONTH)) AS day",
+        {"a": start.isoformat(), "b": end.isoformat()},
+    )
+    return days.select(F.concat(F.year("day"), F.lit("Q"), F.quarter("day")).alias("quarter"))
+
+
+def quarters_between(df: DataFrame, column: str) -> DataFrame:
+    """Every quarter from the first to the last one a date column reaches, empty ones included."""
+    span = df.agg(F.trunc(F.min(column), "quarter").alias("a"), F.trunc(F.max(column), "quarter").alias("b"))
+    days = span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 3 MONTH"))).alias("day"))
+    return days.select(F.concat(F.year("day"), F.lit("Q"), F.quarter("day")).alias("quarter"))
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """One row per anchor target of each page."""
+    return pages.select("page_id", F.posexplode(links.hrefs(F.col("html"))).alias("position", "href"))
+
+
+def archive_links(pages: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
+    """Quarter and link of every archive the pages offer; the last link of a quarter stands."""
+    found = page_links(pages).withColumn("quarter", links.archive_quarter(F.col("href"), prefixes))
+    return (
+        found.filter(F.col("quarter").isNotNull())
+        .groupBy("quarter")
+        .agg(F.max_by("href", F.struct("page_id", "position")).alias("href"))
+    )
