@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# All signs Unicode counts as white space.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 
 def clean_text(c: Column) -> Column:
     """Trim, collapse inner white space to one blank, blank to null."""
@@ -30,7 +33,7 @@ def clean_line(c: Column) -> Column:
 
 def lookup_key(c: Column) -> Column:
     """Form in which both sides of a vocabulary lookup are compared."""
-    return F.regexp_replace(F.lower(c), r"(?U)^\s+|\s+$", "")
+    return F.lower(F.btrim(c, F.lit(BLANKS)))
 
 
 def na_tokens(c: Column, tokens: list[str]) -> Column:

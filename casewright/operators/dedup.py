@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def _number(name: str) -> Column:
-    return F.col(name).try_cast("decimal(38,0)")
+    return F.col(name).try_cast("long")
 
 
 def _first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

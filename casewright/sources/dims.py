@@ -70,27 +70,33 @@ def values_sql(rows: list[tuple], columns: tuple[str, ...]) -> str:
     return f"SELECT * FROM (VALUES {body}) AS t({', '.join(columns)})"
 
 
-def _numbered(rows: list[tuple]) -> list[tuple]:
-    return [(*row, float(i)) for i, row in enumerate(rows)]
+def _key(name: str):
+    """Routes match their exact spelling first, all other keys in folded form."""
+    key = F.col(LAYOUTS[name][0])
+    return F.trim(key) if name == "route" else lookup_key(key)
 
 
 def _finish(raw: DataFrame, name: str) -> DataFrame:
     """Clean a list of (columns, line_no): keys folded, values trimmed, last entry of a key kept."""
     key, value, *rest = LAYOUTS[name]
-    folded = F.trim(F.col(key)) if name == "route" else lookup_key(F.col(key))
-    out = keep_last(raw.select(folded.alias(key), F.trim(value).alias(value), *rest, "line_no").filter(F.col(key).isNotNull()), key)
+    out = keep_last(raw.select(_key(name).alias(key), F.trim(value).alias(value), *rest, "line_no").filter(F.col(key).isNotNull()), key)
     if name == "country":
-        out = out.withColumn(value, F.coalesce(value, F.lit("NA")))
         fixed = raw.sparkSession.sql(values_sql(COUNTRY_OVERRIDES, (key, value)))
-        return out.drop("line_no").join(F.broadcast(fixed), key, "left_anti").unionByName(fixed)
+        named = out.select(key, F.coalesce(value, F.lit("NA")).alias(value))
+        return named.join(F.broadcast(fixed), key, "left_anti").unionByName(fixed)
     if name == "unit":
         out = out.withColumn("conversion_factor", F.col("conversion_factor").try_cast("double"))
     return out if name == "route" else out.drop("line_no")
 
 
 def built_in(spark: SparkSession, name: str) -> DataFrame:
-    columns = (*LAYOUTS[name], "line_no")
-    return _finish(spark.sql(values_sql(_numbered(BUILT_IN[name]), columns)), name)
+    """A built-in list; its keys are unique as written, so it stays an inline table."""
+    key, value, *rest = LAYOUTS[name]
+    rows = BUILT_IN[name] + (COUNTRY_OVERRIDES if name == "country" else [])
+    numbered = [(*row, float(i)) for i, row in enumerate(rows)]
+    table = spark.sql(values_sql(numbered, (key, value, *rest, "line_no")))
+    out = table.select(_key(name).alias(key), value, *rest, "line_no")
+    return out if name == "route" else out.drop("line_no")
 
 
 def _read(spark: SparkSession, path: str, sep: str, columns: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from casewright import schemas as S
 from casewright.functions.text import quarter_label
 from casewright.operators.projections import rename_columns
-from casewright.operators.standardize import clean_cells
+from casewright.operators.standardize import clean_cells, drop_na_tokens
 from casewright.sources.lines import MERGED_RECORDS, split_merged_records
 
 LATIN1 = "ISO-8859-1"
@@ -84,13 +85,14 @@ def _trim_header(header: list[str]) -> list[str]:
     return header[:-1] if len(header) > 1 and header[-1] == "" else header
 
 
-def _scan(spark: SparkSession, group: HeaderGroup) -> DataFrame:
+def _scan(spark: SparkSession, group: HeaderGroup, whole_lines: bool) -> DataFrame:
+    """``whole_lines`` parses every field of a line, else a line of the wrong width goes unseen."""
     columns = [f"_{i}" for i in range(len(_trim_header(group.header)))]
     return (
         spark.read.schema(S.text_schema([*columns, "_line"]))
         .option("sep", "$").option("header", True).option("quote", "").option("escape", "")
         .option("comment", "").option("encoding", LATIN1).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_line")
+        .option("columnNameOfCorruptRecord", "_line").option("columnPruning", not whole_lines)
         .csv(group.paths)
         .select(*columns, "_line", F.col("_metadata.file_path").alias("_path"))
     )
@@ -141,20 +143,16 @@ def read_quarter_files(
     delimiter have an empty field too many, which the scan drops. Files with
     known run-together records are read as lines and repaired first.
     """
-    from casewright.operators.standardize import drop_na_tokens
-
     table = kind
     file_kind = "drug" if kind == "drug_info" else kind
     frames = []
     repair = "|".join(name for name, _, _ in rules)
     for group in header_groups(spark, discover(spark, path, file_kind, folder)):
-        import re
-
         broken = [p for p in group.paths if repair and re.search(repair, p.rsplit("/", 1)[-1], re.IGNORECASE)]
         sound = [p for p in group.paths if p not in broken]
         scans = []
         if sound:
-            scans.append(_scan(spark, HeaderGroup(group.header, sound)))
+            scans.append(_scan(spark, HeaderGroup(group.header, sound), flag_malformed))
         if broken:
             scans.append(_repaired_scan(spark, HeaderGroup(group.header, broken), rules))
         raw = reduce(DataFrame.unionByName, scans)
