@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casewright import schemas as S
+
 
 def _number(name: str) -> Column:
     return F.col(name).try_cast("long")
@@ -33,7 +35,8 @@ def latest_quarter(df: DataFrame, key: str = "primaryid", ties: str = "one") ->
     named = [c for c in ("fda_dt", "caseversion") if c in df.columns]
     order = [F.col("quarter").desc_nulls_last()]
     order += [_number(c).desc_nulls_first() if c == "fda_dt" else _number(c).desc_nulls_last() for c in named]
-    order += [F.col(c).cast("string").desc_nulls_last() for c in df.columns if c not in (key, "quarter")]
+    # Plain columns, not values derived from them: sort keys ride along through the shuffle.
+    order += [F.col(c).desc_nulls_last() for c in df.columns if c not in (key, "quarter")]
     return _first(known, [key], order)
 
 
@@ -84,20 +87,37 @@ def term_counts(df: DataFrame, term: str, key: str = "primaryid") -> DataFrame:
 ROLE_LISTS = {"ps": ["PS"], "ss": ["SS"], "ic": ["I", "C"], "suspected": ["PS", "SS"]}
 
 
-def role_counts(drug: DataFrame, key: str = "primaryid") -> DataFrame:
-    """Counted substance lists per report and role set, all from one pass over the drugs."""
-    per_term = drug.filter(F.col("substance").isNotNull()).groupBy(key, "substance").agg(
-        *[F.count_if(F.col("role_cod").isin(codes)).alias(name) for name, codes in ROLE_LISTS.items()]
+def drug_profile(drug: DataFrame, key: str = "primaryid") -> DataFrame:
+    """One row per report from one pass over the drugs.
+
+    The counted substance list of each role set (null when empty), whether any
+    drug is named, and whether any is a trial drug.
+    """
+    named = F.coalesce(~F.col("substance").isin(S.EMPTY_SUBSTANCES), F.lit(True))
+    trial = F.col("trial") if "trial" in drug.columns else F.lit(False)
+    per_term = drug.groupBy(key, "substance").agg(
+        *[F.count_if(F.col("role_cod").isin(codes)).alias(name) for name, codes in ROLE_LISTS.items()],
+        F.bool_or(trial).alias("trial"),
     )
+
+    def counted(name: str) -> Column:
+        entry = F.struct(F.col("substance").alias("term"), F.col(name).alias("n"))
+        return F.sort_array(F.collect_list(F.when(F.col("substance").isNotNull() & (F.col(name) > 0), entry))).alias(name)
+
     lists = per_term.groupBy(key).agg(
-        *[
-            F.sort_array(
-                F.collect_list(F.when(F.col(name) > 0, F.struct(F.col("substance").alias("term"), F.col(name).alias("n"))))
-            ).alias(name)
-            for name in ROLE_LISTS
-        ]
+        *[counted(name) for name in ROLE_LISTS],
+        F.bool_or(named).alias("has_drug"),
+        F.coalesce(F.bool_or("trial"), F.lit(False)).alias("has_trial"),
     )
-    return lists.select(key, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in ROLE_LISTS])
+    return lists.select(key, *[F.when(F.size(n) > 0, F.col(n)).alias(n) for n in ROLE_LISTS], "has_drug", "has_trial")
+
+
+def reaction_profile(reac: DataFrame, key: str = "primaryid") -> DataFrame:
+    """One row per report: its counted reactions and whether any is named."""
+    named = F.coalesce(~F.col("pt").isin(S.EMPTY_REACTIONS), F.lit(True))
+    counted = reac.groupBy(key, "pt").agg(F.count(F.lit(1)).alias("n"))
+    entry = F.when(F.col("pt").isNotNull(), F.struct(F.col("pt").alias("term"), "n"))
+    return counted.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("pt"), F.bool_or(named).alias("has_event"))
 
 
 def joined_terms(counted: Column, sep: str = "; ") -> Column:
@@ -111,28 +131,19 @@ def sorted_term_list(df: DataFrame, term: str, key: str = "primaryid") -> DataFr
 
 
 def role_lists(drug: DataFrame, key: str = "primaryid") -> DataFrame:
-    return role_counts(drug, key).select(key, *[joined_terms(F.col(n)).alias(n) for n in ROLE_LISTS])
+    return drug_profile(drug, key).select(key, *[joined_terms(F.col(n)).alias(n) for n in ROLE_LISTS])
 
 
 REPORT_FIELDS = ["event_dt", "sex", "reporter_country", "age_in_days", "wt_in_kgs"]
 
 
-def rule_based_duplicates(demo: DataFrame, reac: DataFrame, drug: DataFrame) -> DataFrame:
-    """Flag reports that repeat another one.
+def last_of_equals(reports: DataFrame) -> DataFrame:
+    """Ids that stay unflagged, with the rules (``_all``, ``_susp``) they pass.
 
-    ``rb_duplicates`` compares the report fields, reactions and the drug lists of
-    all roles; ``rb_duplicates_only_susp`` the reactions and suspected drugs. Of
-    equal reports the last one stays unflagged, as does a report without equals.
-    Reports without reactions are flagged. Missing fields compare as equal.
-
-    Each report contributes one key per rule, and a group is reduced to its last
-    report by a plain maximum, which combines before the shuffle.
+    ``reports`` holds the report fields and the counted lists. Each report
+    contributes one key per rule, and a group is reduced to its last report by a
+    plain maximum, which combines before the shuffle.
     """
-    reports = (
-        demo.select("primaryid", "fda_dt", *REPORT_FIELDS)
-        .join(term_counts(reac, "pt"), "primaryid")
-        .join(role_counts(drug), "primaryid", "left")
-    )
     age = F.struct(
         F.col("fda_dt").isNull().alias("open"), _number("fda_dt").alias("day"), _number("primaryid").alias("id"), "primaryid"
     )
@@ -146,12 +157,17 @@ def rule_based_duplicates(demo: DataFrame, reac: DataFrame, drug: DataFrame) ->
             )
         ).alias("k"),
     )
-    kept = (
-        keyed.groupBy(*REPORT_FIELDS, "k.rule", "k.lists")
+    # The hash only leads the sort, so that comparing whole lists is rare; groups are still formed by value.
+    lead = F.xxhash64("k.lists", *REPORT_FIELDS).alias("lead")
+    return (
+        keyed.groupBy(lead, *REPORT_FIELDS, "k.rule", "k.lists")
         .agg(F.max("age").alias("last"))
         .groupBy("last.primaryid")
         .agg(F.bool_or(F.col("rule") == "all").alias("_all"), F.bool_or(F.col("rule") == "susp").alias("_susp"))
     )
+
+
+def flag_duplicates(demo: DataFrame, kept: DataFrame) -> DataFrame:
     return (
         demo.join(kept, "primaryid", "left")
         .withColumn("rb_duplicates", ~F.coalesce("_all", F.lit(False)))
@@ -160,6 +176,22 @@ def rule_based_duplicates(demo: DataFrame, reac: DataFrame, drug: DataFrame) ->
     )
 
 
+def rule_based_duplicates(demo: DataFrame, reac: DataFrame, drug: DataFrame) -> DataFrame:
+    """Flag reports that repeat another one.
+
+    ``rb_duplicates`` compares the report fields, reactions and the drug lists of
+    all roles; ``rb_duplicates_only_susp`` the reactions and suspected drugs. Of
+    equal reports the last one stays unflagged, as does a report without equals.
+    Reports without reactions are flagged. Missing fields compare as equal.
+    """
+    reports = (
+        demo.select("primaryid", "fda_dt", *REPORT_FIELDS)
+        .join(reaction_profile(reac), "primaryid")
+        .join(drug_profile(drug), "primaryid", "left")
+    )
+    return flag_duplicates(demo, last_of_equals(reports))
+
+
 def dup_stats(df: DataFrame) -> DataFrame:
     total = F.count(F.lit(1))
     return df.agg(
