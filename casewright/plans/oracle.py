@@ -251,6 +251,9 @@ ORACLE: dict[str, str] = {
     "process_all": _with("drug_old drug_new", body=_TOTALS.format(
         f"SELECT 'drug' AS kind, quarter, count(*) AS total_rows, count(*) AS processed_rows, 0 AS invalid_dates FROM ({_DROP}) GROUP BY quarter")),
     "bronze_rows": _with("drug_old drug_new", body=f"SELECT quarter, count(*) AS n_rows FROM ({_DROP}) GROUP BY quarter"),
+    "unify_files": _with("drug_old drug_new", body=_stack("drug", _OLD_DRUG + ", CAST(NULL AS VARCHAR) AS prod_ai", _NEW_DRUG + ", prod_ai")),
+    "file_manifest": """SELECT DISTINCT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
+  CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter FROM lineitem""",
     "parquet_sink": _with("reac", body="SELECT primaryid, pt, quarter FROM reac"),
     "detect_delimiter": _with("raw_lines", """counted AS (SELECT file_name, length(value) - length(replace(value, '$', '')) + 1 AS n_fields, count(*) AS n
   FROM raw_lines GROUP BY 1, 2)""", body="SELECT file_name, '$' AS delimiter, max(n) AS n_lines FROM counted WHERE n_fields > 1 GROUP BY file_name"),

@@ -95,6 +95,13 @@ def file_manifest(s):
     return files.manifest(s.spark, path).select("file_name", "kind", "quarter").distinct()
 
 
+@query
+def unify_files(s):
+    path, out = fresh_path(s.spark, "drop"), fresh_path(s.spark, "unified")
+    _write_drop(s, path)
+    return release.unify_all(s.spark, path, out)["drug"]
+
+
 @query
 def parquet_sink(s):
     path = fresh_path(s.spark, "reac")
@@ -753,6 +760,12 @@ def summary_totals(s):
     return quality.summary_totals(quality.run_summary({k: s(k) for k in ("demo", "drug", "ther")}))
 
 
+@query
+def report_lines(s):
+    text = quality.render_report(quality.run_summary({k: s(k) for k in ("demo", "drug", "ther")}))
+    return s.spark.createDataFrame(list(enumerate(text.splitlines())), "line_no int, line string")
+
+
 def bind(fn: Callable[[Source], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(Source(spark, sf_dir))
 

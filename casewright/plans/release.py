@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +85,8 @@ def release(
     deleted: DataFrame | None = None,
 ) -> None:
     """Unified tables to the ten tables of a cleaned release under ``out``."""
-    tables = standardize_terms(tables, terms)
-    drug = stage(voc.standardize_drugs(tables["drug"], dictionary, synonyms), "drug")
+    tables = standardize_terms(tables, stage(terms, "terms"))
+    drug = stage(voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug")
     demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
     demo = stage(clean_cases({**tables, "drug": drug, "demo": demo}, countries), "demo")
     onset = therapy(demo, tables["ther"])
@@ -120,25 +121,33 @@ def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "asc
 
 
 def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
-    """Read all quarters, write the unified tables and return the run summary.
+    """Read all quarters, write the projected tables and return the run summary.
 
     Lines of the wrong width are counted and go to a side table; a poor quarter
-    does not stop the others.
+    does not stop the others. The text is parsed once and staged, as the summary
+    and both tables read it.
     """
     parts = []
     for kind, df in read_drop(spark, raw, folder).items():
-        parts.append(quality.quarter_summary(df, kind))
-        good = df.filter(~F.col("_malformed"))
-        write_table(projections.project(good, kind), f"{out}/{kind}")
-        broken = df.filter("_malformed")
-        write_table(broken, f"{out}/rejected/{kind}")
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
+        parsed = stage(df, f"parsed-{kind}")
+        parts.append(quality.quarter_summary(parsed, kind))
+        good = parsed.filter(~F.col("_malformed"))
+        for table in [kind, "drug_info"] if kind == "drug" else [kind]:
+            write_table(projections.project(good, table), f"{out}/{table}")
+        write_table(parsed.filter("_malformed"), f"{out}/rejected/{kind}")
+    summary = reduce(DataFrame.unionByName, parts)
     summary.write.mode("overwrite").parquet(f"{out}/summary")
     return spark.read.parquet(f"{out}/summary")
 
 
+def unify_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
+    """A drop to its eight unified tables, equal rows kept once."""
+    for table in S.TABLES:
+        frame = files.read_quarter_files(spark, raw, table, folder=folder)
+        write_table(projections.unify([frame], table), f"{out}/{table}")
+    return {table: spark.read.parquet(f"{out}/{table}") for table in S.TABLES}
+
+
 def quarter_calendar(spark: SparkSession, last: str | None = None, first: str = "2004Q1") -> DataFrame:
     """All quarters from ``first`` to the one of ``last`` (``YYYYMMDD``; today if not given)."""
     end = dt.datetime.strptime(last, "%Y%m%d").date() if last else dt.date.today()

@@ -90,6 +90,13 @@ def test_process_all_and_report(spark, drop, tmp_path):
     assert "## Quarter 2014Q2" in text and "| DEMO | 5 | 3 | 60.0% | 0 |" in text and "Missing columns" in text
 
 
+def test_unify_all(spark, drop, tmp_path):
+    got = release.unify_all(spark, drop, str(tmp_path / "unified"))
+    assert {k: df.count() for k, df in got.items()} == {
+        "demo": 5, "drug": 3, "drug_info": 3, "indi": 0, "outc": 0, "reac": 0, "rpsr": 0, "ther": 0}
+    assert all(set(df.columns) == set(S.TABLES[k]) for k, df in got.items())
+
+
 def test_bronze(spark, drop, tmp_path):
     out = str(tmp_path / "bronze")
     assert release.to_bronze(spark, drop, out).count() == 4
