@@ -142,10 +142,13 @@ def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "a
 
 def unify_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
     """A drop to its eight unified tables, equal rows kept once."""
+    unified = {}
     for table in S.TABLES:
-        frame = files.read_quarter_files(spark, raw, table, folder=folder)
-        write_table(projections.unify([frame], table), f"{out}/{table}")
-    return {table: spark.read.parquet(f"{out}/{table}") for table in S.TABLES}
+        df = projections.unify([files.read_quarter_files(spark, raw, table, folder=folder)], table)
+        write_table(df, f"{out}/{table}")
+        # With its schema named, a table no file had rows for reads as empty.
+        unified[table] = spark.read.schema(df.schema).parquet(f"{out}/{table}")
+    return unified
 
 
 def quarter_calendar(spark: SparkSession, last: str | None = None, first: str = "2004Q1") -> DataFrame:
