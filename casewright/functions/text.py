@@ -47,14 +47,14 @@ def quarter_label(c: Column) -> Column:
     Four-digit years are taken as they are, two-digit years above 50 belong to
     the last century.
     """
-    year = F.regexp_extract(c, r"(?i)(\d{4}|\d{2})q([1-4])(?!\d)", 1)
-    number = F.regexp_extract(c, r"(?i)(\d{4}|\d{2})q([1-4])(?!\d)", 2)
+    token = F.regexp_extract(c, r"(?i)(\d{4}|\d{2})q[1-4](?!\d)", 0)
+    year = F.substring_index(F.upper(token), "Q", 1)
     century = (
         F.when(F.length(year) == 4, F.lit(""))
         .when(year.try_cast("int") > 50, F.lit("19"))
         .otherwise(F.lit("20"))
     )
-    return F.when(number != "", F.concat(century, year, F.lit("Q"), number))
+    return F.when(token != "", F.concat(century, F.upper(token)))
 
 
 def valid_quarter(c: Column, first_year: int = 2004) -> Column:

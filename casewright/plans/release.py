@@ -103,12 +103,9 @@ def process_quarter(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]
 
 def read_drop(spark: SparkSession, raw: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
     """Every kind a drop holds, all quarters in one frame, with the malformed-line flag."""
-    kinds = {r["kind"] for r in files.discover(spark, raw, None, folder).select("kind").distinct().collect()}
-    return {
-        kind: files.read_quarter_files(spark, raw, kind, folder=folder, flag_malformed=True)
-        for kind in S.FILE_KINDS
-        if kind in kinds
-    }
+    groups = files.header_groups(spark, files.discover(spark, raw, None, folder))
+    held = {g.kind for g in groups}
+    return {k: files.read_groups(spark, groups, k, flag_malformed=True) for k in S.FILE_KINDS if k in held}
 
 
 def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
@@ -142,9 +139,10 @@ def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "a
 
 def unify_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
     """A drop to its eight unified tables, equal rows kept once."""
+    groups = files.header_groups(spark, files.discover(spark, raw, None, folder))
     unified = {}
     for table in S.TABLES:
-        df = projections.unify([files.read_quarter_files(spark, raw, table, folder=folder)], table)
+        df = projections.unify([files.read_groups(spark, groups, table)], table)
         write_table(df, f"{out}/{table}")
         # With its schema named, a table no file had rows for reads as empty.
         unified[table] = spark.read.schema(df.schema).parquet(f"{out}/{table}")

@@ -21,11 +21,14 @@ HEADER_BATCH = 64
 
 def logical_name(path: Column) -> Column:
     """Name of the ``.txt`` a path belongs to: the file itself, or the folder of its part files."""
-    return F.regexp_extract(path, r"(?i)/([^/]+\.txt)(?:/[^/]+)?$", 1)
+    name = F.substring_index(path, "/", -1)
+    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(F.lower(name).startswith("part-") & F.lower(parent).endswith(".txt"), parent).otherwise(name)
 
 
 def logical_path(path: Column) -> Column:
-    return F.regexp_extract(path, r"(?i)^(.*/[^/]+\.txt)(?:/[^/]+)?$", 1)
+    name = F.substring_index(path, "/", -1)
+    return F.when(logical_name(path) == name, path).otherwise(F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1))
 
 
 def file_quarter(path: Column) -> Column:
@@ -45,7 +48,7 @@ def discover(spark: SparkSession, path: str, kind: str | None = None, folder: st
     )
     name = logical_name(F.col("path"))
     kinds = "|".join([kind] if kind else S.FILE_KINDS)
-    out = listed.filter(name.rlike(f"(?i)^({kinds})") & ~name.rlike("(?i)stat|size"))
+    out = listed.filter(name.rlike(rf"(?i)^({kinds}).*\.txt$") & ~name.rlike("(?i)stat|size"))
     if folder:
         out = out.filter(F.col("path").rlike(f"(?i)/{folder}/"))
     return out.select(
@@ -56,28 +59,36 @@ def discover(spark: SparkSession, path: str, kind: str | None = None, folder: st
 
 @dataclass(frozen=True)
 class HeaderGroup:
-    """Files that share one header line and may share one scan."""
+    """Files of one kind that share one header line and may share one scan."""
 
+    kind: str
     header: list[str]
     paths: list[str]
 
 
 def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
-    """Group files by header line.
+    """Group files by kind and header line.
 
     One scan takes the header of its first file for all, so files of different
     layout must not share one. Only the first line of each logical file is read;
     their number is kinds times quarters.
     """
-    logical = files.filter("length > 0").groupBy(logical_path(F.col("path")).alias("path")).agg(F.min("path").alias("first"))
-    todo = [(r["path"], r["first"]) for r in logical.orderBy("path").collect()]
-    grouped: dict[str, list[str]] = {}
+    logical = (
+        files.filter("length > 0").groupBy("kind", logical_path(F.col("path")).alias("path")).agg(F.min("path").alias("first"))
+    )
+    todo = [(r["kind"], r["path"], r["first"]) for r in logical.collect()]
+    grouped: dict[tuple[str, str], list[str]] = {}
     for start in range(0, len(todo), HEADER_BATCH):
-        batch = todo[start : start + HEADER_BATCH]
-        heads = [spark.read.text(first).limit(1).select(F.lit(path).alias("path"), "value") for path, first in batch]
+        heads = [
+            spark.read.text(first).limit(1).select(F.lit(kind).alias("kind"), F.lit(path).alias("path"), "value")
+            for kind, path, first in todo[start : start + HEADER_BATCH]
+        ]
         for row in reduce(DataFrame.unionByName, heads).collect():
-            grouped.setdefault(row["value"].rstrip("\r\n"), []).append(row["path"])
-    return [HeaderGroup([h.strip().strip("$").strip() for h in line.split("$")], paths) for line, paths in grouped.items()]
+            grouped.setdefault((row["kind"], row["value"].rstrip("\r\n")), []).append(row["path"])
+    return [
+        HeaderGroup(kind, [h.strip().strip("$").strip() for h in line.split("$")], sorted(paths))
+        for (kind, line), paths in sorted(grouped.items())
+    ]
 
 
 def _trim_header(header: list[str]) -> list[str]:
@@ -125,36 +136,35 @@ def _malformed(width: int) -> Column:
     return F.col("_line").isNotNull() & parsed & ((F.size(fields) < width) | (F.array_join(surplus, "") != ""))
 
 
-def read_quarter_files(
+def read_groups(
     spark: SparkSession,
-    path: str,
+    groups: list[HeaderGroup],
     kind: str,
     *,
-    folder: str | None = "ascii",
     clean: bool = True,
     na_values: list[str] | None = None,
     rules: list[tuple[str, str, str]] = MERGED_RECORDS,
     flag_malformed: bool = False,
     source_file: bool = False,
 ) -> DataFrame:
-    """All files of one kind as one text frame with unified names and a ``quarter``.
+    """The groups of one kind as one text frame with unified names and a ``quarter``.
 
     One scan per header layout, united by name. Legacy lines that end in the
     delimiter have an empty field too many, which the scan drops. Files with
     known run-together records are read as lines and repaired first.
     """
-    table = kind
-    file_kind = "drug" if kind == "drug_info" else kind
     frames = []
     repair = "|".join(name for name, _, _ in rules)
-    for group in header_groups(spark, discover(spark, path, file_kind, folder)):
+    for group in groups:
+        if group.kind != ("drug" if kind == "drug_info" else kind):
+            continue
         broken = [p for p in group.paths if repair and re.search(repair, p.rsplit("/", 1)[-1], re.IGNORECASE)]
         sound = [p for p in group.paths if p not in broken]
         scans = []
         if sound:
-            scans.append(_scan(spark, HeaderGroup(group.header, sound), flag_malformed))
+            scans.append(_scan(spark, HeaderGroup(group.kind, group.header, sound), flag_malformed))
         if broken:
-            scans.append(_repaired_scan(spark, HeaderGroup(group.header, broken), rules))
+            scans.append(_repaired_scan(spark, HeaderGroup(group.kind, group.header, broken), rules))
         raw = reduce(DataFrame.unionByName, scans)
         header = _trim_header(group.header)
         extra = {"quarter": file_quarter(F.col("_path"))}
@@ -166,13 +176,20 @@ def read_quarter_files(
         shaped = raw.select(*positions, *[v.alias(k) for k, v in extra.items()])
         # Columns of one header may repeat; the reader blanks to null before they merge.
         shaped = clean_cells(shaped) if clean else shaped
-        frames.append(rename_columns(shaped, S.ERA_NAMES[table], [*header, *extra]))
+        frames.append(rename_columns(shaped, S.ERA_NAMES[kind], [*header, *extra]))
     if not frames:
-        return spark.createDataFrame([], S.text_schema([*S.TABLES[table], "quarter"] if "quarter" not in S.TABLES[table] else S.TABLES[table]))
+        columns = S.TABLES[kind]
+        return spark.createDataFrame([], S.text_schema(columns if "quarter" in columns else [*columns, "quarter"]))
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return drop_na_tokens(out, na_values) if na_values else out
 
 
+def read_quarter_files(spark: SparkSession, path: str, kind: str, *, folder: str | None = "ascii", **options) -> DataFrame:
+    """All files of one kind below a path; see :func:`read_groups` for the options."""
+    found = discover(spark, path, "drug" if kind == "drug_info" else kind, folder)
+    return read_groups(spark, header_groups(spark, found), kind, **options)
+
+
 def manifest(spark: SparkSession, path: str, folder: str | None = "ascii") -> DataFrame:
     """The list of input files as a table."""
     return discover(spark, path, None, folder)
