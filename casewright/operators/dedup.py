@@ -35,25 +35,24 @@ def latest_quarter(df: DataFrame, key: str = "primaryid", ties: str = "one") ->
     named = [c for c in ("fda_dt", "caseversion") if c in df.columns]
     order = [F.col("quarter").desc_nulls_last()]
     order += [_number(c).desc_nulls_first() if c == "fda_dt" else _number(c).desc_nulls_last() for c in named]
-    # Plain columns, not values derived from them: sort keys ride along through the shuffle.
-    order += [F.col(c).desc_nulls_last() for c in df.columns if c not in (key, "quarter")]
-    return _first(known, [key], order)
+    return _first(known, [key], order + _rest(df, [key, "quarter"]))
 
 
-def _version_order(df: DataFrame) -> list[Column]:
-    order = [_number("fda_dt").desc_nulls_first()]
-    if "caseversion" in df.columns:
-        order.append(_number("caseversion").desc_nulls_last())
-    return order + [
-        F.col("quarter").desc_nulls_last(),
-        _number("primaryid").desc_nulls_last(),
-        F.col("primaryid").desc_nulls_last(),
-    ]
+def _rest(df: DataFrame, used: list[str]) -> list[Column]:
+    """All other columns, so that equal dates and ids still give the same row on every run.
+
+    Plain columns, not values derived from them: they ride along through the shuffle anyway.
+    """
+    return [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
 
 
 def latest_per_case(df: DataFrame) -> DataFrame:
     """Last version of each case; null case ids are dropped."""
-    return _first(df.filter(F.col("caseid").isNotNull()), ["caseid"], _version_order(df))
+    order = [_number("fda_dt").desc_nulls_first()]
+    if "caseversion" in df.columns:
+        order.append(_number("caseversion").desc_nulls_last())
+    order += [F.col("quarter").desc_nulls_last(), _number("primaryid").desc_nulls_last()]
+    return _first(df.filter(F.col("caseid").isNotNull()), ["caseid"], order + _rest(df, ["caseid", "quarter"]))
 
 
 def latest_per_manufacturer(df: DataFrame) -> DataFrame:
@@ -62,9 +61,9 @@ def latest_per_manufacturer(df: DataFrame) -> DataFrame:
     Reports without the key skip the shuffle, or they would pile up in one task.
     """
     keyed = F.col("mfr_num").isNotNull() & F.col("mfr_sndr").isNotNull()
-    order = [_number("fda_dt").desc_nulls_first(), F.col("quarter").desc_nulls_last(),
-             _number("primaryid").desc_nulls_last(), F.col("primaryid").desc_nulls_last()]
-    return _first(df.filter(keyed), ["mfr_num", "mfr_sndr"], order).unionByName(df.filter(~keyed))
+    order = [_number("fda_dt").desc_nulls_first(), F.col("quarter").desc_nulls_last(), _number("primaryid").desc_nulls_last()]
+    last = _first(df.filter(keyed), ["mfr_num", "mfr_sndr"], order + _rest(df, ["mfr_num", "mfr_sndr", "quarter"]))
+    return last.unionByName(df.filter(~keyed))
 
 
 def drop_nullified(df: DataFrame, deleted: DataFrame) -> DataFrame:

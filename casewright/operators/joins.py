@@ -30,8 +30,11 @@ def salted_join(
     """Equi-join that spreads every key of ``big`` over ``salts`` tasks.
 
     ``small`` is repeated once per salt, so any salt value finds all its matches.
+    The salt comes from the row's own values: a task that is run again after a
+    lost executor sends each row where the first run sent it.
     """
-    left = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    hashable = [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

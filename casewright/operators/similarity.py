@@ -7,8 +7,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewright.operators.joins import salted_join
-
 SMALL_GROUP = 64
 
 
@@ -78,4 +76,4 @@ def similarity_filter(
         large = sizes.filter(F.col("_distinct") > small_group)
         kept = kept.unionByName(_in_small_groups(copies.join(small, "_key", "left_semi"), need))
         kept = kept.unionByName(_in_large_groups(copies.join(large, "_key", "left_semi"), need, n))
-    return salted_join(keyed, kept.distinct(), ["_row"], "left_semi").select(*df.columns)
+    return keyed.join(kept.distinct(), "_row", "left_semi").select(*df.columns)
