@@ -66,6 +66,22 @@ def latest_per_manufacturer(df: DataFrame) -> DataFrame:
     return last.unionByName(df.filter(~keyed))
 
 
+SELECTION_KEYS = ["primaryid", "caseid", "caseversion", "fda_dt", "quarter", "mfr_num", "mfr_sndr"]
+
+
+def select_reports(demo: DataFrame) -> DataFrame:
+    """Newest quarter per report, then last version per case, then per manufacturer number.
+
+    The three selections do not commute, so their order is fixed. After the first
+    one the report id is unique, so the other two move only the key columns, and
+    their surviving ids pick the full rows where the first one left them: whole
+    rows are shuffled once, and stay partitioned by report for the joins to come.
+    """
+    newest = latest_quarter(demo)
+    last = latest_per_manufacturer(latest_per_case(newest.select(*SELECTION_KEYS)))
+    return newest.join(last.select("primaryid"), "primaryid", "left_semi")
+
+
 def drop_nullified(df: DataFrame, deleted: DataFrame) -> DataFrame:
     """Reports whose case is not on the list of deleted cases."""
     return df.join(deleted.select("caseid").distinct(), "caseid", "left_anti")

@@ -21,19 +21,17 @@ from casewright.sources.tables import write_csv, write_table
 def clean_cases(tables: dict[str, DataFrame], countries: DataFrame, measured: bool = False) -> DataFrame:
     """The cleaned demographics of a release.
 
-    Keep the newest quarter per report, the last version per case and per
-    manufacturer number, drop incomplete reports, standardize, add the case flags
-    and the duplicate flags. The three selections do not commute, so their order
-    is fixed. Standardization looks at one row at a time, so only selected rows
-    go through it.
+    Select the current reports, drop incomplete ones, standardize, add the case
+    flags and the duplicate flags. Standardization looks at one row at a time, so
+    only selected rows go through it.
 
     Drugs and reactions, the largest tables, are each read and shuffled once, to
     one row per report that serves completeness, flags and duplicate rules. The
     joined reports feed those rules and the final join, so they are staged.
     """
-    demo = dedup.latest_per_manufacturer(dedup.latest_per_case(dedup.latest_quarter(tables["demo"])))
     reports = (
-        demo.join(dedup.reaction_profile(tables["reac"]).filter("has_event"), "primaryid")
+        dedup.select_reports(tables["demo"])
+        .join(dedup.reaction_profile(tables["reac"]).filter("has_event"), "primaryid")
         .join(dedup.drug_profile(tables["drug"]).filter("has_drug"), "primaryid")
         .withColumn("premarketing", F.col("has_trial"))
         .withColumn("literature", F.col("lit_ref").isNotNull())
