@@ -59,3 +59,50 @@ def all_pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: i
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Byte tables: A-Z to lower case, and white space, or everything but letters, digits and non-ASCII, to a blank.
+BY_SPACE = bytes(32 if c in (9, 10, 11, 12, 13) else c + 32 if 65 <= c <= 90 else c for c in range(256))
+BY_SIGN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_BASE = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base modulo 2**64 and of its inverse, ``count`` at least."""
+    if len(_powers[0]) < count:
+        size = max(count, 2 * len(_powers[0]))
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[0], _powers[1]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values (a bijection)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def running_hash(chars: np.ndarray) -> np.ndarray:
+    """Sums whose differences, shifted back, hash any substring: see ``span_hash``."""
+    sums = np.empty(len(chars) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * powers(len(chars))[0][: len(chars)], out=sums[1:])
+    return sums
+
+
+def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((sums[end] - sums[start]) * powers(len(sums))[1][start])
+
+
+def word_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of all texts in order, and the number of words of each text."""
+    chars = np.frombuffer((b" ".join(texts) + b" ").translate(table), dtype=np.uint8)
+    blank = chars == 32
+    before = np.concatenate([[True], blank[:-1]])
+    starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+    bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    return span_hash(running_hash(chars), starts, ends), np.diff(np.searchsorted(starts, bounds))

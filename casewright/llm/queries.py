@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import session
-from casewright.llm import bpe, sharding, token_files, toxicity, url_filters
+from casewright.llm import bpe, decontaminate, ppm, sharding, token_files, toxicity, url_filters
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -30,6 +30,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = ppm.score(docs, ppm.training_fold(docs))
+    return scored.select("doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.tune(spark)
     ids = token_files.tokenize(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID)
@@ -54,8 +61,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_distinct(F.col("spans.item"))
+    hits = decontaminate.hit_words()
+    return found.select(
+        "doc_id", "n_words", hits.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(items), ","), 256).alias("items_sha256"), (hits > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_toxicity, op3_token_files, op4_bpe, op6_url_filters, op8_sharding)
+    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op8_sharding, op9_decontamination)
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
