@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import session
-from casewright.llm import bpe, decontaminate, ppm, sharding, token_files, toxicity, url_filters
+from casewright.llm import bpe, decontaminate, neighbours, ppm, sharding, token_files, toxicity, url_filters
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -57,6 +57,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -72,7 +77,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op8_sharding, op9_decontamination)
+    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination)
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
