@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import session
-from casewright.llm import bpe, decontaminate, neighbours, ppm, sharding, token_files, toxicity, url_filters
+from casewright.llm import bpe, decontaminate, neighbours, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -76,8 +76,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination)
+    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination, op10_suffix_dedup)
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
