@@ -230,8 +230,8 @@ def decode(df: DataFrame, path: str) -> DataFrame:
     return df.select("doc_id", "ids").mapInArrow(run, f"doc_id {_kind(df)}, text string")
 
 
-def round_trip(df: DataFrame, path: str) -> DataFrame:
-    """Encode, then decode from the ids, and digest both: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
+def round_trip(df: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """Encode, then decode from the ids, and digest both: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in all_pieces(batches):
@@ -242,8 +242,11 @@ def round_trip(df: DataFrame, path: str) -> DataFrame:
                 listed.append(hashlib.sha256(b",".join(map(own.decimal.__getitem__, some.tolist()))).hexdigest())
                 decoded.append(hashlib.sha256(own.decode(some).encode()).hexdigest())
                 first = last
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(listed, pa.string()), pa.array(decoded, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return documents(df, "doc_id", "text").mapInArrow(run, f"doc_id {_kind(df)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(sizes), "ids_sha256": pa.array(listed, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
+            if with_ids:
+                bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                columns["ids"] = pa.ListArray.from_arrays(bounds, pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    schema = f"doc_id {_kind(df)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return documents(df, "doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)

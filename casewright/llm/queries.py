@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import session
-from casewright.llm import bpe, decontaminate, neighbours, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
+from casewright.llm import bpe, decontaminate, jaccard_join, neighbours, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -52,6 +52,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    return jaccard_join.link(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, percent=90))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
@@ -82,7 +87,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination, op10_suffix_dedup)
+    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op5_jaccard_join, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination, op10_suffix_dedup)
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)

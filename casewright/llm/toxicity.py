@@ -161,3 +161,15 @@ def score(documents_df: DataFrame, model: Model, config: Config = Config()) -> D
 
     kind = documents_df.schema["doc_id"].dataType.simpleString()
     return documents(documents_df, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+
+
+def keep_clean(df: DataFrame, model: Model, config: Config = Config()) -> DataFrame:
+    """The rows of ``df`` that score below 0.5, all columns unchanged."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+    bits = config.bits
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in all_pieces(batches):
+            yield batch.filter(pa.array(logits(text_list(batch.column("text")), held.value, bits) < 0))
+
+    return df.mapInArrow(run, df.schema)
