@@ -106,3 +106,28 @@ def word_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarra
     starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
     bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     return span_hash(running_hash(chars), starts, ends), np.diff(np.searchsorted(starts, bounds))
+
+
+BITMAP_BITS = 26
+
+
+def possible(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose hash ``key`` may be among ``keys``; run before a join that shuffles long rows.
+
+    The bitmap sent to all tasks has ``2 ** BITMAP_BITS`` bits, however many keys
+    there are; a full one only lets more rows through.
+    """
+    spot = F.pmod(F.col(key), F.lit(1 << BITMAP_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+    words = keys.select((spot / 64).cast("int").alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << BITMAP_BITS - 6, dtype=np.int64)
+    bitmap[words["at"].to_numpy()] = words["bits"].to_numpy()
+    held = df.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(key).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
+            there = held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+            yield batch.filter(pa.array(there.astype(bool)))
+
+    return df.mapInArrow(run, df.schema)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewright.llm.common import BY_SPACE, all_pieces, mix, text_list, word_hashes
+from casewright.llm.common import BY_SPACE, all_pieces, mix, possible, text_list, word_hashes
 from casewright.llm.graph import components
 from casewright.session import stage
 
@@ -263,7 +263,7 @@ def _verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule)
     named = sets.filter("cls IS NOT NULL").groupBy("cls").agg(F.min(F.struct("h", "nb")).alias("t"), F.first("n").alias("n"), F.first("point").alias("point"))
     members = clusters.withColumnsRenamed({"node": "cls", "label": "cluster"}).join(named, "cls").select("cls", "cluster", "n", "point", "t.h", "t.nb")
     members = stage(members, "cluster_members")
-    texts = docs.groupBy("h", "nb").agg(F.first("text").alias("text")).join(members, ["h", "nb"]).drop("h", "nb")
+    texts = possible(docs.select("h", "nb", "text"), members, "h").groupBy("h", "nb").agg(F.first("text").alias("text")).join(members, ["h", "nb"]).drop("h", "nb")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("members"))
     dealt = _blocked(texts, "cluster", sizes).select("cluster", "i", "j", "cls", "n", "point", "text")
     dealt = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")

@@ -37,10 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casewright.llm.common import all_pieces, mix, running_hash, span_hash, text_list
+from casewright.llm.common import all_pieces, mix, possible, running_hash, span_hash, text_list
 from casewright.session import fresh_path, stage
 
 LENGTH, GRAM = 400, 32
+PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per byte
 BATCHES = 3
 
 
@@ -109,7 +110,7 @@ def _long(values: np.ndarray) -> pa.Array:
 def entries(df: DataFrame, length: int, batches: int) -> DataFrame:
     """``batch, key, ctx, n``: the sorted-out entries of every batch of texts."""
     def run(batch_rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in all_pieces(batch_rows):
+        for batch in all_pieces(batch_rows, limit=PIECE):
             runs = Runs.of(text_list(batch.column("text")), length)
             number = (np.array(batch.column("h").to_numpy(zero_copy_only=False)).view(np.uint64) % np.uint64(batches)).astype(np.int32)[runs.text]
             for key in (runs.before, runs.after):
@@ -177,7 +178,7 @@ def _contexts(repeated: DataFrame) -> DataFrame:
 
 def _runs(df: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=PIECE):
             runs = Runs.of(text_list(batch.column("text")), length)
             at = pa.array(runs.text)
             yield pa.RecordBatch.from_arrays(
@@ -198,7 +199,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
     half = length // 2
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=PIECE):
             hashes, contexts, places, single = [], [], [], []
             for text, asked in zip(text_list(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
                 sums = running_hash(np.frombuffer(text, dtype=np.uint8))
@@ -268,7 +269,8 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
     wanted = asked.select("h", "nb", F.lit(None).cast("struct<first:int,last:int>").alias("span"), F.struct("ctx", "anchor", "first", "last", "whole", "before", "after").alias("ask"))
     # At most a few entries per run of a text; equal ones are gathered once.
     info = whole.unionByName(wanted).groupBy("h", "nb").agg(F.collect_set("span").alias("spans"), F.collect_set("ask").alias("asked"))
-    texts = stage(_texts(df).groupBy("h", "nb").agg(F.first("text").alias("text")).join(info, ["h", "nb"]), "repeated_texts")
+    info = stage(info, "repeated_info")
+    texts = stage(possible(_texts(df), info, "h").groupBy("h", "nb").agg(F.first("text").alias("text")).join(info, ["h", "nb"]), "repeated_texts")
 
     alike = Window.partitionBy("pk")
     windows = _windows(texts.filter(F.size("asked") > 0), length)
@@ -278,7 +280,7 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
     joined = texts.select("h", "nb", "text", "spans").join(more, ["h", "nb"], "left")
 
     def run(batch_rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in all_pieces(batch_rows):
+        for batch in all_pieces(batch_rows, limit=PIECE):
             hs, nbs, gone, kept = [], [], [], []
             rows = zip(text_list(batch.column("text")), batch.column("h").to_pylist(), batch.column("nb").to_pylist(), batch.column("spans").to_pylist(), batch.column("more").to_pylist(), strict=True)
             for text, h, nb, spans, others in rows:
