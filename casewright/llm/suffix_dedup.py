@@ -45,6 +45,11 @@ PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per
 BATCHES = 3
 
 
+def group_ends(first: np.ndarray, count: int) -> np.ndarray:
+    """Last places of groups that begin at ``first`` among ``count`` places; none for no group."""
+    return np.append(first[1:], count)[: len(first)] - 1
+
+
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by running minima from both ends of blocks."""
     count = len(values) - width + 1
@@ -88,7 +93,7 @@ class Runs:
         head = np.ones(len(window), dtype=bool)
         head[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
         at = np.flatnonzero(head)
-        first, last, anchor = window[at], window[np.concatenate([at[1:], [len(window)]]) - 1], anchor[at]
+        first, last, anchor = window[at], window[group_ends(at, len(window))], anchor[at]
         text = np.searchsorted(ends, first, side="right")
         context = span_hash(sums, first, last + length)
         left, right = anchor - first >= half, anchor - last < half
@@ -214,13 +219,15 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
             if not hashes:
                 continue
             h, ctx, low, alone = map(np.concatenate, (hashes, contexts, places, single))
+            if not len(h):
+                continue
             order = np.lexsort((ctx, h))
             h, ctx, low, alone = h[order], ctx[order], low[order], alone[order]
             start = np.ones(len(h), dtype=bool)
             start[1:] = h[1:] != h[:-1]
             group = np.cumsum(start) - 1
             # A group with several contexts repeats here.
-            kinds = np.bincount(group[1:][(ctx[1:] != ctx[:-1]) & ~start[1:]], minlength=group[-1] + 1 if len(group) else 0) + 1
+            kinds = np.bincount(group[1:][(ctx[1:] != ctx[:-1]) & ~start[1:]], minlength=group[-1] + 1) + 1
             settled = kinds[group] > 1
             done = np.flatnonzero(settled & alone)
             done = done[np.lexsort((low[done], ctx[done]))]
@@ -228,7 +235,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
             head = np.ones(len(done), dtype=bool)
             head[1:] = (c[1:] != c[:-1]) | (p[1:] > p[:-1] + 1)
             first = np.flatnonzero(head)
-            last = np.concatenate([first[1:], [len(done)]]).astype(np.int64) - 1
+            last = group_ends(first, len(done))
             spread = mix(c[first].view(np.uint64) + p[first].astype(np.uint64))
             open_ = np.flatnonzero(start)
             for pk, ctxs, lows, highs, flag in ((spread, c[first], p[first], p[last], True), (h[open_], ctx[open_], low[open_], low[open_], False)):
