@@ -1,7 +1,8 @@
 """Documents whose sets of word shingles overlap by a given share, through R-trees of count vectors.
 
-Shingles are hashed into ``GROUPS`` groups; a set's point has the number of its
-shingles in each. Two sets share at most the sum over the groups of the smaller
+Shingles are hashed into groups; a set's point has the number of its shingles in
+each. Larger sets need more groups, as chance evens out counts (``Rule.groups``);
+a point is folded to fewer groups where it meets smaller sets. Two sets share at most the sum over the groups of the smaller
 count, so an R-tree over points finds the sets that may overlap enough: a box is
 entered if the sum of ``min(count, upper edge)`` reaches the overlap needed with
 its smallest set. Pairs that survive are verified on their shingles.
@@ -42,7 +43,7 @@ from casewright.llm.common import BY_SPACE, all_pieces, mix, possible, text_list
 from casewright.llm.graph import components
 from casewright.session import stage
 
-GROUPS, LEAF, BLOCK = 32, 32, 512
+LEAF, BLOCK = 32, 512
 FREQUENCY_BITS = 18
 
 
@@ -53,6 +54,15 @@ class Rule:
     words: int
     percent: int
 
+    @property
+    def spread(self) -> float:
+        """Groups wanted per shingle: unlike sets then differ by half as much again as linked ones may."""
+        return 10 * ((100 - self.percent) / (100 + self.percent)) ** 2
+
+    def groups(self, n: int) -> int:
+        """A power of two from 32 to 4096."""
+        return min(4096, 1 << max(5, int(np.ceil(self.spread * n) - 1).bit_length()))
+
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + 1
 
@@ -122,11 +132,31 @@ class Tree:
         return inside[bound >= rule.needed(size, self.sizes[inside])]
 
 
-def connect(points: np.ndarray, sizes: np.ndarray, rule: Rule, linked: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
-    """Links that connect whatever is connected: by the bound alone, or by verified links."""
+def connect(points: list[bytes], sizes: np.ndarray, rule: Rule, linked: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Links that connect whatever is connected: by the bound alone, or by verified links.
+
+    Sets with equally many groups share a tree, joined by the larger ones that
+    could still link with them, folded.
+    """
+    arrays = [np.frombuffer(p, dtype="<u2").astype(np.int32) for p in points]
+    if len(arrays) == 2:  # most buckets
+        count = min(map(len, arrays))
+        bound = np.minimum(*[a.reshape(-1, count).sum(axis=0) for a in arrays]).sum()
+        return [(0, 1)] if bound >= rule.needed(*sizes.tolist()) and (linked is None or linked(0, 1)) else []
+    groups = np.array([len(a) for a in arrays])
+    edges = []
+    for count in np.unique(groups).tolist():
+        some = np.flatnonzero((groups == count) | ((groups > count) & (sizes * rule.percent * rule.spread <= 100 * (count + 1))))
+        folded = np.stack([arrays[i].reshape(-1, count).sum(axis=0) for i in some.tolist()])
+        own = (lambda x, y: linked(int(some[x]), int(some[y]))) if linked is not None else None
+        edges.extend((int(some[x]), int(some[y])) for x, y in _connect(folded, sizes[some], rule, own))
+    return edges
+
+
+def _connect(points: np.ndarray, sizes: np.ndarray, rule: Rule, linked: Callable[[int, int], bool] | None) -> list[tuple[int, int]]:
     if len(sizes) < 2:
         return []
-    tree = Tree(points.astype(np.int64), sizes.astype(np.int64))
+    tree = Tree(points, sizes.astype(np.int64))
     order, edges = tree.order, []
     for seed in range(len(order)):
         if not tree.alive[seed]:
@@ -165,10 +195,6 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _points(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<i4").reshape(-1, GROUPS)
-
-
 def _frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
     """How often shingles fall into each hash bucket, as a power of two over the mean (one byte per bucket)."""
     size = 1 << FREQUENCY_BITS
@@ -201,7 +227,7 @@ def _sets(docs: DataFrame, rule: Rule, rare: np.ndarray) -> DataFrame:
                 own = ranked & np.uint64((1 << 56) - 1)
                 sizes.append(len(own))
                 names.append(int(mix(mix(own).sum(keepdims=True) + np.uint64(len(own))).view(np.int64)[0]) if len(own) else None)
-                points.append(np.bincount((mix(own) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes())
+                points.append(np.bincount((mix(own) & np.uint64(rule.groups(len(own)) - 1)).astype(np.int64), minlength=rule.groups(len(own))).astype("<u2").tobytes())
                 prefixes.append(own[: rule.prefix(len(own))].view(np.int64) if len(own) else [])
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("h"), batch.column("nb"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
@@ -243,7 +269,7 @@ def _candidates(sets: DataFrame, rule: Rule) -> DataFrame:
         found: list[tuple[int, int]] = []
         for group in grouped(batches, ["token", "i", "j"]):
             names = group["cls"].to_pylist()
-            edges = connect(_points(group["point"].to_pylist()), group["n"].to_numpy(), rule)
+            edges = connect(group["point"].to_pylist(), group["n"].to_numpy(), rule)
             found.extend((names[x], names[y]) for x, y in edges)
             if len(found) > 50_000:
                 yield _edge_batch(found)
@@ -284,7 +310,7 @@ def _verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule)
                 shared = int((both[1:] == both[:-1]).sum())
                 return 100 * shared >= rule.percent * (len(a) + len(b) - shared)
 
-            edges = connect(_points(group["point"].to_pylist()), group["n"].to_numpy(), rule, linked)
+            edges = connect(group["point"].to_pylist(), group["n"].to_numpy(), rule, linked)
             found.extend((names[x], names[y]) for x, y in edges)
         yield _edge_batch(found)
 
