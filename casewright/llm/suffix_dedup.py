@@ -193,7 +193,7 @@ def _runs(df: DataFrame, length: int) -> DataFrame:
     return _texts(df).mapInArrow(run, "h long, nb int, anchor int, first int, last int, ctx long")
 
 
-_WINDOWS = "pk long, ctx long, low int, high int, settled boolean"
+_WINDOWS = "pk long, ctx long, place long"  # place: first and last window from the run's first, and whether settled, in bits
 
 
 def _windows(texts: DataFrame, length: int) -> DataFrame:
@@ -241,8 +241,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
             for pk, ctxs, lows, highs, flag in ((spread, c[first], p[first], p[last], True), (h[open_], ctx[open_], low[open_], low[open_], False)):
                 if len(pk):
                     yield pa.RecordBatch.from_arrays(
-                        [_long(pk), pa.array(ctxs), pa.array(lows.astype(np.int32)), pa.array(highs.astype(np.int32)), pa.array(np.full(len(pk), flag))],
-                        names=["pk", "ctx", "low", "high", "settled"])
+                        [_long(pk), pa.array(ctxs), pa.array(lows << 33 | highs << 1 | flag)], names=["pk", "ctx", "place"])
 
     return texts.select("text", "asked").mapInArrow(run, _WINDOWS)
 
@@ -281,7 +280,8 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
 
     alike = Window.partitionBy("pk")
     windows = _windows(texts.filter(F.size("asked") > 0), length)
-    windows = windows.withColumn("least", F.min("ctx").over(alike)).withColumn("most", F.max("ctx").over(alike)).filter("settled OR least != most")
+    windows = windows.withColumn("least", F.min("ctx").over(alike)).withColumn("most", F.max("ctx").over(alike)).filter("place & 1 = 1 OR least != most")
+    windows = windows.withColumn("low", F.shiftright("place", 33).cast("int")).withColumn("high", F.shiftright("place", 1).bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
     places = asked.filter("NOT whole").select("ctx", "h", "nb", F.col("first").alias("base"))
     more = windows.join(places, "ctx").groupBy("h", "nb").agg(F.collect_set(F.struct((F.col("base") + F.col("low")).alias("first"), (F.col("base") + F.col("high")).alias("last"))).alias("more"))
     joined = texts.select("h", "nb", "text", "spans").join(more, ["h", "nb"], "left")
