@@ -11,7 +11,7 @@ from itertools import chain
 
 import numpy as np
 
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 250_000
 
 
 class Numbers(dict):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def fold(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:

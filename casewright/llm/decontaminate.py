@@ -1,6 +1,6 @@
 """Verbatim overlaps of documents with benchmark items, by suffix arrays over the documents' words.
 
-Each block of documents (a shard of a few megabytes) gets a suffix array of its
+each block of documents (a shard of about a megabyte) gets a suffix array of its
 words. Every suffix of every benchmark item is looked up in it by binary search;
 windows of ``window`` words (the whole item, if it is shorter) that occur give
 the documents' places, and consecutive places are joined into longest matches.
