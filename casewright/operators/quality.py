@@ -258,18 +258,23 @@ INTEGER_STEPS = [("tinyint", 127), ("smallint", 32767), ("int", 2147483647)]
 
 
 def narrow_stats(df: DataFrame, max_share: float = 0.5) -> DataFrame:
-    """Per integer and text column the narrowest fitting type, from one aggregation pass.
+    """Per integer and text column the narrowest fitting type.
 
-    A text column with few distinct values is called ``category``; the distinct
-    count is a sketch, exact counts of every column would repeat each row per column.
+    A text column with few distinct values is called ``category``. Distinct
+    values are counted exactly: grouped by column and value with map-side
+    combine, then per column.
     """
     ints = [f.name for f in df.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long")]
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     one = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.struct(F.min(c).cast("long").alias("low"), F.max(c).cast("long").alias("high")).alias(f"i_{c}") for c in ints],
-        *[F.approx_count_distinct(c).alias(f"t_{c}") for c in texts],
     )
+    if texts:
+        values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(texts)])).alias("x"))
+        different = values.filter("x.v IS NOT NULL").groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+        counts = different.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("_distinct"))  # one entry per column
+        one = one.join(counts).select("*", *[F.coalesce(F.try_element_at("_distinct", F.lit(i)), F.lit(0)).alias(f"t_{c}") for i, c in enumerate(texts)])
 
     def int_type(c: str) -> Column:
         fits = F.lit("bigint")

@@ -174,9 +174,9 @@ def with_term_rank(flat: DataFrame, names: list[str]) -> DataFrame:
 
 
 def rank_terms(df: DataFrame, column: str, hierarchy: DataFrame, measured: bool = False) -> DataFrame:
-    """Rank column of an ordered term; a term outside the vocabulary gives null for both."""
-    ranks = hierarchy.groupBy(F.col("pt").alias(column)).agg(F.min("pt_rank").alias("_rank"))
-    out = lookup_join(df, ranks, [column], measured=measured)
+    """Rank column of an ordered term, found whatever its case; a term outside the vocabulary gives null for both."""
+    ranks = hierarchy.groupBy(X.lookup_key(F.col("pt")).alias("_term")).agg(F.min("pt_rank").alias("_rank"))
+    out = lookup_join(df.withColumn("_term", X.lookup_key(F.col(column))), ranks, ["_term"], measured=measured)
     return (
         out.withColumn(column, F.when(F.col("_rank").isNotNull(), F.col(column)))
         .withColumnRenamed("_rank", f"{column}_rank")

@@ -354,8 +354,8 @@ ORACLE: dict[str, str] = {
     "explode_substances": _with("drug", body="""SELECT primaryid, drug_seq, trim(unnest(string_split(substance_raw, ';'))) AS substance FROM drug WHERE substance_raw IS NOT NULL"""),
     "trial_flag": _with("drug", body="""SELECT primaryid, drug_seq, replace(substance_raw, ', trial', '') AS substance, coalesce(contains(substance_raw, ', trial'), false) AS trial FROM drug"""),
     "drug_synonyms": _with("", _SYN, body="SELECT drugname, substance FROM syn"),
-    "std_drugs_synonyms": _with("drug drug_dictionary", _DICT, _SYN, "part_dict AS (SELECT * FROM dict WHERE substance LIKE 'S%' AND drugname < 'm')",
-                                _drugs("part_dict", "y.substance", "LEFT JOIN syn y ON n.drugname = y.drugname"),
+    "std_drugs_synonyms": _with("drug drug_dictionary", _DICT, _SYN,
+                                _drugs("dict", "y.substance", "LEFT JOIN syn y ON n.drugname = y.drugname"),
                                 body="SELECT primaryid, drug_seq, substance, trial FROM drugs"),
     "drug_stats": _with("drug drug_dictionary", _DICT, _drugs(), body="SELECT count(*) AS n_rows, count(DISTINCT substance) AS n_substances, count(*) FILTER (WHERE trial) AS n_trial FROM drugs"),
     "llt_pt_join": _with("llt pt", body="""SELECT llt_name, pt_name FROM (SELECT upper(llt_name) AS llt_name, upper(pt_name) AS pt_name,

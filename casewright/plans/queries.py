@@ -426,8 +426,7 @@ def drug_synonyms(s):
 def std_drugs_synonyms(s):
     raw = s.spark.sql(adapter.SYNONYMS, part=s.table("part"))
     drug, names = s("drug", "drug_dictionary")
-    some = voc.drug_dictionary(names).filter("substance LIKE 'S%'").filter("drugname < 'm'")
-    return voc.standardize_drugs(drug.drop("trial"), some, voc.drug_synonyms(raw)).select("primaryid", "drug_seq", "substance", "trial")
+    return voc.standardize_drugs(drug.drop("trial"), voc.drug_dictionary(names), voc.drug_synonyms(raw)).select("primaryid", "drug_seq", "substance", "trial")
 
 
 @query

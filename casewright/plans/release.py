@@ -14,7 +14,7 @@ from casewright.operators import cases, dedup, projections, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.session import stage
-from casewright.sources import files
+from casewright.sources import dims, files
 from casewright.sources.tables import write_csv, write_table
 
 
@@ -81,14 +81,21 @@ def release(
     hierarchy: DataFrame,
     synonyms: DataFrame | None = None,
     deleted: DataFrame | None = None,
+    details: dict[str, DataFrame] | None = None,
 ) -> None:
-    """Unified tables to the ten tables of a cleaned release under ``out``."""
+    """Unified tables to the ten tables of a cleaned release under ``out``.
+
+    ``details``: the route, dose_form, dose_freq and unit dictionaries; the built-in ones if none are given.
+    """
+    if details is None:
+        details = {name: dims.built_in(countries.sparkSession, name) for name in ("route", "dose_form", "dose_freq", "unit")}
     tables = standardize_terms(tables, stage(terms, "terms"))
     drug = stage(voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug")
     demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
     demo = stage(clean_cases({**tables, "drug": drug, "demo": demo}, countries), "demo")
     onset = therapy(demo, tables["ther"])
-    final = {**tables, "drug": drug, "demo": demo, "ther": onset}
+    info = stage(drug_details(tables["drug_info"], details), "drug_info")
+    final = {**tables, "drug": drug, "demo": demo, "ther": onset, "drug_info": info}
     for name, df in split.split_tables(final, hierarchy).items():
         df.write.mode("overwrite").parquet(f"{out}/{name}")
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from casewright.plans import queries as registry
 from casewright.plans.adapter import BASE_TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,7 +43,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_report_is_the_only_query_without_sql(spark):
-    assert sorted(set(QUERIES) - set(ORACLE)) == ["report_lines"]
+    assert sorted(set(registry.registered()) - set(ORACLE)) == ["report_lines"]
     text = [r["line"] for r in QUERIES["report_lines"](spark, SF_DIR).orderBy("line_no").collect()]
     assert text[0] == "# Processing Summary" and any(line.startswith("| DEMO | 1,500 | 1,500 | 100.0% |") for line in text)
 
