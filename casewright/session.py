@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # join key even when that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Staged tables carry results from one job to the next, so a job's shuffle
+    # files can go when it ends and not only when the driver's heap is collected.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -64,3 +67,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Staged tables of one piece of work in a folder of their own, deleted together.
+
+    Clear it only when what was read from its tables is written elsewhere: a
+    task that is run again reads its inputs again.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, fresh_path(spark, name)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
