@@ -12,9 +12,9 @@ from casewright.llm import bpe, decontaminate, jaccard_join, neighbours, ppm, sh
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
-WORD_IDS, END_ID = 49_408, 1
+WORD_IDS, WORD_ID_BYTES, END_ID = 49_408, 2, 1
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-DOCS_PER_FILE_BYTES = 32 << 20
+FILE_IDS = 8 << 20
 
 
 def vocabulary(name: str) -> str:
@@ -39,12 +39,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.tune(spark)
-    ids = token_files.tokenize(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID)
-    staged, path = session.fresh_path(spark, "token_ids"), session.fresh_path(spark, "token_files")
+    ids = token_files.tokenize(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID, WORD_ID_BYTES)
+    work, path = session.Workspace(spark, "token_ids"), session.fresh_path(spark, "token_files")
+    staged = work.path("ids")
     ids.write.option("compression", "zstd").parquet(staged)
     kept = spark.read.schema(ids.schema).parquet(staged)
     total = kept.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    token_files.write(kept, path, WORD_IDS, files=1 + total // DOCS_PER_FILE_BYTES)
+    token_files.write(kept, path, WORD_IDS, files=1 + total // (FILE_IDS * WORD_ID_BYTES), id_bytes=WORD_ID_BYTES)
+    work.clear()
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

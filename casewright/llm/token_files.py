@@ -137,15 +137,20 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenize(df: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, ids`` (binary, little-endian unsigned 32 bits): each whole text's ids and ``end_id``."""
+def tokenize(df: DataFrame, path: str, end_id: int, id_bytes: int = 4) -> DataFrame:
+    """``doc_id, ids`` (binary, little-endian unsigned): each whole text's ids and ``end_id``.
+
+    Two ``id_bytes`` do for ids below 65,536 and halve what is written and moved.
+    """
+    kind = f"<u{id_bytes}"
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_tokenizer(path)
         for batch in all_pieces(batches):
             ids, sizes = own.encode([t or "" for t in batch.column("text").to_pylist()])
             bounds = np.cumsum(sizes)
-            ids = np.insert(ids, bounds, end_id).astype("<u4")
-            bounds = np.concatenate([[0], bounds + np.arange(1, len(bounds) + 1)]).astype(np.int32) * 4
+            ids = np.insert(ids, bounds, end_id).astype(kind)
+            bounds = np.concatenate([[0], bounds + np.arange(1, len(bounds) + 1)]).astype(np.int32) * id_bytes
             column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids.tobytes())])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], names=["doc_id", "ids"])
 
@@ -156,15 +161,12 @@ def _kind(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 
 
-def rank_order(ids: DataFrame, width: int) -> np.ndarray:
+def rank_order(ids: DataFrame, width: int, id_bytes: int = 4) -> np.ndarray:
     """Ids from most to least frequent, ties by id. Each task sends one count per id, ``width`` at most."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(width, dtype=np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                counts += np.bincount(np.frombuffer(raw, "<u4"), minlength=width) if len(raw) > 4 * width else 0
-                if len(raw) <= 4 * width:
-                    np.add.at(counts, np.frombuffer(raw, "<u4"), 1)
+        for batch in all_pieces(batches, "ids"):
+            counts += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), f"<u{id_bytes}"), minlength=width)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["id", "n"])
 
@@ -172,10 +174,10 @@ def rank_order(ids: DataFrame, width: int) -> np.ndarray:
     return np.array([r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))], dtype=np.int64)
 
 
-def write(ids: DataFrame, path: str, width: int, files: int) -> None:
+def write(ids: DataFrame, path: str, width: int, files: int, id_bytes: int = 4) -> None:
     """Write ``doc_id, ids`` as a file set. ``ids`` is read twice: keep it in a table. ``width``: ids are below it."""
     spark = ids.sparkSession
-    order = rank_order(ids, width)
+    order = rank_order(ids, width, id_bytes)
     rank = np.zeros(width, dtype=np.uint32)
     rank[order] = np.arange(len(order))
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
@@ -187,8 +189,8 @@ def write(ids: DataFrame, path: str, width: int, files: int) -> None:
         names, bodies, count = [], [], 0
 
         def segment() -> pa.RecordBatch:
-            sizes = np.array([len(b) // 4 for b in bodies])
-            raw = write_segment(sizes, held.value[np.frombuffer(b"".join(bodies), "<u4")])
+            sizes = np.array([len(b) // id_bytes for b in bodies])
+            raw = write_segment(sizes, held.value[np.frombuffer(b"".join(bodies), f"<u{id_bytes}")])
             return pa.RecordBatch.from_arrays(
                 [pa.array([file], pa.int32()), pa.array([base], pa.int64()), pa.array([count], pa.int64()), pa.array([names], pa.list_(doc_type)), pa.array([raw], pa.binary())],
                 names=["file", "base", "n_ids", "doc_ids", "segment"])
@@ -198,7 +200,7 @@ def write(ids: DataFrame, path: str, width: int, files: int) -> None:
             for name, body in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 names.append(name)
                 bodies.append(body)
-                count += len(body) // 4
+                count += len(body) // id_bytes
                 if count >= SEGMENT_IDS:
                     yield segment()
                     base, names, bodies, count = base + count, [], [], 0

@@ -40,11 +40,12 @@ def test_bpe_equals_the_library(spark, tokenizer):
     assert {r["doc_id"]: r["text"] for r in decoded.collect()} == dict(enumerate(texts))
 
 
+@pytest.mark.parametrize("id_bytes", [2, 4])
 @pytest.mark.parametrize("rows", [ODD, []])
-def test_token_files_round_trip(spark, tokenizer, tmp_path, rows):
+def test_token_files_round_trip(spark, tokenizer, tmp_path, rows, id_bytes):
     own, path = tokenizer(WORD_VOCABULARY), str(tmp_path / "files")
-    kept = token_files.tokenize(frame(spark, rows), vocabulary(WORD_VOCABULARY), 1).cache()
-    token_files.write(kept, path, 49_408, files=3)
+    kept = token_files.tokenize(frame(spark, rows), vocabulary(WORD_VOCABULARY), 1, id_bytes).cache()
+    token_files.write(kept, path, 49_408, files=3, id_bytes=id_bytes)
     got = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in token_files.read(spark, path).collect()), key=lambda r: r[2])
     assert [g[:2] for g in got] == sorted(g[:2] for g in got)
     assert sorted(g[3] for g in got) == sorted([*own.encode(t or "", add_special_tokens=False).ids, 1] for _, t in rows)
