@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewright.session import stage
+from casewright.session import Workspace
 
 
 def _size(edges: DataFrame) -> tuple:
@@ -13,15 +13,15 @@ def _size(edges: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """``node, label`` for every node of ``edges`` (a, b): the smallest node of its component.
 
     Star operations: each node sends its larger, then its smaller neighbours to
     the smallest one around it, until all hang on their component's smallest
     node. Each round is an aggregation and a join; rounds grow with the logarithm
-    of the longest path. Every round is a table in the shared folder.
+    of the longest path. Every round is a table in ``work``, and so is the result.
     """
-    edges = stage(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = work.stage(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _size(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
             least.filter("m < a").select("a", F.col("m").alias("b"))).filter("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).filter("a != b")
-        edges = stage(small.distinct(), "edges")
+        edges = work.stage(small.distinct(), "edges")
         after = _size(edges)
         if after == before:
             break

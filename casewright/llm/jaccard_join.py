@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from casewright.llm.common import BY_SPACE, all_pieces, mix, possible, text_list, word_hashes
 from casewright.llm.graph import components
-from casewright.session import stage
+from casewright.session import Workspace, stage
 
 LEAF, BLOCK = 32, 512
 FREQUENCY_BITS = 18
@@ -254,11 +254,11 @@ def _blocked(members: DataFrame, key: str, sizes: DataFrame, member: str = "cls"
     return _pairs_of_blocks(dealt, "blocks").drop("blocks", "block")
 
 
-def _candidates(sets: DataFrame, rule: Rule) -> DataFrame:
+def _candidates(sets: DataFrame, rule: Rule, work: Workspace) -> DataFrame:
     """``a, b``: classes connected through overlap bounds, by links that connect them."""
     rows = sets.filter("cls IS NOT NULL").select("cls", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least != most").select("token")
-    members = stage(rows.join(shared, "token").distinct(), "bucket_members")
+    members = work.stage(rows.join(shared, "token").distinct(), "bucket_members")
     # Buckets with the same members are one: their number and the sum of their hashes name them.
     buckets = members.groupBy("token").agg(F.count("*").alias("members"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark"))
     kept = buckets.groupBy("members", "mark").agg(F.min("token").alias("token")).select("token", "members")
@@ -284,11 +284,11 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
 
 
-def _verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
+def _verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule, work: Workspace) -> DataFrame:
     """``a, b``: links between classes that connect whatever links connect."""
     named = sets.filter("cls IS NOT NULL").groupBy("cls").agg(F.min(F.struct("h", "nb")).alias("t"), F.first("n").alias("n"), F.first("point").alias("point"))
     members = clusters.withColumnsRenamed({"node": "cls", "label": "cluster"}).join(named, "cls").select("cls", "cluster", "n", "point", "t.h", "t.nb")
-    members = stage(members, "cluster_members")
+    members = work.stage(members, "cluster_members")
     texts = possible(docs.select("h", "nb", "text"), members, "h").groupBy("h", "nb").agg(F.first("text").alias("text")).join(members, ["h", "nb"]).drop("h", "nb")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("members"))
     dealt = _blocked(texts, "cluster", sizes).select("cluster", "i", "j", "cls", "n", "point", "text")
@@ -321,9 +321,15 @@ def classes(df: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Sets of every row (``doc_id, cls, n``, as a table), and ``node, label``: the component of every linked class."""
     text = F.coalesce("text", F.lit(""))
     docs = df.select("doc_id", F.xxhash64(text).alias("h"), F.octet_length(text).alias("nb"), text.alias("text"))
-    sets = stage(_sets(docs, rule, _frequencies(docs, rule)), "shingle_sets")
-    clusters = components(_candidates(sets, rule))
-    return sets.select("doc_id", "h", "nb", "cls", "n"), components(_verified(docs, sets, clusters, rule))
+    # Tables go as soon as what is made of them is written.
+    buckets, work = Workspace(df.sparkSession, "jaccard_buckets"), Workspace(df.sparkSession, "jaccard_work")
+    sets = work.stage(_sets(docs, rule, _frequencies(docs, rule)), "shingle_sets")
+    clusters = components(_candidates(sets, rule, buckets), work)
+    buckets.clear()
+    linked = stage(components(_verified(docs, sets, clusters, rule, work), work), "linked_classes")
+    named = stage(sets.select("doc_id", "h", "nb", "cls", "n"), "named_sets")
+    work.clear()
+    return named, linked
 
 
 def link(df: DataFrame, rule: Rule) -> DataFrame:

@@ -34,11 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.llm.common import all_pieces, mix, possible, running_hash, span_hash, text_list
-from casewright.session import fresh_path, stage
+from casewright.session import Workspace, stage
 
 LENGTH, GRAM = 400, 32
 PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per byte
@@ -128,8 +128,8 @@ def entries(df: DataFrame, length: int, batches: int) -> DataFrame:
 class Family:
     """Levels of the index, each empty or twice as large as the one before, and the keys found more than once."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, work: Workspace):
+        self.work = work
         self.levels: list[DataFrame | None] = []
         self.keys: list[DataFrame] = []
 
@@ -139,11 +139,11 @@ class Family:
         for level in self.levels:
             if level is not None:
                 found = found.unionByName(batch.select("key").join(level.select("key"), "key", "left_semi"))
-        self.keys.append(stage(found.distinct(), "repeated_keys"))
+        self.keys.append(self.work.stage(found.distinct(), "repeated_keys"))
         depth = 0
         while depth < len(self.levels) and self.levels[depth] is not None:
             both = batch.unionByName(self.levels[depth])
-            batch = stage(both.groupBy("key", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "ctx"), "suffix_level")
+            batch = self.work.stage(both.groupBy("key", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "ctx"), "suffix_level")
             self.levels[depth] = None
             depth += 1
         self.levels[depth : depth + 1] = [batch]
@@ -160,12 +160,12 @@ class Family:
         return entries.join(keys.distinct(), "key", "left_semi").groupBy("key", "ctx").agg(F.sum("n").alias("n"))
 
 
-def build(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Family:
-    spark = df.sparkSession
-    path = fresh_path(spark, "suffix_batches")
+def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int = BATCHES) -> Family:
+    """The index of all texts; its tables lie in ``work``."""
+    path = work.path("suffix_batches")
     entries(df, length, batches).sortWithinPartitions("batch", "key", "ctx").write.partitionBy("batch").parquet(path)
-    every = spark.read.schema("key long, ctx long, n long, batch int").parquet(path)
-    family = Family(spark)
+    every = work.spark.read.schema("key long, ctx long, n long, batch int").parquet(path)
+    family = Family(work)
     for number in range(batches):
         family.add(every.filter(F.col("batch") == number).select("key", "ctx", "n"))
     return family
@@ -266,17 +266,21 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
 
     ``h`` and ``nb`` are ``xxhash64`` and size of the text.
     """
-    repeated = stage(build(df, length, batches).repeated(), "repeated_entries")
-    contexts = stage(_contexts(repeated), "contexts")
-    runs = stage(_runs(df, length).join(contexts, "ctx"), "repeated_runs")
+    # Tables go as soon as what is made of them is written.
+    index, work = Workspace(df.sparkSession, "suffix_index"), Workspace(df.sparkSession, "suffix_work")
+    repeated = work.stage(build(df, index, length, batches).repeated(), "repeated_entries")
+    index.clear()
+    contexts = work.stage(_contexts(repeated), "contexts")
+    runs = work.stage(_runs(df, length).join(contexts, "ctx"), "repeated_runs")
     asked = runs.filter("before OR after").groupBy("ctx").agg(F.min(F.struct("h", "nb", "anchor", "first", "last", "whole", "before", "after")).alias("r")).select("ctx", "r.*")
     asked = stage(asked, "asked_contexts")
     whole = runs.filter("whole").select("h", "nb", F.struct("first", "last").alias("span"), F.lit(None).cast("struct<ctx:bigint,anchor:int,first:int,last:int,whole:boolean,before:boolean,after:boolean>").alias("ask"))
     wanted = asked.select("h", "nb", F.lit(None).cast("struct<first:int,last:int>").alias("span"), F.struct("ctx", "anchor", "first", "last", "whole", "before", "after").alias("ask"))
     # At most a few entries per run of a text; equal ones are gathered once.
     info = whole.unionByName(wanted).groupBy("h", "nb").agg(F.collect_set("span").alias("spans"), F.collect_set("ask").alias("asked"))
-    info = stage(info, "repeated_info")
+    info = work.stage(info, "repeated_info")
     texts = stage(possible(_texts(df), info, "h").groupBy("h", "nb").agg(F.first("text").alias("text")).join(info, ["h", "nb"]), "repeated_texts")
+    work.clear()
 
     alike = Window.partitionBy("pk")
     windows = _windows(texts.filter(F.size("asked") > 0), length)
