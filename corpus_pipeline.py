@@ -19,19 +19,30 @@ from casewright.llm.queries import BYTE_VOCABULARY, vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows handed to a Python worker at once; whole texts among them make batches large.
+BATCH_ROWS = 2000
+
+
+def tune(spark: SparkSession) -> None:
+    session.tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below 0.5; it learns from the labelled rows of this input."""
+    tune(spark)
     return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group that shares four fifths of its five-word shingles."""
+    tune(spark)
     return jaccard_join.one_of_each(docs, jaccard_join.Rule(words=5, percent=80))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 400 bytes that also start elsewhere; a text that loses everything goes."""
+    tune(spark)
     text = F.col("text")
     cut = suffix_dedup.cleaned(docs.withColumn("text", F.coalesce(text, F.lit(""))).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))
     # n_chars still has the length before the cut.
@@ -40,11 +51,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no ten-word window of a benchmark item occurs."""
+    tune(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, with digests of the ids and of the text decoded from them."""
+    tune(spark)
     return bpe.round_trip(docs, vocabulary(BYTE_VOCABULARY), with_ids=True)
 
 
@@ -61,7 +74,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session.tune(spark)
+    tune(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = session.stage(stage(spark, docs, sf_dir), f"pipeline_{name}")
