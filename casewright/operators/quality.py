@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright import schemas as S
@@ -48,14 +48,18 @@ def describe(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
 
 
 def manufacturer_profile(df: DataFrame) -> DataFrame:
-    """Rows, cases, senders, rows without sender, rows left after the last per case and sender."""
-    both = F.when(F.col("caseid").isNotNull() & F.col("mfr_sndr").isNotNull(), F.struct("caseid", "mfr_sndr"))
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    """Rows, cases, senders, rows without sender, rows left after the last per case and sender.
+
+    Rows are counted per case and sender first; all figures follow from the pairs.
+    """
+    pairs = df.groupBy("caseid", "mfr_sndr").agg(F.count(F.lit(1)).alias("n"))
+    rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    return pairs.agg(
+        rows(F.lit(True)).alias("n_rows"),
         F.countDistinct("caseid").alias("n_cases"),
         F.countDistinct("mfr_sndr").alias("n_senders"),
-        F.count_if(F.col("mfr_sndr").isNull()).alias("n_no_sender"),
-        F.countDistinct(both).alias("n_last_rows"),
+        rows(F.col("mfr_sndr").isNull()).alias("n_no_sender"),
+        F.count_if(F.col("caseid").isNotNull() & F.col("mfr_sndr").isNotNull()).alias("n_last_rows"),
     )
 
 
@@ -230,28 +234,42 @@ def summary_totals(summary: DataFrame) -> DataFrame:
     )
 
 
+def report_lines(summary: DataFrame, seconds: float | None = None) -> DataFrame:
+    """The report of a run as (line_no, line), from a summary of one row per kind and quarter.
+
+    The summary is read several times; hand over a staged one.
+    """
+    kinds = [*S.FILE_KINDS, "drug_info"]
+    at = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
+    place = F.when(at > 0, at).otherwise(len(kinds) + 1).cast("int").alias("place")
+    total, done, dates = (F.format_number(c, 0) for c in ("total_rows", "processed_rows", "invalid_dates"))
+    share = F.format_string("%.1f%%", F.round(V.success_rate(F.col("processed_rows"), F.col("total_rows")), 1))
+    name, first = F.upper("kind"), F.lit(0).alias("place")
+    known = summary.filter("quarter IS NOT NULL")
+
+    fixed = [F.lit(x) for x in ("# Processing Summary", "", "## Overall")]
+    count = F.concat(F.lit("- Quarters: "), F.countDistinct("quarter").cast("string"))
+    took = [F.lit(f"- Seconds: {seconds:.2f}")] if seconds is not None else []
+    head = [F.lit(x) for x in ("", "| Kind | Rows | Processed | Success rate | Invalid dates |", "|---|---|---|---|---|")]
+    title = known.agg(F.array(*fixed, count, *took, *head).alias("lines")).select(F.lit("").alias("quarter"), first, F.lit("").alias("kind"), "lines")
+    per_kind = summary.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("total_rows", "processed_rows", "invalid_dates")]).select(
+        F.lit("").alias("quarter"), place, "kind", F.array(F.format_string("| %s | %s | %s | %s | %s |", name, total, done, share, dates)).alias("lines"))
+    quarters = known.select("quarter").distinct().select(
+        "quarter", first, F.lit("").alias("kind"), F.array(F.lit(""), F.concat(F.lit("## Quarter "), F.col("quarter"))).alias("lines"))
+    lacking = F.when(F.col("missing_columns") != "", F.concat(F.lit("- Missing columns: "), F.col("missing_columns")))
+    single = known.select("quarter", place, "kind", F.array_compact(F.array(
+        F.lit(""), F.concat(F.lit("### "), name), F.concat(F.lit("- Total rows: "), total), F.concat(F.lit("- Processed rows: "), done),
+        F.concat(F.lit("- Success rate: "), share), F.concat(F.lit("- Invalid dates: "), dates), lacking)).alias("lines"))
+
+    parts = title.unionByName(per_kind).unionByName(quarters).unionByName(single)
+    lines = parts.select("quarter", "place", "kind", F.posexplode("lines").alias("i", "line"))
+    # A few lines per kind and quarter, however many rows the run had.
+    return lines.select((F.row_number().over(Window.orderBy("quarter", "place", "kind", "i")) - 1).alias("line_no"), "line")
+
+
 def render_report(summary: DataFrame, seconds: float | None = None) -> str:
-    """Markdown text of a run; only the aggregated rows, one per kind and quarter, come to the driver."""
-    totals = summary_totals(summary).collect()
-    lacking = {(r["kind"], r["quarter"]): r["missing_columns"] for r in summary.select("kind", "quarter", "missing_columns").collect()}
-    quarters = sorted({r["quarter"] for r in totals if r["quarter"] not in (None, "ALL")})
-    lines = ["# Processing Summary", "", "## Overall", f"- Quarters: {len(quarters)}"]
-    if seconds is not None:
-        lines.append(f"- Seconds: {seconds:.2f}")
-    lines += ["", "| Kind | Rows | Processed | Success rate | Invalid dates |", "|---|---|---|---|---|"]
-    order = {k: i for i, k in enumerate([*S.FILE_KINDS, "drug_info"])}
-    for r in sorted((r for r in totals if r["quarter"] == "ALL" and r["kind"] != "ALL"), key=lambda r: order.get(r["kind"], 99)):
-        lines.append(f"| {r['kind'].upper()} | {r['total_rows']:,} | {r['processed_rows']:,} | {r['success_rate']:.1f}% | {r['invalid_dates']:,} |")
-    for quarter in quarters:
-        lines += ["", f"## Quarter {quarter}"]
-        for r in sorted((r for r in totals if r["quarter"] == quarter), key=lambda r: order.get(r["kind"], 99)):
-            lines += [
-                "", f"### {r['kind'].upper()}", f"- Total rows: {r['total_rows']:,}", f"- Processed rows: {r['processed_rows']:,}",
-                f"- Success rate: {r['success_rate']:.1f}%", f"- Invalid dates: {r['invalid_dates']:,}",
-            ]
-            if lacking.get((r["kind"], quarter)):
-                lines.append(f"- Missing columns: {lacking[(r['kind'], quarter)]}")
-    return "\n".join(lines) + "\n"
+    """The report as one Markdown text."""
+    return "\n".join(r["line"] for r in report_lines(summary, seconds).orderBy("line_no").collect()) + "\n"
 
 
 INTEGER_STEPS = [("tinyint", 127), ("smallint", 32767), ("int", 2147483647)]

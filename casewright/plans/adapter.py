@@ -210,6 +210,14 @@ FROM {region}""",
     "term_tree": """
 SELECT r_name AS soc, n_name AS hlt, CONCAT('PT', CAST(s_suppkey % 2 AS STRING)) AS pt
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
+    # Terms as files write them, and a tree in another case that lacks some of them.
+    "indi_raw": f"""
+SELECT CAST(l_orderkey AS STRING) AS primaryid, CAST(l_linenumber AS STRING) AS drug_seq, {_SHIP_QUARTER} AS quarter,
+  CASE l_suppkey % 5 WHEN 0 THEN 'NAUSEA' WHEN 1 THEN 'Headache' WHEN 2 THEN ' Feeling Sick' WHEN 3 THEN NULL ELSE 'Dizziness' END AS indi_pt
+FROM {{lineitem}}""",
+    "pt_tree": """
+SELECT r_name AS soc, n_name AS hlt, CASE n_nationkey % 3 WHEN 0 THEN 'Nausea' WHEN 1 THEN 'DIZZINESS' ELSE 'Rash' END AS pt
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "archive_pages": """
 SELECT o_orderkey AS page_id,
   CONCAT('<div><A class="x" HREF="/a/q', CAST(o_custkey AS STRING), '.html">x</A><a href="/files/rep_ascii_',

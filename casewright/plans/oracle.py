@@ -162,6 +162,26 @@ _TREE = """ranks AS (SELECT pt, min(pos) AS pt_rank FROM (SELECT pt, row_number(
   FROM (SELECT DISTINCT * FROM term_tree)) GROUP BY pt)"""
 
 
+_INFO = f"""info AS (SELECT i.* EXCLUDE (route, dose_form, dose_freq, dose_amt, dose_unit, cum_dose_chr, cum_dose_unit),
+  {_ROUTE} AS route, {_FORM} AS dose_form, {_FREQ_ST} AS dose_freq, {_DOSE} FROM {_DOSE_JOIN})"""
+
+
+def _released(views: str, *more: str, body: str) -> str:
+    """``released``: the reports of a release made from raw views, next to their standardized terms and drugs."""
+    return _with(
+        "demo drug reac drug_dictionary pt_terms llt_terms " + views,
+        "newest AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY primaryid ORDER BY quarter DESC) AS rn FROM demo) WHERE rn = 1)",
+        _newest_case("newest", "cases"), _mfr("cases", "kept"), _DICT, _drugs(), _TERMS,
+        "st_reac AS (SELECT primaryid, standard_pt AS pt FROM reac LEFT JOIN terms ON lower(trim(pt_raw)) = term)",
+        """released AS (SELECT primaryid FROM kept WHERE primaryid IN (SELECT primaryid FROM drugs WHERE substance NOT IN ('no medication', 'unspecified'))
+  AND primaryid IN (SELECT primaryid FROM st_reac WHERE pt IS NULL OR pt <> 'no adverse event'))""",
+        *more, body=body)
+
+
+_PT_TREE = """pt_ranks AS (SELECT lower(pt) AS pt, CAST(min(pos) AS INT) AS pt_rank FROM (SELECT pt, row_number() OVER (ORDER BY soc, hlt, pt) AS pos
+  FROM (SELECT DISTINCT * FROM pt_tree)) GROUP BY 1)"""
+
+
 def _stack(kind: str, old: str, new: str) -> str:
     return f"SELECT DISTINCT * FROM (SELECT {old} FROM {kind}_old UNION ALL SELECT {new} FROM {kind}_new)"
 
@@ -222,6 +242,18 @@ _TOTALS = """SELECT CASE WHEN grouping(kind) = 1 THEN 'ALL' ELSE kind END AS kin
   round(CASE WHEN sum(total_rows) > 0 THEN 100.0 * sum(processed_rows) / sum(total_rows) ELSE 0 END, 1) AS success_rate
   FROM ({}) GROUP BY ROLLUP (kind, quarter)"""
 
+# Kinds sort by name in the order of the report: demo, drug, ther.
+_LINE = "printf('%.1f%%', round(CASE WHEN t > 0 THEN 100.0 * p / t ELSE 0 END, 1))"
+_REPORT = f"""parts AS (
+  SELECT '' AS quarter, '' AS kind, ['# Processing Summary', '', '## Overall', '- Quarters: ' || count(DISTINCT quarter), '',
+    '| Kind | Rows | Processed | Success rate | Invalid dates |', '|---|---|---|---|---|'] AS l FROM summary
+  UNION ALL SELECT '', kind, ['| ' || upper(kind) || ' | ' || format('{{:,}}', t) || ' | ' || format('{{:,}}', p) || ' | ' || {_LINE} || ' | ' || format('{{:,}}', d) || ' |']
+    FROM (SELECT kind, CAST(sum(total_rows) AS BIGINT) AS t, CAST(sum(processed_rows) AS BIGINT) AS p, CAST(sum(invalid_dates) AS BIGINT) AS d FROM summary GROUP BY kind)
+  UNION ALL SELECT quarter, '', ['', '## Quarter ' || quarter] FROM (SELECT DISTINCT quarter FROM summary)
+  UNION ALL SELECT quarter, kind, ['', '### ' || upper(kind), '- Total rows: ' || format('{{:,}}', t), '- Processed rows: ' || format('{{:,}}', p),
+    '- Success rate: ' || {_LINE}, '- Invalid dates: ' || format('{{:,}}', d)] || CASE WHEN m = '' THEN [] ELSE ['- Missing columns: ' || m] END
+    FROM (SELECT kind, quarter, total_rows AS t, processed_rows AS p, invalid_dates AS d, missing_columns AS m FROM summary))"""
+
 _SIM = "sex age age_cod wt wt_cod reporter_country occr_country occp_cod e_sub rept_cod".split()
 
 
@@ -254,6 +286,10 @@ ORACLE: dict[str, str] = {
     "unify_files": _with("drug_old drug_new", body=_stack("drug", _OLD_DRUG + ", CAST(NULL AS VARCHAR) AS prod_ai", _NEW_DRUG + ", prod_ai")),
     "file_manifest": """SELECT DISTINCT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
   CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter FROM lineitem""",
+    "file_errors": _with("drug_new", body="""SELECT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
+  CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter, count(*) AS n_rows, 0 AS n_malformed, NULL AS error_class FROM lineitem GROUP BY 1, 2, 3
+  UNION ALL SELECT 'DRUG04Q2.TXT', 'drug', '2004Q2', count(*), count(*), 'invalid_format' FROM drug_new
+  UNION ALL SELECT 'DRUG04Q3.TXT', 'drug', '2004Q3', 0, 0, 'empty_file'"""),
     "parquet_sink": _with("reac", body="SELECT primaryid, pt, quarter FROM reac"),
     "detect_delimiter": _with("raw_lines", """counted AS (SELECT file_name, length(value) - length(replace(value, '$', '')) + 1 AS n_fields, count(*) AS n
   FROM raw_lines GROUP BY 1, 2)""", body="SELECT file_name, '$' AS delimiter, max(n) AS n_lines FROM counted WHERE n_fields > 1 GROUP BY file_name"),
@@ -285,19 +321,24 @@ ORACLE: dict[str, str] = {
     "stream_ingest": _with("demo", body=f"""SELECT caseid, quarter, primaryid FROM (SELECT *, row_number() OVER (PARTITION BY caseid
   ORDER BY quarter DESC NULLS LAST, {_FDA}, {_VER}, primaryid DESC) AS rn FROM demo) WHERE rn = 1"""),
     # column unification
-    "rename_columns": _with("drug_old", body="""SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, ROLE_COD AS role_cod, DRUGNAME AS drugname,
-  LOT_NUM AS lot_num, LOT_NBR AS lot_nbr, DOSE_VBM AS dose_vbm, quarter FROM drug_old"""),
+    "rename_columns": _with("drug_old drug_new", body="""SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, ROLE_COD AS role_cod, DRUGNAME AS drugname,
+  LOT_NUM AS lot_num, LOT_NBR AS lot_nbr, DOSE_VBM AS dose_vbm, quarter, NULL AS prod_ai, NULL AS route FROM drug_old
+  UNION ALL SELECT primaryid, drug_seq, role_cod, drugname, lot_num, NULL, NULL, quarter, prod_ai, route FROM drug_new"""),
     "demo_columns": _with("demo_old", body="SELECT ISR AS primaryid, CASEID AS caseid, coalesce(sex, GNDR_COD) AS sex, I_F_COD AS i_f_cod, Age AS age, "
                           "Age_Cod AS age_cod, EVENT_DT AS event_dt, quarter, " + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in """caseversion age_grp wt wt_cod
   reporter_country occr_country rept_dt mfr_dt init_fda_dt fda_dt rept_cod occp_cod mfr_num mfr_sndr to_mfr e_sub auth_num lit_ref""".split()) + " FROM demo_old"),
-    "drug_columns": _with("drug_old", body="SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, ROLE_COD AS role_cod, DRUGNAME AS drugname, CAST(NULL AS VARCHAR) AS prod_ai, quarter FROM drug_old"),
-    "drug_info_columns": _with("drug_old", body="SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, coalesce(LOT_NUM, LOT_NBR) AS lot_num, DOSE_VBM AS dose_vbm, quarter, " + ", ".join(
-        f"CAST(NULL AS VARCHAR) AS {c}" for c in "val_vbm nda_num route dose_form dose_freq exp_dt cum_dose_unit cum_dose_chr dose_amt dose_unit dechal rechal".split()) + " FROM drug_old"),
-    "reac_columns": _with("reac_old", body="SELECT ISR AS primaryid, PT AS pt, CAST(NULL AS VARCHAR) AS drug_rec_act FROM reac_old"),
-    "indi_columns": _with("indi_new", body="SELECT primaryid, indi_drug_seq AS drug_seq, indi_pt FROM indi_new"),
-    "outc_columns": _with("outc_new", body="SELECT primaryid, coalesce(outc_code, '') AS outc_cod FROM outc_new"),
-    "ther_columns": _with("ther_new", body="SELECT primaryid, dsg_drug_seq AS drug_seq, start_dt, end_dt, dur, dur_cod FROM ther_new"),
-    "rpsr_columns": _with("rpsr_old", body="SELECT ISR AS primaryid, RPSR_COD AS rpsr_cod FROM rpsr_old"),
+    "drug_columns": _with("drug_old drug_new", body="""SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, ROLE_COD AS role_cod, DRUGNAME AS drugname, NULL AS prod_ai, quarter
+  FROM drug_old UNION ALL SELECT primaryid, drug_seq, role_cod, drugname, prod_ai, quarter FROM drug_new"""),
+    "drug_info_columns": _with("drug_old drug_new", body="SELECT *, " + ", ".join(
+        f"CAST(NULL AS VARCHAR) AS {c}" for c in "val_vbm nda_num dose_form dose_freq exp_dt cum_dose_unit cum_dose_chr dose_amt dose_unit dechal rechal".split()) + """
+  FROM (SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, coalesce(LOT_NUM, LOT_NBR) AS lot_num, DOSE_VBM AS dose_vbm, NULL AS route, quarter FROM drug_old
+  UNION ALL SELECT primaryid, drug_seq, lot_num, NULL, route, quarter FROM drug_new)"""),
+    "reac_columns": _with("reac_old reac_new", body="SELECT ISR AS primaryid, PT AS pt, NULL AS drug_rec_act FROM reac_old UNION ALL SELECT primaryid, pt, drug_rec_act FROM reac_new"),
+    "indi_columns": _with("indi_old indi_new", body="SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, INDI_PT AS indi_pt FROM indi_old UNION ALL SELECT primaryid, indi_drug_seq, indi_pt FROM indi_new"),
+    "outc_columns": _with("outc_old outc_new", body="SELECT ISR AS primaryid, OUTC_COD AS outc_cod FROM outc_old UNION ALL SELECT primaryid, coalesce(outc_code, '') FROM outc_new"),
+    "ther_columns": _with("ther_old ther_new", body="""SELECT ISR AS primaryid, DRUG_SEQ AS drug_seq, START_DT AS start_dt, END_DT AS end_dt, DUR AS dur, DUR_COD AS dur_cod FROM ther_old
+  UNION ALL SELECT primaryid, dsg_drug_seq, start_dt, end_dt, dur, dur_cod FROM ther_new"""),
+    "rpsr_columns": _with("rpsr_old rpsr_new", body="SELECT ISR AS primaryid, RPSR_COD AS rpsr_cod FROM rpsr_old UNION ALL SELECT primaryid, rpsr_cod FROM rpsr_new"),
     "unify_columns": _with("drug_old drug_new", body="""SELECT quarter, role_cod, prod_ai, count(drugname) AS n_named FROM (
   SELECT quarter, ROLE_COD AS role_cod, CAST(NULL AS VARCHAR) AS prod_ai, DRUGNAME AS drugname FROM drug_old
   UNION ALL SELECT quarter, role_cod, prod_ai, drugname FROM drug_new) GROUP BY ALL"""),
@@ -429,6 +470,17 @@ ORACLE: dict[str, str] = {
   FROM drug_info WHERE primaryid IN (SELECT primaryid FROM release)"""),
     "split_drug_supp": _release("drug_info", body="""SELECT DISTINCT primaryid, drug_seq, route, dose_form, dechal, rechal, lot_num, exp_dt
   FROM drug_info WHERE primaryid IN (SELECT primaryid FROM release)"""),
+    # the composed release
+    "release_drug": _released("", body="""SELECT DISTINCT s.primaryid, s.drug_seq, s.substance, role_cod, CASE role_cod WHEN 'C' THEN 1 WHEN 'I' THEN 2 WHEN 'SS' THEN 3
+  WHEN 'PS' THEN 4 END AS role_rank FROM drugs s JOIN drug d ON s.primaryid = d.primaryid AND s.drug_seq = d.drug_seq WHERE s.primaryid IN (SELECT primaryid FROM released)"""),
+    "release_reac": _released("pt_tree", _PT_TREE, body="""SELECT primaryid, r.pt, r.pt AS drug_rec_act, pt_rank, pt_rank AS drug_rec_act_rank
+  FROM st_reac LEFT JOIN pt_ranks r USING (pt) WHERE primaryid IN (SELECT primaryid FROM released)"""),
+    "release_indi": _released("indi_raw pt_tree", _PT_TREE, body="""SELECT DISTINCT primaryid, drug_seq, r.pt AS indi_pt, pt_rank AS indi_pt_rank
+  FROM indi_raw LEFT JOIN terms ON lower(trim(indi_pt)) = term LEFT JOIN pt_ranks r ON standard_pt = r.pt WHERE primaryid IN (SELECT primaryid FROM released)"""),
+    "release_doses": _released("drug_info", _UNITS, _ROUTES, _FORMS, _FREQS, _INFO, body="""SELECT DISTINCT primaryid, drug_seq, dose_vbm, cum_dose_unit, cum_dose_chr,
+  dose_amt, dose_unit, dose_freq FROM info WHERE primaryid IN (SELECT primaryid FROM released)"""),
+    "release_drug_supp": _released("drug_info", _UNITS, _ROUTES, _FORMS, _FREQS, _INFO, body="""SELECT DISTINCT primaryid, drug_seq, route, dose_form, dechal, rechal, lot_num, exp_dt
+  FROM info WHERE primaryid IN (SELECT primaryid FROM released)"""),
     # profiles and validation
     "value_distribution": _with("demo", body="SELECT age_cod AS value, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM demo GROUP BY age_cod"),
     "top_countries": _with("demo", *_std("demo", "st"), body="""SELECT reporter_country AS value, count(*) AS n FROM st WHERE reporter_country IS NOT NULL
@@ -445,9 +497,11 @@ ORACLE: dict[str, str] = {
   WHERE lower(trim(dose_form)) NOT IN (SELECT lower(form) FROM forms) GROUP BY 1"""),
     "validate_demo": _with("demo", body=_findings("demo", _DEMO_CELLS)),
     "validate_drug": _with("drug", body=_findings("drug", _DRUG_CELLS)),
-    "validate_reac": _with("reac_old", body="""SELECT 'reac' AS kind, count(*) AS n_rows, true AS valid, 0 AS n_errors, 0 AS n_warnings FROM reac_old"""),
+    "validate_reac": _with("reac_old reac_new", body="""SELECT 'reac' AS kind, count(*) AS n_rows, true AS valid, 0 AS n_errors, 0 AS n_warnings
+  FROM (SELECT 1 FROM reac_old UNION ALL SELECT 1 FROM reac_new)"""),
     "validate_outc": _with("outc", body=_findings("outc", _OUTC_CELLS)),
-    "validate_indi": _with("indi_new", body="""SELECT 'indi' AS kind, count(*) AS n_rows, false AS valid, 1 AS n_errors, 0 AS n_warnings FROM indi_new"""),
+    "validate_indi": _with("indi_old indi_new", body="""SELECT 'indi' AS kind, count(*) AS n_rows, false AS valid, 1 AS n_errors, 0 AS n_warnings
+  FROM (SELECT 1 FROM indi_old UNION ALL SELECT 1 FROM indi_new)"""),
     "validate_ther": _with("ther", body=_findings("ther", [_date_cell("start_dt"), _date_cell("end_dt")])),
     "invalid_values": _with("demo", body="SELECT rule, column_name, value, count(*) AS n FROM (" + " UNION ALL ".join(
         f"SELECT '{r}' AS rule, '{c}' AS column_name, {v} AS value FROM demo WHERE {cond}" for r, c, v, cond in _DEMO_CELLS) + ") GROUP BY ALL"),
@@ -463,4 +517,8 @@ ORACLE: dict[str, str] = {
     "quarter_summary": _with("demo", body=_summary("demo")),
     "process_quarter": _with("demo drug reac outc rpsr ther indi", body=_summary("demo", "drug", "reac", "outc", "rpsr", "ther", "indi")),
     "summary_totals": _with("demo drug ther", body=_TOTALS.format(_summary("demo", "drug", "ther"))),
+    "process_quarter_findings": _with("demo drug outc ther", body=" UNION ALL ".join([
+        _findings("demo", _DEMO_CELLS), _findings("drug", _DRUG_CELLS), _findings("outc", _OUTC_CELLS), _findings("ther", [_date_cell("start_dt"), _date_cell("end_dt")])])),
+    "report_lines": _with("demo drug ther", f"summary AS ({_summary('demo', 'drug', 'ther')})", _REPORT, body="""SELECT CAST(row_number() OVER (ORDER BY quarter, kind, i) - 1 AS INT) AS line_no, line
+  FROM (SELECT quarter, kind, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM parts)"""),
 }

@@ -14,7 +14,7 @@ from casewright.operators import cases, dedup, projections, quality, similarity,
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.plans import adapter, release
-from casewright.session import fresh_path, tune
+from casewright.session import fresh_path, stage, tune
 from casewright.sources import dims, files, lines
 from casewright.sources.tables import write_table
 from casewright.streaming import ingest
@@ -45,7 +45,12 @@ class Source:
         return cases.case_flags(newest, drug)
 
     def tree(self) -> DataFrame:
-        return voc.with_term_rank(self("term_tree").distinct(), ["soc", "hlt", "pt"])
+        return stage(voc.with_term_rank(self("term_tree").distinct(), ["soc", "hlt", "pt"]), "tree")
+
+    def layouts(self, kind: str, table: str | None = None, **options) -> DataFrame:
+        """Both layouts of a kind, each projected to the unified columns."""
+        old, new = (projections.project(df, table or kind, **options) for df in self(f"{kind}_old", f"{kind}_new"))
+        return old.unionByName(new)
 
 
 QUERIES: dict[str, Callable[[Source], DataFrame]] = {}
@@ -95,6 +100,19 @@ def file_manifest(s):
     return files.manifest(s.spark, path).select("file_name", "kind", "quarter").distinct()
 
 
+@query
+def file_errors(s):
+    """Error class per file; next to the sound files of the drop, one whose lines lack a field and one without lines."""
+    path = fresh_path(s.spark, "drop")
+    _write_drop(s, path)
+    short = s("drug_new").select(F.concat_ws("$", "primaryid", "drug_seq", "role_cod").alias("primaryid$drug_seq$role_cod$drugname"))
+    for rows, where in ((short, "rep_2004q2/ascii/DRUG04Q2.TXT"), (short.limit(0), "rep_2004q3/ascii/DRUG04Q3.TXT")):
+        rows.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(f"{path}/{where}")
+    found = files.discover(s.spark, path, "drug")
+    rows = files.read_groups(s.spark, files.header_groups(s.spark, found), "drug", flag_malformed=True, source_file=True)
+    return files.file_errors(rows, found)
+
+
 @query
 def unify_files(s):
     path, out = fresh_path(s.spark, "drop"), fresh_path(s.spark, "unified")
@@ -171,10 +189,13 @@ def quarter_calendar(s):
 
 @query
 def stream_ingest(s):
+    """All reports in two deliveries, each with rows of every quarter."""
     base = fresh_path(s.spark, "stream")
-    demo = s("demo").select("primaryid", "caseid", "caseversion", "fda_dt", "sex", "quarter")
-    demo.write.parquet(f"{base}/landing")
-    ingest.ingest_stream(s.spark, f"{base}/landing", demo.schema, f"{base}/table", f"{base}/state").awaitTermination()
+    demo = s("demo").select("primaryid", "caseid", "caseversion", "fda_dt", "sex", "i_f_cod", "quarter")
+    initial = F.coalesce(F.col("i_f_cod") == "I", F.lit(False))
+    for rows in (demo.filter(initial), demo.filter(~initial)):
+        rows.write.mode("append").parquet(f"{base}/landing")
+        ingest.ingest_stream(s.spark, f"{base}/landing", demo.schema, f"{base}/table", f"{base}/state").awaitTermination()
     return ingest.current_reports(s.spark, f"{base}/table", "caseid").select("caseid", "quarter", "primaryid")
 
 
@@ -182,7 +203,8 @@ def stream_ingest(s):
 
 @query
 def rename_columns(s):
-    return projections.rename_columns(s("drug_old"), S.ERA_NAMES["drug"])
+    old, new = (projections.rename_columns(df, S.ERA_NAMES["drug"]) for df in s("drug_old", "drug_new"))
+    return old.unionByName(new, allowMissingColumns=True)
 
 
 @query
@@ -192,37 +214,37 @@ def demo_columns(s):
 
 @query
 def drug_columns(s):
-    return projections.project(s("drug_old"), "drug")
+    return s.layouts("drug")
 
 
 @query
 def drug_info_columns(s):
-    return projections.project(s("drug_old"), "drug_info")
+    return s.layouts("drug", "drug_info")
 
 
 @query
 def reac_columns(s):
-    return projections.project(s("reac_old"), "reac")
+    return s.layouts("reac")
 
 
 @query
 def indi_columns(s):
-    return projections.project(s("indi_new"), "indi")
+    return s.layouts("indi")
 
 
 @query
 def outc_columns(s):
-    return projections.project(s("outc_new"), "outc", fill_empty=True)
+    return s.layouts("outc", fill_empty=True)
 
 
 @query
 def ther_columns(s):
-    return projections.project(s("ther_new"), "ther")
+    return s.layouts("ther")
 
 
 @query
 def rpsr_columns(s):
-    return projections.project(s("rpsr_old"), "rpsr")
+    return s.layouts("rpsr")
 
 
 @query
@@ -628,7 +650,7 @@ def split_drug_name(s):
 
 @query
 def split_reac(s):
-    return split.split_reac(s("reac"), s.release_demo(), s.tree(), True)
+    return split.split_reac(s("reac"), s.release_demo(), s.tree())
 
 
 @query
@@ -638,7 +660,7 @@ def split_outc(s):
 
 @query
 def split_indi(s):
-    return split.split_indi(s("indi"), s.release_demo(), s.tree(), True)
+    return split.split_indi(s("indi"), s.release_demo(), s.tree())
 
 
 @query
@@ -656,6 +678,49 @@ def split_drug_supp(s):
     return split.split_drug_supp(s("drug_info"), s.release_demo())
 
 
+# --- the composed release ---------------------------------------------------
+
+def _released(s: Source, name: str) -> DataFrame:
+    """One table of a release made from raw views."""
+    demo, drug, info, reac, outc, ther, rpsr, names = s("demo", "drug", "drug_info", "reac", "outc", "ther", "rpsr", "drug_dictionary")
+    tables = {
+        "demo": demo, "drug": drug.drop("trial", "substance", "substance_raw"), "drug_info": info, "outc": outc, "ther": ther, "rpsr": rpsr,
+        "reac": reac.select("primaryid", "quarter", F.col("pt_raw").alias("pt"), F.col("pt_raw").alias("drug_rec_act")),
+        "indi": s("indi_raw"),
+    }
+    out = fresh_path(s.spark, "release")
+    release.release(
+        tables, out, countries=s.dim("country"), dictionary=voc.drug_dictionary(names), terms=s.terms(),
+        hierarchy=voc.with_term_rank(s("pt_tree").distinct(), ["soc", "hlt", "pt"]),
+    )
+    return s.spark.read.parquet(f"{out}/{name}")
+
+
+@query
+def release_drug(s):
+    return _released(s, "drug")
+
+
+@query
+def release_reac(s):
+    return _released(s, "reac")
+
+
+@query
+def release_indi(s):
+    return _released(s, "indi")
+
+
+@query
+def release_doses(s):
+    return _released(s, "doses")
+
+
+@query
+def release_drug_supp(s):
+    return _released(s, "drug_supp")
+
+
 # --- profiles and validation ------------------------------------------------
 
 @query
@@ -710,7 +775,8 @@ def validate_drug(s):
 
 @query
 def validate_reac(s):
-    return quality.validation_result({"reac": projections.rename_columns(s("reac_old"), S.ERA_NAMES["reac"])})
+    old, new = (projections.rename_columns(df, S.ERA_NAMES["reac"]) for df in s("reac_old", "reac_new"))
+    return quality.validation_result({"reac": old.unionByName(new, allowMissingColumns=True)})
 
 
 @query
@@ -720,7 +786,9 @@ def validate_outc(s):
 
 @query
 def validate_indi(s):
-    return quality.validation_result({"indi": s("indi_new")})
+    """Both layouts under their newer names, which the rules do not know before they are unified."""
+    old, new = s("indi_old", "indi_new")
+    return quality.validation_result({"indi": old.toDF(*new.columns).unionByName(new)})
 
 
 @query
@@ -748,10 +816,18 @@ def quarter_summary(s):
     return quality.quarter_summary(s("demo"), "demo")
 
 
+def _quarter(s):
+    return release.process_quarter({k: s(k) for k in ("demo", "drug", "reac", "outc", "rpsr", "ther", "indi")})
+
+
 @query
 def process_quarter(s):
-    kinds = {k: s(k) for k in ("demo", "drug", "reac", "outc", "rpsr", "ther", "indi")}
-    return release.process_quarter(kinds)[1]
+    return _quarter(s)[1]
+
+
+@query
+def process_quarter_findings(s):
+    return _quarter(s)[0]
 
 
 @query
@@ -761,8 +837,7 @@ def summary_totals(s):
 
 @query
 def report_lines(s):
-    text = quality.render_report(quality.run_summary({k: s(k) for k in ("demo", "drug", "ther")}))
-    return s.spark.createDataFrame(list(enumerate(text.splitlines())), "line_no int, line string")
+    return quality.report_lines(stage(quality.run_summary({k: s(k) for k in ("demo", "drug", "ther")}), "summary"))
 
 
 def bind(fn: Callable[[Source], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

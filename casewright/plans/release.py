@@ -90,6 +90,7 @@ def release(
     if details is None:
         details = {name: dims.built_in(countries.sparkSession, name) for name in ("route", "dose_form", "dose_freq", "unit")}
     tables = standardize_terms(tables, stage(terms, "terms"))
+    hierarchy = stage(hierarchy, "hierarchy")
     drug = stage(voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug")
     demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
     demo = stage(clean_cases({**tables, "drug": drug, "demo": demo}, countries), "demo")
@@ -113,12 +114,18 @@ def read_drop(spark: SparkSession, raw: str, folder: str | None = "ascii") -> di
     return {k: files.read_groups(spark, groups, k, flag_malformed=True) for k in S.FILE_KINDS if k in held}
 
 
+def sound_lines(df: DataFrame, kind: str, out: str) -> DataFrame:
+    """Lines of the right width; the others go to ``out/rejected/<kind>``."""
+    write_table(df.filter("_malformed"), f"{out}/rejected/{kind}")
+    return df.filter(~F.col("_malformed")).drop("_malformed")
+
+
 def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
-    """Repair and convert a drop to Parquet, one table per kind, next to its file list."""
+    """Repair and convert a drop to Parquet, one table per kind, next to its file list and its rejected lines."""
     listing = files.manifest(spark, raw, folder)
     write_table(listing.drop("quarter"), f"{out}/manifest")
     for kind, df in read_drop(spark, raw, folder).items():
-        write_table(df.drop("_malformed"), f"{out}/{kind}")
+        write_table(sound_lines(df, kind, out), f"{out}/{kind}")
     return spark.read.parquet(f"{out}/manifest")
 
 
@@ -133,21 +140,24 @@ def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "a
     for kind, df in read_drop(spark, raw, folder).items():
         parsed = stage(df, f"parsed-{kind}")
         parts.append(quality.quarter_summary(parsed, kind))
-        good = parsed.filter(~F.col("_malformed"))
+        good = sound_lines(parsed, kind, out)
         for table in [kind, "drug_info"] if kind == "drug" else [kind]:
             write_table(projections.project(good, table), f"{out}/{table}")
-        write_table(parsed.filter("_malformed"), f"{out}/rejected/{kind}")
     summary = reduce(DataFrame.unionByName, parts)
     summary.write.mode("overwrite").parquet(f"{out}/summary")
     return spark.read.parquet(f"{out}/summary")
 
 
 def unify_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
-    """A drop to its eight unified tables, equal rows kept once."""
+    """A drop to its eight unified tables, equal rows kept once; lines of the wrong width are rejected."""
     groups = files.header_groups(spark, files.discover(spark, raw, None, folder))
     unified = {}
     for table in S.TABLES:
-        df = projections.unify([files.read_groups(spark, groups, table)], table)
+        lines = files.read_groups(spark, groups, table, flag_malformed=True)
+        if "_malformed" in lines.columns:
+            # Drug details come from the lines of the drug table, whose rejects are written there.
+            lines = lines.filter(~F.col("_malformed")).drop("_malformed") if table == "drug_info" else sound_lines(lines, table, out)
+        df = projections.unify([lines], table)
         write_table(df, f"{out}/{table}")
         # With its schema named, a table no file had rows for reads as empty.
         unified[table] = spark.read.schema(df.schema).parquet(f"{out}/{table}")

@@ -16,7 +16,6 @@ from casewright.operators.standardize import clean_cells, drop_na_tokens
 from casewright.sources.lines import MERGED_RECORDS, split_merged_records
 
 LATIN1 = "ISO-8859-1"
-HEADER_BATCH = 64
 
 
 def logical_name(path: Column) -> Column:
@@ -66,6 +65,17 @@ class HeaderGroup:
     paths: list[str]
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The line at the start of a file, through Hadoop's file system, so only its first bytes are read."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, LATIN1)).readLine()
+    finally:
+        stream.close()
+
+
 def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
     """Group files by kind and header line.
 
@@ -76,15 +86,11 @@ def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
     logical = (
         files.filter("length > 0").groupBy("kind", logical_path(F.col("path")).alias("path")).agg(F.min("path").alias("first"))
     )
-    todo = [(r["kind"], r["path"], r["first"]) for r in logical.collect()]
     grouped: dict[tuple[str, str], list[str]] = {}
-    for start in range(0, len(todo), HEADER_BATCH):
-        heads = [
-            spark.read.text(first).limit(1).select(F.lit(kind).alias("kind"), F.lit(path).alias("path"), "value")
-            for kind, path, first in todo[start : start + HEADER_BATCH]
-        ]
-        for row in reduce(DataFrame.unionByName, heads).collect():
-            grouped.setdefault((row["kind"], row["value"].rstrip("\r\n")), []).append(row["path"])
+    for row in logical.collect():
+        line = first_line(spark, row["first"])
+        if line is not None:
+            grouped.setdefault((row["kind"], line.rstrip("\r\n")), []).append(row["path"])
     return [
         HeaderGroup(kind, [h.strip().strip("$").strip() for h in line.split("$")], sorted(paths))
         for (kind, line), paths in sorted(grouped.items())

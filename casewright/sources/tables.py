@@ -19,8 +19,3 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
-
-
-def replace_quarters(df: DataFrame, path: str) -> None:
-    """Overwrite only the quarters present in ``df``."""
-    df.hint("rebalance", "quarter").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(path)

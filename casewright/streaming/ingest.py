@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from casewright.operators.standardize import clean_cells
 from casewright.operators.dedup import latest_quarter
-from casewright.sources.tables import replace_quarters
+from casewright.sources.tables import write_table
 
 
 def ingest_stream(
     spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, fmt: str = "parquet"
 ) -> StreamingQuery:
-    """Clean every newly arrived file and replace the quarters it delivers.
+    """Clean every newly arrived file and add it to ``target`` as a delivery of its own.
 
-    Replacing whole quarters makes a repeated batch harmless: after a lost
-    executor or restart the same files give the same folders.
+    A delivery is a folder named by its batch, so nothing written before is
+    touched, and a batch repeated after a restart replaces just itself. A target
+    belongs to one checkpoint, whose batches number its deliveries.
     """
     arriving = spark.readStream.schema(schema).format(fmt).load(source)
 
-    def load(batch: DataFrame, _: int) -> None:
-        replace_quarters(clean_cells(batch), target)
+    def load(batch: DataFrame, number: int) -> None:
+        write_table(clean_cells(batch), f"{target}/delivery={number}")
 
     return (
         arriving.writeStream.foreachBatch(load)
@@ -32,6 +34,17 @@ def ingest_stream(
     )
 
 
+def ingested(spark: SparkSession, target: str, report: str = "primaryid") -> DataFrame:
+    """All rows delivered; what a later delivery has for a report and quarter replaces what earlier ones had.
+
+    Rows without a report id replace nothing and all stay.
+    """
+    rows = spark.read.parquet(target)
+    newest = Window.partitionBy(report, "quarter").orderBy(F.desc("delivery"))
+    named = rows.filter(F.col(report).isNotNull()).withColumn("_age", F.rank().over(newest)).filter("_age = 1").drop("_age")
+    return named.unionByName(rows.filter(F.col(report).isNull())).drop("delivery")
+
+
 def current_reports(spark: SparkSession, target: str, key: str = "primaryid") -> DataFrame:
-    """Newest quarter per report over everything ingested so far."""
-    return latest_quarter(spark.read.parquet(target), key)
+    """Newest quarter per key over everything ingested so far."""
+    return latest_quarter(ingested(spark, target), key)

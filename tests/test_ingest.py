@@ -93,14 +93,15 @@ def test_process_all_and_report(spark, drop, tmp_path):
 def test_unify_all(spark, drop, tmp_path):
     got = release.unify_all(spark, drop, str(tmp_path / "unified"))
     assert {k: df.count() for k, df in got.items()} == {
-        "demo": 5, "drug": 3, "drug_info": 3, "indi": 0, "outc": 0, "reac": 0, "rpsr": 0, "ther": 0}
+        "demo": 3, "drug": 3, "drug_info": 3, "indi": 0, "outc": 0, "reac": 0, "rpsr": 0, "ther": 0}
+    assert sorted(r["primaryid"] for r in spark.read.parquet(str(tmp_path / "unified" / "rejected" / "demo")).collect()) == ["4", "5"]
     assert all(set(df.columns) == set(S.TABLES[k]) for k, df in got.items())
 
 
 def test_bronze(spark, drop, tmp_path):
     out = str(tmp_path / "bronze")
     assert release.to_bronze(spark, drop, out).count() == 4
-    assert spark.read.parquet(f"{out}/demo").count() == 5
+    assert spark.read.parquet(f"{out}/demo").count() == 3 and spark.read.parquet(f"{out}/rejected/demo").count() == 2
     assert spark.read.parquet(f"{out}/drug").filter("quarter = '2011Q2'").count() == 3
 
 
@@ -109,7 +110,20 @@ def test_csv_sink(spark, rows, tmp_path):
     assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "c")).collect()] == [("1", "a")]
 
 
-def test_stream_replaces_quarters(spark, rows, tmp_path):
+def test_header_is_the_first_line_of_a_file_of_many_splits(spark, tmp_path):
+    lines = "".join(f"{i}$1$PS$name {i}\n" for i in range(20_000))
+    put(tmp_path, "q/ascii/DRUG14Q2.txt", "primaryid$drug_seq$role_cod$drugname\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        (group,) = files.header_groups(spark, files.discover(spark, str(tmp_path), "drug"))
+        assert group.header == ["primaryid", "drug_seq", "role_cod", "drugname"]
+        assert files.read_quarter_files(spark, str(tmp_path), "drug").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_stream_adds_deliveries(spark, rows, tmp_path):
     schema = "primaryid string, sex string, quarter string"
     landing, target, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
     first = rows([("1", " F ", "2020Q1"), ("2", "M", "2020Q1"), ("1", "M", "2020Q2")], schema)
@@ -117,9 +131,10 @@ def test_stream_replaces_quarters(spark, rows, tmp_path):
     ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
     rows([("1", "F", "2020Q2"), ("3", "", "2020Q2")], schema).write.mode("append").parquet(landing)
     ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(target).select("primaryid", "sex", "quarter").na.fill("-").collect())
-    assert got == [("1", "F", "2020Q1"), ("1", "F", "2020Q2"), ("2", "M", "2020Q1"), ("3", "-", "2020Q2")]
-    assert ingest.current_reports(spark, target).count() == 3
+    rows([("4", "M", "2020Q1"), (None, "F", "2020Q1")], schema).write.mode("append").parquet(landing)
+    ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
+    got = sorted(tuple(r) for r in ingest.ingested(spark, target).select("primaryid", "sex", "quarter").na.fill("-").collect())
+    assert got == [("-", "F", "2020Q1"), ("1", "F", "2020Q1"), ("1", "F", "2020Q2"), ("2", "M", "2020Q1"), ("3", "-", "2020Q2"), ("4", "M", "2020Q1")]
 
 
 def test_resolve_columns_ignores_case():
