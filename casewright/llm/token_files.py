@@ -40,6 +40,8 @@ from casewright.llm.common import all_pieces, documents
 
 MAGIC, HEAD = b"FVB1", struct.Struct("<4sIQQ")
 SEGMENT_IDS = 1 << 19
+#: Distinct words a worker keeps the ids of; about 200 bytes each.
+WORDS_HELD = 600_000
 #: Lengths of the four codes of a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype="<u4")
@@ -102,7 +104,7 @@ class WordTokenizer:
         self.own.no_truncation()
         self.own.no_padding()
         self.signs = {byte: sign for sign, byte in byte_symbols().items()}
-        self.pool = Pool(self.encode_chunks)
+        self.pool = Pool(self.encode_chunks, WORDS_HELD)
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Plain words go to the library's merge model as they are; others through the whole tokenizer."""
@@ -111,7 +113,13 @@ class WordTokenizer:
         odd = []
         for i, chunk in enumerate(chunks):
             low = chunk.lower()
-            if low.isalpha() and chunk.isalpha() and is_normalized("NFC", chunk) and "\u03a3" not in chunk:
+            if chunk.isascii():
+                # ASCII letters are their own signs and always in normal form.
+                if chunk.isalpha():
+                    found[i] = [t.id for t in model(low)]
+                else:
+                    odd.append(i)
+            elif low.isalpha() and chunk.isalpha() and is_normalized("NFC", chunk) and "\u03a3" not in chunk:
                 found[i] = [t.id for t in model(low.encode().decode("latin-1").translate(signs))]
             else:
                 odd.append(i)
