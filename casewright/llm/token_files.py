@@ -41,7 +41,7 @@ from casewright.llm.common import all_pieces, documents
 MAGIC, HEAD = b"FVB1", struct.Struct("<4sIQQ")
 SEGMENT_IDS = 1 << 19
 #: Distinct words a worker keeps the ids of; about 200 bytes each.
-WORDS_HELD = 600_000
+WORDS_HELD = 1_200_000
 #: Lengths of the four codes of a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype="<u4")
