@@ -18,11 +18,17 @@ share a key with a different context, each window is compared by hash. Tasks
 settle what repeats among their own rows first, so a passage in very many
 documents sends a few rows per task, not one per document.
 
+With ``words``, lengths and places count words instead of bytes: a passage goes if
+``length`` words in a row also start at another place, however many bytes they
+have. Words lie between ASCII white space, of any kind and amount, and are
+compared by 64-bit hashes of their bytes; a word goes with the white space behind
+it, a text's first word also with that before it.
+
 Texts are named by their 64-bit hash and size; equal texts are handled once.
 Windows are compared by 64-bit hashes.
 
-Defined results: null and empty texts, and texts under ``length`` bytes, lose
-nothing; equal texts of ``length`` bytes or more lose all; matches within one text
+Defined results: null and empty texts, and texts under ``length`` bytes (or
+words), lose nothing; equal texts of that length or more lose all; matches within one text
 count, also overlapping ones; an empty table gives an empty result; other
 columns are never read by ``repeats``; ``cleaned`` keeps them as they are.
 """
@@ -37,10 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewright.llm.common import all_pieces, mix, possible, running_hash, span_hash, text_list
+from casewright.llm.common import all_pieces, mix, possible, running_hash, span_hash, text_list, word_hashes
 from casewright.session import Workspace, stage
 
 LENGTH, GRAM = 400, 32
+WORD_GRAM = 4
+#: ASCII white space to a blank, all else as it is.
+BY_BLANK = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per byte
 BATCHES = 3
 
@@ -59,6 +68,20 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
 
 
+def units(texts: list[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes, or hashes of the words, of all texts in order, and their number in each text."""
+    if words:
+        return word_hashes(texts, BY_BLANK)
+    return np.frombuffer(b"".join(texts), dtype=np.uint8), np.array([len(t) for t in texts], dtype=np.int64)
+
+
+def word_bounds(text: bytes) -> np.ndarray:
+    """Where each word begins, the first at 0, and the text's end."""
+    blank = np.frombuffer(text.translate(BY_BLANK), dtype=np.uint8) == 32
+    starts = np.flatnonzero(~blank & np.append(True, blank[:-1]))
+    return np.concatenate([[0], starts[1:], [len(text)]])
+
+
 @dataclass(frozen=True)
 class Runs:
     """Runs of windows with one anchor: text number, then anchor, first and last window from the text's start."""
@@ -72,10 +95,9 @@ class Runs:
     after: np.ndarray
 
     @staticmethod
-    def of(texts: list[bytes], length: int = LENGTH) -> Runs:
-        gram = min(GRAM, length)
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        chars = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    def of(texts: list[bytes], length: int = LENGTH, words: bool = False) -> Runs:
+        gram = min(WORD_GRAM if words else GRAM, length)
+        chars, sizes = units(texts, words)
         none, half = np.zeros(0, dtype=np.int64), length // 2
         if len(chars) < length:
             return Runs(none, none, none, none, *(none.astype(np.uint64),) * 3)
@@ -112,11 +134,11 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def entries(df: DataFrame, length: int, batches: int) -> DataFrame:
+def entries(df: DataFrame, length: int, batches: int, words: bool = False) -> DataFrame:
     """``batch, key, ctx, n``: the sorted-out entries of every batch of texts."""
     def run(batch_rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in all_pieces(batch_rows, limit=PIECE):
-            runs = Runs.of(text_list(batch.column("text")), length)
+            runs = Runs.of(text_list(batch.column("text")), length, words)
             number = (np.array(batch.column("h").to_numpy(zero_copy_only=False)).view(np.uint64) % np.uint64(batches)).astype(np.int32)[runs.text]
             for key in (runs.before, runs.after):
                 there = key != 0
@@ -160,10 +182,10 @@ class Family:
         return entries.join(keys.distinct(), "key", "left_semi").groupBy("key", "ctx").agg(F.sum("n").alias("n"))
 
 
-def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int = BATCHES) -> Family:
+def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> Family:
     """The index of all texts; its tables lie in ``work``."""
     path = work.path("suffix_batches")
-    entries(df, length, batches).sortWithinPartitions("batch", "key", "ctx").write.partitionBy("batch").parquet(path)
+    entries(df, length, batches, words).sortWithinPartitions("batch", "key", "ctx").write.partitionBy("batch").parquet(path)
     every = work.spark.read.schema("key long, ctx long, n long, batch int").parquet(path)
     family = Family(work)
     for number in range(batches):
@@ -181,10 +203,10 @@ def _contexts(repeated: DataFrame) -> DataFrame:
     return found.filter("whole OR before OR after")
 
 
-def _runs(df: DataFrame, length: int) -> DataFrame:
+def _runs(df: DataFrame, length: int, words: bool = False) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in all_pieces(batches, limit=PIECE):
-            runs = Runs.of(text_list(batch.column("text")), length)
+            runs = Runs.of(text_list(batch.column("text")), length, words)
             at = pa.array(runs.text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h").take(at), batch.column("nb").take(at), *[pa.array(x.astype(np.int32)) for x in (runs.anchor, runs.first, runs.last)], _long(runs.context)],
@@ -196,7 +218,7 @@ def _runs(df: DataFrame, length: int) -> DataFrame:
 _WINDOWS = "pk long, ctx long, place long"  # place: first and last window from the run's first, and whether settled, in bits
 
 
-def _windows(texts: DataFrame, length: int) -> DataFrame:
+def _windows(texts: DataFrame, length: int, words: bool = False) -> DataFrame:
     """Hashes of the windows to compare; those that repeat within a task's rows come out settled.
 
     Of windows alike in a task, the first context's hash stands for all.
@@ -207,7 +229,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
         for batch in all_pieces(batches, limit=PIECE):
             hashes, contexts, places, single = [], [], [], []
             for text, asked in zip(text_list(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
-                sums = running_hash(np.frombuffer(text, dtype=np.uint8))
+                sums = running_hash(units([text], words)[0])
                 for one in asked:
                     at = np.arange(one["first"], one["last"] + 1)
                     long = one["anchor"] - at >= half
@@ -261,17 +283,17 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[i
     return b"".join([*kept, text[at:]]), joined
 
 
-def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> DataFrame:
     """``h, nb, spans, kept``: for each different text that loses bytes, the spans that go and the bytes that stay.
 
-    ``h`` and ``nb`` are ``xxhash64`` and size of the text.
+    ``h`` and ``nb`` are ``xxhash64`` and size of the text; spans are in bytes.
     """
     # Tables go as soon as what is made of them is written.
     index, work = Workspace(df.sparkSession, "suffix_index"), Workspace(df.sparkSession, "suffix_work")
-    repeated = work.stage(build(df, index, length, batches).repeated(), "repeated_entries")
+    repeated = work.stage(build(df, index, length, batches, words).repeated(), "repeated_entries")
     index.clear()
     contexts = work.stage(_contexts(repeated), "contexts")
-    runs = work.stage(_runs(df, length).join(contexts, "ctx"), "repeated_runs")
+    runs = work.stage(_runs(df, length, words).join(contexts, "ctx"), "repeated_runs")
     asked = runs.filter("before OR after").groupBy("ctx").agg(F.min(F.struct("h", "nb", "anchor", "first", "last", "whole", "before", "after")).alias("r")).select("ctx", "r.*")
     asked = stage(asked, "asked_contexts")
     whole = runs.filter("whole").select("h", "nb", F.struct("first", "last").alias("span"), F.lit(None).cast("struct<ctx:bigint,anchor:int,first:int,last:int,whole:boolean,before:boolean,after:boolean>").alias("ask"))
@@ -283,7 +305,7 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
     work.clear()
 
     alike = Window.partitionBy("pk")
-    windows = _windows(texts.filter(F.size("asked") > 0), length)
+    windows = _windows(texts.filter(F.size("asked") > 0), length, words)
     windows = windows.withColumn("least", F.min("ctx").over(alike)).withColumn("most", F.max("ctx").over(alike)).filter("place & 1 = 1 OR least != most")
     windows = windows.withColumn("low", F.shiftright("place", 33).cast("int")).withColumn("high", F.shiftright("place", 1).bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
     places = asked.filter("NOT whole").select("ctx", "h", "nb", F.col("first").alias("base"))
@@ -295,7 +317,11 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Data
             hs, nbs, gone, kept = [], [], [], []
             rows = zip(text_list(batch.column("text")), batch.column("h").to_pylist(), batch.column("nb").to_pylist(), batch.column("spans").to_pylist(), batch.column("more").to_pylist(), strict=True)
             for text, h, nb, spans, others in rows:
-                rest, joined_spans = _cut(text, [(s["first"], s["last"] + length) for s in [*(spans or []), *(others or [])]])
+                places = [(s["first"], s["last"] + length) for s in [*(spans or []), *(others or [])]]
+                if words:
+                    bounds = word_bounds(text).tolist()
+                    places = [(bounds[a], bounds[b]) for a, b in places]
+                rest, joined_spans = _cut(text, places)
                 if joined_spans:
                     hs.append(h)
                     nbs.append(nb)
@@ -320,12 +346,12 @@ def digest(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataF
     )
 
 
-def cleaned(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+def cleaned(df: DataFrame, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> DataFrame:
     """All rows and columns of ``df``, with repeated strings cut from ``text``.
 
     A cut inside a character drops the rest of that character.
     """
-    found = repeats(df, length, batches).select("h", "nb", "kept")
+    found = repeats(df, length, batches, words).select("h", "nb", "kept")
     text = F.coalesce("text", F.lit(""))
     keyed = df.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in df.columns], F.xxhash64(text).alias("h"), F.octet_length(text).alias("nb"))
     joined = keyed.join(found, ["h", "nb"], "left")

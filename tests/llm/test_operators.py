@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from casewright.llm import bpe, decontaminate, jaccard_join, neighbours, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
 from casewright.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY, vocabulary
 
@@ -122,6 +123,40 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.digest(frame(spark, [])).count() == 0
 
 
+def brute_passages(rows, length):
+    texts, count = [(i, (t or "").split()) for i, t in rows], {}
+    for _, t in texts:
+        for p in range(len(t) - length + 1):
+            count[tuple(t[p : p + length])] = count.get(tuple(t[p : p + length]), 0) + 1
+    out = []
+    for i, t in texts:
+        gone = {q for p in range(len(t) - length + 1) if count[tuple(t[p : p + length])] > 1 for q in range(p, p + length)}
+        out.append((-1 if i is None else i, [w for q, w in enumerate(t) if q not in gone]))
+    return sorted(out)
+
+
+def test_suffix_dedup_by_words(spark):
+    shared = lorem(9, 60)
+    few, other = "\n".join(shared.split()[:50]), " ".join(shared.split()[5:58])
+    rows = ODD + [(20, lorem(1, 40) + " " + shared + " " + lorem(2, 30)), (21, shared + "  " + lorem(3, 9)), (22, lorem(4, 200)), (23, lorem(5, 9) + "\t" + few + "\n"), (24, other + " " + lorem(6, 70)), (25, " " + lorem(7, 51) + "\n"), (26, lorem(7, 51))]
+    for length in (8, 51):
+        got = suffix_dedup.cleaned(frame(spark, rows), length, words=True).collect()
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], (r["text"] or "").split()) for r in got) == brute_passages(rows, length)
+    assert {r["doc_id"]: r["text"] for r in got}[25] == ""
+
+
+def test_pipeline_cuts_passages_of_51_words(spark):
+    passage = lorem(9, 52)
+    assert len(passage) < 320
+    own = [lorem(i, 30) for i in range(6)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]}\n{passage}", f"{own[3]} " + " ".join(passage.split()[:50]), lorem(7, 60), f" {passage}\n", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int")
+    got = {r["doc_id"]: r for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    # 50 words of the passage stay, a text of nothing but the passage goes.
+    assert {i: r["text"].split() for i, r in got.items()} == {0: (own[0] + " " + own[1]).split(), 1: own[2].split(), 2: texts[2].split(), 3: texts[3].split(), 5: []}
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
 def test_decontamination(spark):
     item = lorem(3, 14)
     docs = frame(spark, ODD + [(30, lorem(4, 30) + " " + item.upper() + "! " + lorem(5, 5)), (31, lorem(6, 50)), (32, "one two three")])
