@@ -10,13 +10,14 @@ double precision, on the original vectors.
 
 Lists are cut into parts of about ``PART_ROWS`` rows by a hash of the row, so a
 list that holds many rows (copies of one vector) is many tasks; every part
-reports its own nearest, at most ``k`` per query, and the best of all are kept.
+reports its own nearest, at most ``k`` different ids per query, and the best of all are kept.
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part; a repeated query row is one
 query; rows that share the query's id are not its neighbours; ties go to the
 smaller id; with fewer candidates than ``k`` all are returned; a table without
-valid vectors gives an empty result; extra columns are ignored.
+valid vectors gives an empty result; an id with several different vectors is one
+neighbour, as far as its nearest; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,16 +91,17 @@ def rotation(size: int, seed: int) -> np.ndarray:
 
 
 def scan(query: np.ndarray, query_id: int, ids: np.ndarray, vectors: np.ndarray, turned: np.ndarray, turn: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and distances of the nearest rows of one part, with ties to smaller ids.
+    """Ids and distances of the ``k`` nearest different ids of one part, each by its nearest row, with ties to smaller ids.
 
-    ``turned`` has the rotated vectors, one row per dimension, so a block of
-    columns is contiguous.
+    ``ids`` are in order. ``turned`` has the rotated vectors, one row per
+    dimension, so a block of columns is contiguous.
     """
     there = np.flatnonzero(ids != query_id)
-    if len(there) > k:
+    heads = there[np.append(True, ids[there][1:] != ids[there][:-1])[: len(there)]]
+    if len(heads) > k:
         spun, size = turn @ query, len(query)
-        # The first rows give a bound; it only falls from there.
-        first = there[: 4 * k]
+        # One row of each of the first ids gives a bound; it only falls from there.
+        first = heads[: 4 * k]
         bound = np.partition(((vectors[first] - query) ** 2).sum(axis=1), k - 1)[k - 1]
         part, left = np.zeros(len(there)), there
         for start in range(0, size, BLOCK):
@@ -110,7 +112,9 @@ def scan(query: np.ndarray, query_id: int, ids: np.ndarray, vectors: np.ndarray,
             part, left = part[keep], left[keep]
         there = left
     distance = np.sqrt(((vectors[there] - query) ** 2).sum(axis=1))
-    best = np.lexsort((ids[there], distance))[:k]
+    best = np.lexsort((ids[there], distance))
+    # The first place of each id, the nearest first.
+    best = best[np.sort(np.unique(ids[there][best], return_index=True)[1])[:k]]
     return ids[there][best], distance[best]
 
 
@@ -128,10 +132,11 @@ def search(df: DataFrame, is_query: Column, config: Config = Config(), id_column
         return pd.Series(nearest(np.array(v.tolist()), held.value) if len(v) else [], dtype="int32")
 
     listed = stage(rows.withColumn("list", own_list("v")), "vector_lists")
-    # At most max_lists counts.
+    # At most max_lists counts; an id with several vectors counts in one of its lists.
     counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
+    homes = {r["list"]: r["count"] for r in listed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect()}
     lists = len(held.value)
-    sizes = np.array([counts.get(i, 0) for i in range(lists)])
+    sizes, different = (np.array([n.get(i, 0) for i in range(lists)]) for n in (counts, homes))
     parts = np.maximum(1, -(-sizes // PART_ROWS))
     probes, k = max(1, int(np.ceil(config.probes * lists))), config.k
 
@@ -139,8 +144,8 @@ def search(df: DataFrame, is_query: Column, config: Config = Config(), id_column
     def probed(v: pd.Series) -> pd.Series:
         middle = held.value
         order = ((middle**2).sum(1) - 2 * np.array(v.tolist()).reshape(-1, middle.shape[1]) @ middle.T).argsort(axis=1, kind="stable")
-        # As many lists as planned, and more until they hold enough rows.
-        enough = (np.cumsum(sizes[order], axis=1) <= 2 * k).sum(axis=1) + 1
+        # As many lists as planned, and more until they hold enough different ids.
+        enough = (np.cumsum(different[order], axis=1) <= 2 * k).sum(axis=1) + 1
         return pd.Series([o[: max(probes, n)] for o, n in zip(order, enough, strict=True)])
 
     queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))

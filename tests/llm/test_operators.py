@@ -226,3 +226,15 @@ def test_neighbours(spark):
         best = sorted((float(np.sqrt(((w - v) ** 2).sum())), i) for i, w in good if i != q)[:5]
         assert [(r["vec_id"], r["rank"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [(i, k + 1) for k, (_, i) in enumerate(best)]
     assert neighbours.search(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_neighbours_of_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(0, np.zeros(8) + 0.1)] + [(1 + i % 2, np.zeros(8) + rng.normal(scale=0.01, size=8)) for i in range(60)] + [(10 + i, rng.normal(size=8) + 3) for i in range(40)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    for config in (neighbours.Config(k=5), neighbours.Config(k=5, rows_per_list=5, probes=0.05)):
+        got = sorted((r["rank"], r["vec_id"]) for r in neighbours.search(df, F.col("vec_id") == 0, config).collect())
+        assert [rank for rank, _ in got] == [1, 2, 3, 4, 5] and {i for _, i in got[:2]} == {1, 2}
+        if config.probes > 0.5:
+            nearest = {i: min(float(np.sqrt(((v - rows[0][1]) ** 2).sum())) for j, v in rows if j == i) for i, _ in rows[1:]}
+            assert [i for _, i in got] == sorted(nearest, key=nearest.get)[:5]
