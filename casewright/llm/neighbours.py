@@ -11,6 +11,8 @@ double precision, on the original vectors.
 Lists are cut into parts of about ``PART_ROWS`` rows by a hash of the row, so a
 list that holds many rows (copies of one vector) is many tasks; every part
 reports its own nearest, at most ``k`` different ids per query, and the best of all are kept.
+Queries are dealt into blocks of about ``QUERY_ROWS`` by a hash likewise, and a part
+is sent once to each block, so a task holds a bounded number of rows and queries.
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part; a repeated query row is one
@@ -34,6 +36,7 @@ from casewright.session import stage
 EPSILON = 3.0
 BLOCK = 16
 PART_ROWS = 4096
+QUERY_ROWS = 4096
 _KINDS = "query_id long, vec_id long, score double"
 
 
@@ -150,8 +153,11 @@ def search(df: DataFrame, is_query: Column, config: Config = Config(), id_column
 
     queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     number = spark.createDataFrame([(i, int(p)) for i, p in enumerate(parts)], "list int, parts int")
+    blocks = max(1, -(-queries.count() // QUERY_ROWS))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "q"), F.lit(blocks)).cast("int"))
     asked = queries.withColumn("list", F.explode(probed("q"))).join(F.broadcast(number), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     held_rows = listed.join(F.broadcast(number), "list").withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int")).drop("parts")
+    held_rows = held_rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     seed = config.seed
 
     def one_part(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
@@ -167,7 +173,8 @@ def search(df: DataFrame, is_query: Column, config: Config = Config(), id_column
             out.append(pd.DataFrame({"query_id": np.full(len(found), query_id), "vec_id": found, "score": distance}))
         return pd.concat(out)
 
-    near = held_rows.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInPandas(one_part, _KINDS)
+    keys = ["list", "part", "block"]
+    near = held_rows.groupBy(keys).cogroup(asked.groupBy(keys)).applyInPandas(one_part, _KINDS)
     # A repeated id keeps its nearest vector.
     once = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))

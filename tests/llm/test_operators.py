@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -238,3 +239,15 @@ def test_neighbours_of_ids_with_several_vectors(spark):
         if config.probes > 0.5:
             nearest = {i: min(float(np.sqrt(((v - rows[0][1]) ** 2).sum())) for j, v in rows if j == i) for i, _ in rows[1:]}
             assert [i for _, i in got] == sorted(nearest, key=nearest.get)[:5]
+
+
+def test_neighbours_bound_the_queries_of_a_group(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    config = neighbours.Config(k=3, probes=1.0)
+    whole = sorted(map(tuple, neighbours.search(df, F.col("vec_id") < 200, config).collect()))
+    asked, cogroup = [], GroupedData.cogroup
+    monkeypatch.setattr(GroupedData, "cogroup", lambda self, other: asked.append(other) or cogroup(self, other))
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20, raising=False)
+    assert sorted(map(tuple, neighbours.search(df, F.col("vec_id") < 200, config).collect())) == whole and len(whole) == 600
+    assert asked[0].count().agg(F.max("count")).first()[0] < 60
