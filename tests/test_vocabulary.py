@@ -44,6 +44,16 @@ def test_hierarchy_order(spark, rows, folder):
     assert [tuple(r) for r in ranked.collect()] == [("Fatigue", 2), (None, None)]
 
 
+def test_one_branch_is_ranked_in_many_ranges(rows, monkeypatch):
+    names = [("Sa", f"H{i % 3}", f"P{i:03}") for i in range(300)]
+    staged, stage = [], getattr(voc, "stage", None)
+    monkeypatch.setattr(voc, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1], raising=False)
+    monkeypatch.setattr(voc, "RANK_ROWS", 20, raising=False)
+    ranked = voc.with_term_rank(rows(names[::-1], "soc string, hlt string, pt string"), ["soc", "hlt", "pt"])
+    assert sorted(map(tuple, ranked.collect())) == [(*t, i + 1) for i, t in enumerate(sorted(names))]
+    assert staged and staged[0].groupBy("_range").count().agg({"count": "max"}).first()[0] < 60
+
+
 def test_country_file(spark, rows, folder):
     countries = dims.load_dim(spark, f"{folder}/countries.csv", "country")
     demo = rows([("US",), (" na ",), ("FR",), ("XE",), ("A1",), ("zz",), ("",), (None,)], "occr_country string")
