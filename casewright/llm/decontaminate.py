@@ -6,8 +6,10 @@ windows of ``window`` words (the whole item, if it is shorter) that occur give
 the documents' places, and consecutive places are joined into longest matches.
 No text is shuffled: the benchmark, a stated query set, goes to every shard.
 
-A benchmark beyond ``PASS_BYTES`` is searched in several passes of that size, so
-no task holds more of it. Words are compared by 64-bit hashes.
+A benchmark beyond ``PASS_BYTES`` is dealt into passes of about that size, written
+as a table. One pass at a time is loaded, searched and its hits written, so neither
+the driver nor a task holds more of it; each pass reads all documents. Words are
+compared by 64-bit hashes.
 
 Defined results: null and empty texts, and texts of signs only, have no words
 and no hits; items without words match nothing, items with a null id match under
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.llm.common import BY_SIGN, all_pieces, text_list, word_hashes
-from casewright.session import stage
+from casewright.session import fresh_path, stage
 
 WINDOW = 10
 PASS_BYTES = 4 << 20
@@ -138,22 +140,24 @@ class Shard:
         return list(zip(text.tolist(), item[first].tolist(), (place[first] - self.first[text]).tolist(), start[first].tolist(), words.tolist(), strict=True))
 
 
-def _passes(benchmark: DataFrame) -> list[Items]:
-    """The benchmark's items in sets of at most ``PASS_BYTES`` bytes of text (one item at least)."""
-    sets, rows, size = [], [], 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text")).toLocalIterator():
-        body = row["text"].encode()
-        if rows and size + len(body) > PASS_BYTES:
-            sets.append(rows)
-            rows, size = [], 0
-        rows.append((row["item"], body))
-        size += len(body)
-    out = []
-    for rows in [*sets, rows]:
-        words, sizes = word_hashes([b for _, b in rows], BY_SIGN) if rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        there = sizes > 0
-        out.append(Items([i for (i, _), ok in zip(rows, there, strict=True) if ok], words, np.concatenate([[0], np.cumsum(sizes[there])])))
-    return out
+def _numbered(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """``item, text, pass`` of the items that have text, and the number of passes of about ``PASS_BYTES`` bytes each."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").filter(F.octet_length("text") > 0)
+    passes = max(1, -(-(items.agg(F.sum(F.octet_length("item") + F.octet_length("text"))).first()[0] or 0) // PASS_BYTES))
+    if passes == 1:
+        return items.withColumn("pass", F.lit(0)), 1
+    path = fresh_path(benchmark.sparkSession, "benchmark_passes")
+    # By row, so that equal items spread too.
+    items.withColumn("pass", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(passes)).cast("int")).repartition("pass").write.partitionBy("pass").parquet(path)
+    return benchmark.sparkSession.read.schema("item string, text string, pass int").parquet(path), passes
+
+
+def _load(items: DataFrame, number: int) -> Items:
+    """The items of one pass that have words."""
+    rows = [(row["item"], row["text"].encode()) for row in items.filter(F.col("pass") == number).select("item", "text").toLocalIterator()]
+    words, sizes = word_hashes([b for _, b in rows], BY_SIGN) if rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    there = sizes > 0
+    return Items([i for (i, _), ok in zip(rows, there, strict=True) if ok], words, np.concatenate([[0], np.cumsum(sizes[there])]))
 
 
 _SPANS = "array<struct<doc_word:int,n_words:int,item:string,item_word:int>>"
@@ -179,14 +183,15 @@ def _search_pass(docs: DataFrame, items: Items, window: int) -> DataFrame:
 
 def search(df: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, spans`` for every document; spans are in order of place."""
-    passes = _passes(benchmark)
+    numbered, passes = _numbered(benchmark)
     docs = df.select("doc_id", "text")
-    if len(passes) == 1:
-        return _search_pass(docs, passes[0], window).withColumn("spans", F.array_sort("spans"))
+    if passes == 1:
+        return _search_pass(docs, _load(numbered, 0), window).withColumn("spans", F.array_sort("spans"))
     docs = stage(docs.withColumn("row", F.monotonically_increasing_id()), "contamination_rows")
     found = None
-    for items in passes:
-        one = _search_pass(docs, items, window)
+    for number in range(passes):
+        # Every document comes out of the first pass, of the others those with hits.
+        one = stage(_search_pass(docs, _load(numbered, number), window).filter((F.size("spans") > 0) | F.lit(number == 0)), "contamination_spans")
         found = one if found is None else found.unionByName(one)
     whole = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
     return whole.select("doc_id", "n_words", F.array_sort("spans").alias("spans"))
@@ -204,9 +209,15 @@ def hit_words(spans: str = "spans") -> Column:
 
 def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``df`` that no benchmark window occurs in, all columns unchanged."""
-    for items in _passes(benchmark):
-        df = _clean_pass(df, items, window)
-    return df
+    numbered, passes = _numbered(benchmark)
+    if passes == 1:
+        return _clean_pass(df, _load(numbered, 0), window)
+    docs = stage(df.withColumn("_row", F.monotonically_increasing_id()), "contamination_rows")
+    hit = None
+    for number in range(passes):
+        one = stage(_search_pass(docs.select("_row", "text"), _load(numbered, number), window).filter(F.size("spans") > 0).select("_row"), "contamination_hits")
+        hit = one if hit is None else hit.unionByName(one)
+    return docs.join(hit.distinct(), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _clean_pass(df: DataFrame, items: Items, window: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -169,6 +170,28 @@ def test_decontamination(spark):
     assert decontaminate.search(docs, bench.limit(0)).filter("size(spans) > 0").count() == 0
 
 
+def test_decontamination_loads_one_pass_at_a_time(spark, monkeypatch):
+    items = [lorem(100 + i, 14) for i in range(12)]
+    docs = frame(spark, ODD + [(30 + i, lorem(200 + i, 30) + " " + t + " " + items[i - 1]) for i, t in enumerate(items[:6])] + [(50, lorem(300, 40))])
+    bench = spark.createDataFrame([*enumerate(items), (12, None), (13, "!"), (None, items[0]), (0, items[0])], "item_id long, text string")
+
+    def results():
+        found = sorted((r["doc_id"] or -1, r["n_words"], r["spans"]) for r in decontaminate.search(docs, bench).collect())
+        return found, sorted(r["doc_id"] or -1 for r in decontaminate.clean(docs, bench).collect())
+
+    whole, begin, seen, alive = results(), decontaminate.Items.__init__, [], []
+
+    def watched(self, *parts):
+        begin(self, *parts)
+        seen.append(weakref.ref(self))
+        alive.append(sum(r() is not None for r in seen))
+
+    monkeypatch.setattr(decontaminate.Items, "__init__", watched)
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 200)
+    assert results() == whole and 50 in whole[1] and 30 not in whole[1]
+    assert len(seen) > 6 and max(alive) <= 2
+
+
 def test_language_model(spark):
     trie_texts = [lorem(i, 20).encode() for i in range(8)]
     keys, counts = np.unique(ppm.strings(trie_texts, 3)[0], return_counts=True)
