@@ -10,8 +10,9 @@ text is the run's context.
 The index holds, in order of key, one entry per anchor and half: the key is the
 hash of the ``length / 2`` bytes before or after the anchor, one of which lies
 in any window. Equal contexts share an entry with a count, so copies cost
-nothing. New batches are sorted, scanned against all levels for common keys, and
-then join the family: two levels of a size become one of twice the size.
+nothing. Every ``BATCH_BYTES`` of text are a batch. New batches are sorted, meet all
+levels by a semi join on the keys, and then join the family: two levels of a size
+become one of twice the size, and their own tables go.
 
 Contexts that occur more than once are repeats throughout. For the others, which
 share a key with a different context, each window is compared by hash. Tasks
@@ -51,7 +52,7 @@ WORD_GRAM = 4
 #: ASCII white space to a blank, all else as it is.
 BY_BLANK = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per byte
-BATCHES = 3
+BATCH_BYTES = 512 << 20  # bytes of text a batch of the index has
 
 
 def group_ends(first: np.ndarray, count: int) -> np.ndarray:
@@ -152,23 +153,26 @@ class Family:
 
     def __init__(self, work: Workspace):
         self.work = work
-        self.levels: list[DataFrame | None] = []
+        self.levels: list[tuple[DataFrame, Workspace | None] | None] = []
         self.keys: list[DataFrame] = []
 
-    def add(self, batch: DataFrame) -> None:
-        """Scan a batch (``key, ctx, n``, a table) against itself and all levels, then take it in."""
+    def add(self, batch: DataFrame, home: Workspace | None = None) -> None:
+        """Join a batch (``key, ctx, n``, a table, which ``home`` holds) with itself and all levels, then take it in."""
         found = batch.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
         for level in self.levels:
             if level is not None:
-                found = found.unionByName(batch.select("key").join(level.select("key"), "key", "left_semi"))
+                found = found.unionByName(batch.select("key").join(level[0].select("key"), "key", "left_semi"))
         self.keys.append(self.work.stage(found.distinct(), "repeated_keys"))
         depth = 0
         while depth < len(self.levels) and self.levels[depth] is not None:
-            both = batch.unionByName(self.levels[depth])
-            batch = self.work.stage(both.groupBy("key", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "ctx"), "suffix_level")
-            self.levels[depth] = None
+            level, old = self.levels[depth]
+            new = self.work.inside("suffix_level")
+            batch = new.stage(batch.unionByName(level).groupBy("key", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "ctx"), "level")
+            for merged in filter(None, (home, old)):
+                merged.clear()
+            self.levels[depth], home = None, new
             depth += 1
-        self.levels[depth : depth + 1] = [batch]
+        self.levels[depth : depth + 1] = [(batch, home)]
 
     def repeated(self) -> DataFrame:
         """``key, ctx, n`` of all entries whose key was found more than once."""
@@ -176,20 +180,23 @@ class Family:
         for more in self.keys[1:]:
             keys = keys.unionByName(more)
         entries = None
-        for level in filter(None, self.levels):
+        for level, _ in filter(None, self.levels):
             own = level.select("key", "ctx", "n")
             entries = own if entries is None else entries.unionByName(own)
         return entries.join(keys.distinct(), "key", "left_semi").groupBy("key", "ctx").agg(F.sum("n").alias("n"))
 
 
-def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> Family:
+def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int | None = None, words: bool = False) -> Family:
     """The index of all texts; its tables lie in ``work``."""
-    path = work.path("suffix_batches")
+    if batches is None:
+        batches = max(1, -(-(df.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BATCH_BYTES))
+    whole = work.inside("suffix_batches")
+    path = whole.folder
     entries(df, length, batches, words).sortWithinPartitions("batch", "key", "ctx").write.partitionBy("batch").parquet(path)
     every = work.spark.read.schema("key long, ctx long, n long, batch int").parquet(path)
     family = Family(work)
     for number in range(batches):
-        family.add(every.filter(F.col("batch") == number).select("key", "ctx", "n"))
+        family.add(every.filter(F.col("batch") == number).select("key", "ctx", "n"), whole.at(f"batch={number}"))
     return family
 
 
@@ -283,7 +290,7 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[i
     return b"".join([*kept, text[at:]]), joined
 
 
-def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> DataFrame:
+def repeats(df: DataFrame, length: int = LENGTH, batches: int | None = None, words: bool = False) -> DataFrame:
     """``h, nb, spans, kept``: for each different text that loses bytes, the spans that go and the bytes that stay.
 
     ``h`` and ``nb`` are ``xxhash64`` and size of the text; spans are in bytes.
@@ -334,7 +341,7 @@ def repeats(df: DataFrame, length: int = LENGTH, batches: int = BATCHES, words:
     return joined.mapInArrow(run, "h long, nb int, spans array<struct<start:int,end:int>>, kept binary")
 
 
-def digest(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+def digest(df: DataFrame, length: int = LENGTH, batches: int | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every document."""
     found = repeats(df, length, batches).select("h", "nb", F.size("spans").alias("n_spans"), F.octet_length("kept").alias("n_kept"), F.sha2("kept", 256).alias("sha"))
     text = F.coalesce("text", F.lit(""))
@@ -346,7 +353,7 @@ def digest(df: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataF
     )
 
 
-def cleaned(df: DataFrame, length: int = LENGTH, batches: int = BATCHES, words: bool = False) -> DataFrame:
+def cleaned(df: DataFrame, length: int = LENGTH, batches: int | None = None, words: bool = False) -> DataFrame:
     """All rows and columns of ``df``, with repeated strings cut from ``text``.
 
     A cut inside a character drops the rest of that character.

@@ -82,6 +82,15 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
 
+    def at(self, name: str) -> Workspace:
+        """A folder in this one, which can also be cleared alone."""
+        part = Workspace(self.spark, name)
+        part.folder = f"{self.folder}/{name}"
+        return part
+
+    def inside(self, name: str) -> Workspace:
+        return self.at(f"{name}-{uuid.uuid4().hex[:12]}")
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)

@@ -125,6 +125,19 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.digest(frame(spark, [])).count() == 0
 
 
+def test_suffix_dedup_batches_follow_the_input(spark, monkeypatch):
+    shared = lorem(9, 60)
+    rows = ODD + [(20, lorem(1, 40) + shared + lorem(2, 30)), (21, shared + lorem(3, 9)), (23, shared[:150] + "!" + shared[150:])] + [(30 + i, lorem(30 + i, 60)) for i in range(20)]
+    added, add = [], suffix_dedup.Family.add
+    monkeypatch.setattr(suffix_dedup.Family, "add", lambda self, *batch: (add(self, *batch), added.append(sum(x is not None for x in self.levels)))[0])
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 2000, raising=False)
+    got = suffix_dedup.digest(frame(spark, rows), 40).collect()
+    assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in got) == brute_repeats(rows, 40)
+    # As many levels as the number of batches has binary ones.
+    assert len(added) == -(-sum(len((t or "").encode()) for _, t in rows) // 2000) > 4
+    assert added == [(i + 1).bit_count() for i in range(len(added))]
+
+
 def brute_passages(rows, length):
     texts, count = [(i, (t or "").split()) for i, t in rows], {}
     for _, t in texts:
