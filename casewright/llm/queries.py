@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import session
-from casewright.llm import bpe, decontaminate, jaccard_join, neighbours, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
+from casewright.llm import bpe, conversations, decontaminate, jaccard_join, licenses, neighbours, phrases, ppm, sharding, suffix_dedup, token_files, toxicity, url_filters
 from casewright.llm.common import fold, table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -88,13 +89,81 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"), session.Workspace(spark, "phrases"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.judge(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.tune(spark)
+    return conversations.digest(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op5_jaccard_join, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination, op10_suffix_dedup)
+    q.__name__: q for q in (
+        op1_toxicity, op2_lm_scoring, op3_token_files, op4_bpe, op5_jaccard_join, op6_url_filters, op7_nearest_neighbours, op8_sharding, op9_decontamination, op10_suffix_dedup,
+        op11_phrases, op12_licenses, op13_conversations,
+    )
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _pattern(markup: str) -> str:
+    """A license template as a regular expression over words that are each followed by a blank."""
+    out = " "
+    for mark, low, high, word in re.findall(r"<<(/?optional|replace \w+ (\d+)\.\.(\d+))>>|([A-Za-z0-9]+)", markup):
+        if word:
+            out += word.lower() + " "
+        else:
+            out += {"optional": "(?:", "/optional": ")?"}.get(mark, "(?:[^ ]+ ){" + f"{low},{high}" + "}")
+    return out
+
+
+def _labels(lists: str) -> str:
+    return f"array_to_string(list_sort(list_distinct({lists})), ',')"
+
+
+_PHRASE_WORDS = [(p.split(), label) for p, label in licenses.PHRASES]
+_BASE_STARTS = " || ".join(
+    f"list_filter(range(0, len(w)), lambda i: w[i + 1 : i + {len(p)}] = {p})" for p, _ in _PHRASE_WORDS)
+_BASE_LABELS = " || ".join(f"CASE WHEN contains(t, ' {' '.join(p)} ') THEN ['{label}'] ELSE [] END" for p, label in _PHRASE_WORDS)
+_TEMPLATE_LABELS = " || ".join(f"CASE WHEN regexp_matches(t, '{_pattern(m)}') THEN ['{label}'] ELSE [] END" for label, m in licenses.TEMPLATES)
+
 ORACLE: dict[str, str] = {
+    "op11_phrases": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\n\x0B\x0C\r]')), '[^ \t]+') AS w FROM documents
+        ), sized AS (SELECT lang, w, unnest(range(1, 6)) AS size FROM pieces
+        ), grams AS (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM sized
+        ), f AS (SELECT lang, size, w[i : i + size - 1] AS words, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 100
+        ), totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang
+        ), inside AS (SELECT lang, unnest([words[1 : size - 1], words[2 : size]]) AS words, c FROM f
+        ), kept AS (SELECT * FROM f WHERE size > 1 AND NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = f.lang AND x.words = f.words AND 100 * x.c >= 100 * f.c)
+        ), cuts AS (SELECT lang, words, size, c, unnest(range(1, size)) AS k FROM kept
+        ), scored AS (
+            SELECT x.lang, x.words, x.c AS a, x.k, l.c AS l, r.c AS r, t.n,
+                   1000 * CAST(x.c AS HUGEINT) * CAST(t.n AS HUGEINT) // (CAST(l.c AS HUGEINT) * CAST(r.c AS HUGEINT)) AS score
+            FROM cuts x JOIN totals t ON t.lang = x.lang JOIN f l ON l.lang = x.lang AND l.words = x.words[1 : x.k] JOIN f r ON r.lang = x.lang AND r.words = x.words[x.k + 1 : x.size]
+        ), lowest AS (
+            SELECT *, array_to_string(words, ' ') AS phrase, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS cut FROM scored
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE cut = 1)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""",
+    "op12_licenses": f"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), joined AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS t FROM words
+        ), found AS (SELECT doc_id, w, {_BASE_STARTS} AS starts, {_BASE_LABELS} AS base, {_TEMPLATE_LABELS} AS own FROM joined)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(starts) AS BIGINT) AS n_base, list_min(starts) AS first_word, list_max(starts) AS last_word,
+               {_labels('base')} AS base_labels, {_labels('base || own')} AS labels,
+               CASE WHEN len(own) > 0 THEN 1.0 WHEN len(starts) > 0 THEN 0.5 ELSE 0.0 END AS score
+        FROM found""",
     "op6_url_filters": f"""
         WITH cut AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
