@@ -2,49 +2,85 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 64
+from casewright.session import Workspace
 
+#: Rows compared with each other in one array.
+CHUNK_ROWS = 64
 
-def _in_small_groups(copies: DataFrame, need: int) -> DataFrame:
-    """Rows with a partner, for keys of at most ``SMALL_GROUP`` distinct rows: compared inside one array."""
 
-    def agree(a: Column, b: Column) -> Column:
-        same = F.zip_with(a["_cells"], b["_cells"], lambda x, y: x == y)
-        return F.size(F.filter(same, lambda x: x)) >= need
+def _cells(columns: list[str]) -> Column:
+    """The compared values of a row; structs compare null with null as equal."""
+    return F.array(*[F.struct(F.col(f"_row.{c}").cast("string").alias("text")) for c in columns])
 
-    groups = copies.groupBy("_key").agg(F.collect_list(F.struct("_row", "_n", "_cells")).alias("_group"))
 
-    def has_partner(x: Column, i: Column) -> Column:
-        others = F.filter("_group", lambda _, j: i != j)
-        return (x["_n"] > 1) | F.exists(others, lambda o: agree(o, x))
+def _dealt(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
+    """Each row once per part of its remaining columns, in the bucket of the values it has there."""
+    left, part, cells = F.col("_left"), F.col("_part"), F.col("_cells")
+    return (
+        rows.withColumn("_cells", _cells(columns))
+        .withColumn("_part", F.explode(F.array(*[F.lit(j) for j in range(parts)])))
+        .withColumn("_picked", F.filter(left, lambda _, i: i % parts == part))
+        .select(
+            "_row", "_seeks", "_key", F.filter(left, lambda _, i: i % parts != part).alias("_left"),
+            F.concat("_path", F.array(part)).alias("_path"),
+            F.concat("_values", F.transform("_picked", lambda c: F.element_at(cells, c + 1))).alias("_values"),
+        )
+    )
 
-    return groups.select(F.explode(F.filter("_group", has_partner)).alias("g")).select("g._row")
 
+def _partners(rows: DataFrame, columns: list[str], need: int) -> DataFrame:
+    """Rows that find a partner among the rows of their bucket and chunk, where all are compared."""
 
-def _in_large_groups(copies: DataFrame, need: int, n: int) -> DataFrame:
-    """The same for any number of rows per key, without forming pairs.
+    def agree(a: Column, b: Column) -> Column:
+        same = F.zip_with(a["_cells"], b["_cells"], lambda x, y: x == y)
+        return F.size(F.filter(same, lambda x: x)) >= need
 
-    A row has a partner agreeing on ``need`` of ``n`` columns exactly if, for some
-    choice of ``need`` columns, another row of its key holds the same values there.
-    Each distinct row is written once per choice and choices seen twice are
-    counted: linear in the rows, times C(n, need).
-    """
-    choices = [sum(1 << i for i in pick) for pick in combinations(range(n), need)]
-    marks = copies.withColumn("_pick", F.explode(F.lit(choices).cast("array<bigint>"))).select(
-        "_row", "_n", "_key", "_pick", F.filter("_cells", lambda _, i: F.getbit("_pick", i) == 1).alias("_values")
-    )
-    shared = marks.groupBy("_key", "_pick", "_values").agg(F.sum("_n").alias("_seen")).filter("_seen > 1")
-    return marks.join(shared.drop("_seen"), ["_key", "_pick", "_values"], "left_semi").select("_row")
+    member = F.struct("_row", "_seeks", _cells(columns).alias("_cells"))
+    groups = rows.groupBy("_key", "_path", "_values", "_chunk").agg(F.collect_list(member).alias("_group")).filter(F.size("_group") > 1)
+    found = F.filter("_group", lambda x, i: x["_seeks"] & F.exists(F.filter("_group", lambda _, j: i != j), lambda o: agree(o, x)))
+    return groups.select(F.explode(found).alias("_found")).select("_found._row")
 
 
-def similarity_filter(
-    df: DataFrame, keys: list[str], threshold: float = 0.9, small_group: int = SMALL_GROUP
-) -> DataFrame:
+def _search(work: Workspace, rows: DataFrame, columns: list[str], need: int, chunk_rows: int) -> list[DataFrame]:
+    """Rows with a partner that agrees on ``need`` columns, found bucket by bucket.
+
+    Rows that agree on ``need`` of ``n`` columns differ in ``n - need`` at most, so
+    of ``n - need + 1`` parts of the columns they agree on one as a whole: each
+    row goes to one bucket per part and meets all its partners in some of them.
+    Inside a bucket rows are compared in chunks. That settles all buckets of one
+    chunk; of larger ones it settles the rows that found somebody. Those that
+    did not go on: the columns left are dealt to as many parts again, and the
+    bucket's rows meet them in the smaller buckets so formed, until the buckets
+    are small or agree on enough columns already.
+    """
+    parts = len(columns) - need + 1
+    bucket = ["_key", "_path", "_values"]
+    found = []
+    while True:
+        dealt = work.stage(_dealt(rows, columns, parts), "buckets")
+        sizes = dealt.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_size"), F.bool_or("_seeks").alias("_sought")).filter("_size > 1 AND _sought")
+        chunk = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_size") / F.lit(chunk_rows)).cast("long"))
+        met = work.stage(dealt.join(sizes, bucket).withColumn("_chunk", chunk), "met")
+        # As many columns are left as were needed less what the bucket shares, plus the parts but one.
+        enough = F.size("_left") < parts
+        settled = met.filter(enough & F.col("_seeks")).select("_row").unionByName(_partners(met.filter(~enough), columns, need))
+        found.append(work.stage(settled.distinct(), "found"))
+        large = met.filter(~enough & (F.col("_size") > chunk_rows))
+        have = reduce(DataFrame.unionByName, found).withColumnRenamed("_row", "_have")
+        large = large.join(have.distinct(), F.col("_row") == F.col("_have"), "left").withColumn("_seeks", F.col("_seeks") & F.col("_have").isNull())
+        large = work.stage(large.select("_row", "_seeks", "_key", "_left", "_path", "_values"), "large")
+        open_buckets = large.filter("_seeks").select(*bucket).distinct()
+        rows = work.stage(large.join(open_buckets, bucket, "left_semi"), "rows")
+        if rows.isEmpty():
+            return found
+
+
+def similarity_filter(df: DataFrame, keys: list[str], threshold: float = 0.9, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Rows whose best partner under the same key agrees on at least ``threshold`` of the other columns.
 
     Two nulls agree, one null does not; a row alone under its key is kept. Equal
@@ -56,24 +92,25 @@ def similarity_filter(
         return df
     if threshold > 1:
         return df.filter(F.lit(False))
+    work = Workspace(df.sparkSession, "similarity")
     # Structs compare field by field with null equal to null, as the rule asks.
     keyed = df.withColumn("_row", F.struct(*df.columns))
-    copies = (
-        keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_row", "_n",
-            F.struct(*[F.col(f"_row.{k}") for k in keys]).alias("_key"),
-            F.array(*[F.struct(F.col(f"_row.{c}").cast("string").alias("text")) for c in others]).alias("_cells"),
-        )
-    )
-    sizes = copies.groupBy("_key").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"))
-    kept = copies.join(sizes.filter("_rows = 1"), "_key", "left_semi").select("_row")
-
+    copies = work.stage(
+        keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).select("_row", "_n", F.struct(*[F.col(f"_row.{k}") for k in keys]).alias("_key")), "copies")
+    sizes = copies.groupBy("_key").agg(F.sum("_n").alias("_rows"))
+    kept = [copies.join(sizes.filter("_rows = 1"), "_key", "left_semi").select("_row")]
     # The share is compared as the quotient itself, so 9/10 meets 0.9 exactly.
     need = next((m for m in range(1, n + 1) if m / n >= threshold), None)
     if need is not None:
-        small = sizes.filter((F.col("_rows") > 1) & (F.col("_distinct") <= small_group))
-        large = sizes.filter(F.col("_distinct") > small_group)
-        kept = kept.unionByName(_in_small_groups(copies.join(small, "_key", "left_semi"), need))
-        kept = kept.unionByName(_in_large_groups(copies.join(large, "_key", "left_semi"), need, n))
-    return keyed.join(kept.distinct(), "_row", "left_semi").select(*df.columns)
+        kept.append(copies.filter("_n > 1").select("_row"))
+        rows = copies.join(sizes.filter("_rows > 1"), "_key", "left_semi").select(
+            "_row", (F.col("_n") == 1).alias("_seeks"), "_key", F.array(*[F.lit(c) for c in _by_variety(copies, others)]).alias("_left"),
+            F.expr("CAST(array() AS array<int>)").alias("_path"), F.expr("CAST(array() AS array<struct<text:string>>)").alias("_values"))
+        kept += _search(work, rows, others, need, chunk_rows)
+    return keyed.join(reduce(DataFrame.unionByName, kept).distinct(), "_row", "left_semi").select(*df.columns)
+
+
+def _by_variety(copies: DataFrame, columns: list[str]) -> list[int]:
+    """Columns with many values first, so that each part gets some of them."""
+    counts = copies.agg(*[F.approx_count_distinct(F.col(f"_row.{c}").cast("string")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return sorted(range(len(columns)), key=lambda i: (-counts[f"c{i}"], i))

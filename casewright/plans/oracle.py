@@ -264,6 +264,40 @@ def _similar(threshold: float) -> str:
                  body=f"SELECT caseid, {', '.join(_SIM)} FROM demo LEFT JOIN best USING (primaryid) WHERE sim IS NULL OR sim >= {threshold}")
 
 
+_LINK = {"sex": (0.9, -4.0, None), "age_in_days": (3.5, -3.0, 365), "wt_in_kgs": (2.5, -2.0, 2), "event_dt": (4.0, -3.0, None), "reporter_country": (1.5, -2.5, None),
+         "occr_country": (1.5, -2.0, None), "mfr_sndr": (2.0, -1.0, None), "rept_cod": (1.0, -0.5, None)}
+_LINK_LADDERS = [
+    "caseid sex age_in_days wt_in_kgs event_dt reporter_country occr_country mfr_sndr rept_cod fda_dt mfr_num",
+    "fda_dt reporter_country sex age_in_days wt_in_kgs event_dt occr_country mfr_sndr rept_cod caseid mfr_num",
+    "mfr_num event_dt sex age_in_days wt_in_kgs reporter_country occr_country mfr_sndr rept_cod caseid fda_dt",
+]
+
+
+def _linked(body: str) -> str:
+    """``scored``: pairs of profiles that share a block of at most 40, the first such pass, their agreement pattern and score."""
+    columns = sorted(_LINK_LADDERS[0].split())
+    blocks = []
+    for ladder in (x.split() for x in _LINK_LADDERS):
+        steps = [f"CASE WHEN {ladder[0]} IS NULL THEN NULL"]
+        for d in range(1, len(ladder) + 1):
+            prefix = ", ".join(ladder[:d])
+            block = f"[{', '.join(f'CAST({c} AS VARCHAR)' for c in ladder[:d])}]"
+            steps.append(f"ELSE {block}" if d == len(ladder) else f"WHEN count(*) OVER (PARTITION BY {prefix}) <= 40 THEN {block}")
+        blocks.append(" ".join(steps) + " END")
+    same = {c: f"a.{c} = b.{c}" if tolerance is None else f"abs(a.{c} - b.{c}) <= {tolerance}" for c, (_, _, tolerance) in _LINK.items()}
+    missing = {c: f"a.{c} IS NULL OR b.{c} IS NULL" for c in _LINK}
+    signs = " || ".join(f"CASE WHEN {missing[c]} THEN '-' WHEN {same[c]} THEN '1' ELSE '0' END" for c in _LINK)
+    total = " + ".join(f"CASE WHEN {missing[c]} THEN 0.0::DOUBLE WHEN {same[c]} THEN {agree}::DOUBLE ELSE {differ}::DOUBLE END" for c, (agree, differ, _) in _LINK.items())
+    pairs = []
+    for i in range(len(blocks)):
+        new = "".join(f" AND (a.b{j} IS NULL OR b.b{j} IS NULL OR a.b{j} <> b.b{j})" for j in range(i))
+        pairs.append(f"SELECT a, b, {i} AS pass FROM blocked a JOIN blocked b ON a.b{i} = b.b{i} AND a.id < b.id{new}")
+    return _with(
+        "demo", *_std("demo", "st"), f"profiles AS (SELECT {', '.join(columns)}, min(primaryid) AS id, count(*) AS n FROM st GROUP BY {', '.join(columns)})",
+        f"blocked AS (SELECT *, {', '.join(f'{b} AS b{i}' for i, b in enumerate(blocks))} FROM profiles)", f"pairs AS ({' UNION ALL '.join(pairs)})",
+        f"scored AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS n_a, b.n AS n_b, pass, {signs} AS pattern, round({total}, 6) AS score FROM pairs)", body=body)
+
+
 _RAW_AGE = f"""aged AS (SELECT *, CASE WHEN d0 > 44530 THEN CASE WHEN age_cod = 'DEC' THEN d0 / 3650 END ELSE d0 END AS age_in_days
   FROM (SELECT *, {_DAYS} AS d0 FROM demo)),
 years AS (SELECT *, round_even(age_in_days / 365, 0) AS age_in_years FROM aged)"""
@@ -427,6 +461,8 @@ ORACLE: dict[str, str] = {
     "role_lists": _with("drug", _rb("demo")[1], body="SELECT * FROM lists"),
     "similarity_filter": _similar(0.7),
     "similarity_filter_strict": _similar(0.9),
+    "linkage_score": _linked("SELECT * FROM scored WHERE score >= 9.0"),
+    "linkage_patterns": _linked("SELECT pattern, count(*) AS n_pairs FROM scored GROUP BY pattern"),
     "drop_nullified": _with("demo deleted", body="SELECT primaryid, caseid FROM demo WHERE caseid NOT IN (SELECT caseid FROM deleted)"),
     # cases
     "complete_reports": _with("demo drug reac", body=f"SELECT primaryid, caseid FROM demo WHERE primaryid IN {_NAMED_DRUG} AND primaryid IN {_NAMED_REAC}"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casewright import schemas as S
 from casewright.functions import text as X
 from casewright.functions import values as V
-from casewright.operators import cases, dedup, projections, quality, similarity, split
+from casewright.operators import cases, dedup, linkage, projections, quality, similarity, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.plans import adapter, release
@@ -195,7 +195,7 @@ def stream_ingest(s):
     initial = F.coalesce(F.col("i_f_cod") == "I", F.lit(False))
     for rows in (demo.filter(initial), demo.filter(~initial)):
         rows.write.mode("append").parquet(f"{base}/landing")
-        ingest.ingest_stream(s.spark, f"{base}/landing", demo.schema, f"{base}/table", f"{base}/state").awaitTermination()
+        ingest.ingest_stream(s.spark, f"{base}/landing", demo.schema, f"{base}/table", f"{base}/state", buckets=1).awaitTermination()
     return ingest.current_reports(s.spark, f"{base}/table", "caseid").select("caseid", "quarter", "primaryid")
 
 
@@ -576,6 +576,32 @@ def similarity_filter_strict(s):
     return similarity.similarity_filter(s("demo").select("caseid", *SIMILAR_COLUMNS), ["caseid"])
 
 
+#: Evidence in bits of agreeing and of differing values; ages agree within a year, weights within two kilograms.
+LINK_FIELDS = [
+    linkage.Field("sex", 0.9, -4.0), linkage.Field("age_in_days", 3.5, -3.0, tolerance=365.0), linkage.Field("wt_in_kgs", 2.5, -2.0, tolerance=2.0),
+    linkage.Field("event_dt", 4.0, -3.0), linkage.Field("reporter_country", 1.5, -2.5), linkage.Field("occr_country", 1.5, -2.0),
+    linkage.Field("mfr_sndr", 2.0, -1.0), linkage.Field("rept_cod", 1.0, -0.5),
+]
+LINK_PASSES = [["caseid"], ["fda_dt", "reporter_country"], ["mfr_num", "event_dt", "sex"]]
+LINK_BLOCK = 40
+
+
+@query
+def linkage_score(s):
+    """Reports that may tell of the same event under different ids, by fixed weights."""
+    demo = std.std_demo(s("demo"), s.dim("country"), True)
+    return linkage.linked_pairs(demo, LINK_FIELDS, LINK_PASSES, 9.0, max_block=LINK_BLOCK)
+
+
+@query
+def linkage_patterns(s):
+    """How often the fields of compared reports agree: what weights are learnt from."""
+    demo = std.std_demo(s("demo"), s.dim("country"), True)
+    found = stage(linkage.profiles(demo, LINK_FIELDS, LINK_PASSES), "profiles")
+    pairs = linkage.candidate_pairs(linkage.with_blocks(found, LINK_FIELDS, LINK_PASSES, LINK_BLOCK))
+    return linkage.pattern_counts(pairs, LINK_FIELDS)
+
+
 @query
 def drop_nullified(s):
     return dedup.drop_nullified(*s("demo", "deleted")).select("primaryid", "caseid")

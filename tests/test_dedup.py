@@ -118,15 +118,33 @@ def brute(data, n_keys, threshold):
     return sorted(kept, key=repr)
 
 
-@pytest.mark.parametrize("threshold,small", list(itertools.product([0.5, 0.75, 0.9, 1.0], [64, 0])))
-def test_similarity_equals_brute_force(rows, threshold, small):
+@pytest.mark.parametrize("threshold,chunk", list(itertools.product([0.5, 0.75, 0.9, 1.0], [64, 2])))
+def test_similarity_equals_brute_force(rows, threshold, chunk):
     rng = random.Random(7)
     data = [(rng.choice(["k1", "k1", "k2", None, f"u{i}"]), *[rng.choice(["a", "b", None]) for _ in range(4)]) for i in range(80)]
     df = rows(data, "k string, a string, b string, c string, d string")
-    got = sorted((tuple(r) for r in similarity.similarity_filter(df, ["k"], threshold, small).collect()), key=repr)
+    got = sorted((tuple(r) for r in similarity.similarity_filter(df, ["k"], threshold, chunk).collect()), key=repr)
     assert got == brute(data, 1, threshold)
 
 
+@pytest.mark.parametrize("threshold,chunk", [(0.7, 64), (0.9, 8)])
+def test_similarity_with_a_hot_key_and_many_columns(rows, threshold, chunk):
+    """A key with more rows than a chunk, and so many columns that their choices could not be listed."""
+    rng = random.Random(9)
+    bases = [tuple(rng.choice("abcdefgh") for _ in range(24)) for _ in range(12)]
+    data = []
+    for i in range(260):
+        cells = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 16)):
+            cells[rng.randrange(24)] = rng.choice(["x", "y", None, f"u{i}"])
+        data.append(("hot" if i % 5 else None, *cells))
+    data += data[:5]
+    df = rows(data, "k string, " + ", ".join(f"c{i} string" for i in range(24)))
+    got = sorted((tuple(r) for r in similarity.similarity_filter(df, ["k"], threshold, chunk).collect()), key=repr)
+    expected = brute(data, 1, threshold)
+    assert got == expected and 20 < len(expected) < len(data) - 20
+
+
 def test_similarity_edges(rows):
     df = rows([("k", 1.0), ("k", 1.0), ("j", 2.0)], "k string, v double")
     assert similarity.similarity_filter(df, ["k"]).count() == 3

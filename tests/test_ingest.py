@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from casewright import schemas as S
 from casewright.operators import projections, quality
@@ -137,6 +138,61 @@ def test_stream_adds_deliveries(spark, rows, tmp_path):
     assert got == [("-", "F", "2020Q1"), ("1", "F", "2020Q1"), ("1", "F", "2020Q2"), ("2", "M", "2020Q1"), ("3", "-", "2020Q2"), ("4", "M", "2020Q1")]
 
 
+def _table(spark, target):
+    return sorted(tuple(r) for r in ingest.ingested(spark, target).select("primaryid", "sex", "quarter").na.fill("-").collect())
+
+
+def test_a_delivery_rewrites_only_what_it_touches(spark, rows, tmp_path):
+    schema = "primaryid string, sex string, quarter string"
+    table = ingest.CurrentTable(spark, str(tmp_path / "t"), buckets=4)
+    table.deliver(rows([(str(i), "F", q) for i in range(40) for q in ("2020Q1", "2020Q2", None)], schema), 0)
+    before = table.pointers()
+    assert len(before) > 8 and set(before.values()) == {0}
+    table.deliver(rows([("7", "M", "2020Q2"), ("7", "X", "2020Q2"), ("99", "M", None), ("8", "M", None), (None, "U", "2020Q2")], schema), 1)
+    after = table.pointers()
+    changed = {s for s in after if after[s] != before.get(s)}
+    assert 2 <= len(changed) <= 4 and all(s.startswith(("2020Q2-", "none-")) for s in changed)
+    got = _table(spark, str(tmp_path / "t"))
+    assert len(got) == 120 - 2 + 5 and [r for r in got if r[0] == "7"] == [("7", "F", "-"), ("7", "F", "2020Q1"), ("7", "M", "2020Q2"), ("7", "X", "2020Q2")]
+    plan = ingest.ingested(spark, str(tmp_path / "t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    # What no pointer names can go; the rows stay.
+    gone = table.drop_unused()
+    assert gone and all(p.startswith("version=0/") for p in gone) and _table(spark, str(tmp_path / "t")) == got
+    assert table.versions() == [1]
+
+
+def test_a_delivery_that_failed_is_repeated_and_never_half_seen(spark, rows, tmp_path, monkeypatch):
+    schema = "primaryid string, sex string, quarter string"
+    target = str(tmp_path / "t")
+    table = ingest.CurrentTable(spark, target, buckets=2)
+    table.deliver(rows([("1", "F", "2020Q1"), ("2", "F", "2020Q1")], schema), 0)
+    second = rows([("1", "M", "2020Q1"), ("3", "M", "2020Q2")], schema)
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest.CurrentTable, "_switch", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.deliver(second, 1)
+    assert _table(spark, target) == [("1", "F", "2020Q1"), ("2", "F", "2020Q1")]
+    for _ in range(2):  # repeated after it was complete, too
+        ingest.CurrentTable(spark, target, buckets=2).deliver(second, 1)
+        assert _table(spark, target) == [("1", "M", "2020Q1"), ("2", "F", "2020Q1"), ("3", "M", "2020Q2")]
+    with pytest.raises(AnalysisException):
+        ingest.ingested(spark, str(tmp_path / "nothing"))
+
+
+def test_a_stream_restarts_from_its_checkpoint(spark, rows, tmp_path, monkeypatch):
+    schema = "primaryid string, sex string, quarter string"
+    landing, target, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    first = rows([("1", "F", "2020Q1")], schema)
+    first.write.parquet(landing)
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest.CurrentTable, "_switch", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(StreamingQueryException):
+            ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
+    ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
+    assert _table(spark, target) == [("1", "F", "2020Q1")] and ingest.CurrentTable(spark, target).versions() == [0]
+
+
 def test_resolve_columns_ignores_case():
     have = ["DRUGNAME", "sex", "Age_Cod"]
     assert projections.resolve_columns(have, ["drugname", "SEX", "age_cod", "gone"]) == {
