@@ -47,9 +47,11 @@ from casewright.session import Workspace
 #: A-Z to lower case, a tab to a blank, and the signs that end a piece to a line end.
 BY_PIECE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 LONGEST = 5
-CHUNK_BYTES = 4 << 20
-#: N-grams a map task holds before it sums them up, and those one hash partition takes in the mean.
-HELD, PART_MASS = 6_000_000, 1 << 26
+CHUNK_BYTES = 1 << 20
+#: N-grams a map task holds before it sums them up, those one hash partition takes in the mean, and counters sent in a row.
+HELD, PART_MASS, ROW_PRINTS = 4_000_000, 1 << 24, 1 << 15
+#: Tasks that merge summaries, at most; a task merges one partition after another.
+MERGE_TASKS = 20_000
 #: Bits of the maps sent to all tasks: 16 MB each.
 MAP_BITS = 27
 PRINT_BYTES = 5
@@ -134,20 +136,46 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _same_as(words: Words, other: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether each span of words has the bytes and the language of the span at the index ``other``."""
+    chars = np.frombuffer(words.data, dtype=np.uint8)
+    start, size = words.start[first], words.end[last] - words.start[first]
+    same = (size == size[other]) & (words.lang[first] == words.lang[first][other])
+    at = np.flatnonzero(same)
+    if len(at):
+        size = size[at]
+        heads = np.cumsum(size) - size
+        offset = np.arange(int(size.sum())) - np.repeat(heads, size)
+        equal = chars[np.repeat(start[at], size) + offset] == chars[np.repeat(start[other[at]], size) + offset]
+        same[at] = np.logical_and.reduceat(equal, heads)
+    return same
+
+
 class _Texts:
     """Exact counts of (language, words) in a task, flushed when there are many."""
 
-    def __init__(self, langs: dict[int, str], limit: int = 400_000):
+    def __init__(self, langs: dict[int, str], limit: int = 300_000):
         self.langs, self.limit, self.counts = langs, limit, {}
 
-    def add(self, words: Words, first: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Count the spans from the words ``first`` to the words ``last``."""
+    def add(self, words: Words, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Count the spans from the words ``first`` to the words ``last``.
+
+        Spans of equal hash are counted together once their bytes are compared.
+        """
+        if len(hashes):
+            _, index, inverse, together = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            apart = np.flatnonzero(~_same_as(words, index[inverse], first, last))
+            np.subtract.at(together, inverse[apart], 1)
+            self._count(words, first[index], last[index], together)
+            self._count(words, first[apart], last[apart], np.ones(len(apart), np.int64))
+        if len(self.counts) > self.limit:
+            yield self.flush()
+
+    def _count(self, words: Words, first: np.ndarray, last: np.ndarray, times: np.ndarray) -> None:
         counts, data = self.counts, words.data
-        for lang, a, b in zip(words.lang[first].tolist(), words.start[first].tolist(), words.end[last].tolist()):
+        for lang, a, b, n in zip(words.lang[first].tolist(), words.start[first].tolist(), words.end[last].tolist(), times.tolist()):
             key = lang, data[a:b]
-            counts[key] = counts.get(key, 0) + 1
-        if len(counts) > self.limit:
-            yield self.flush()
+            counts[key] = counts.get(key, 0) + n
 
     def flush(self) -> pa.RecordBatch:
         keys, self.counts, old = list(self.counts), {}, self.counts
@@ -166,7 +194,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         texts = _Texts(langs)
         for words in chunks(batches, langs):
             everything = np.arange(len(words.hashes))
-            yield from texts.add(words, everything, everything)
+            yield from texts.add(words, everything, everything, words.hashes)
         yield texts.flush()
 
     return _rows(docs).mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -287,13 +315,15 @@ def candidate_prints(docs: DataFrame, frequent: Bits, parts: int, threshold: int
             hashes, counts = np.unique(np.concatenate(waiting), return_counts=True)
             # The upper half of a hash names the partition, so the sorted hashes lie in order of partitions.
             part = (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+            heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             rows = []
-            for a, b in zip(heads, np.append(heads[1:], len(part))):
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(part)]):
                 rows.append((int(part[a]), 0, int(counts[a:b].sum()), None, None))
-                rows.append((int(part[a]), 1, None, _short(hashes[a:b]), counts[a:b].astype("<u4").tobytes()))
+                for c in range(a, b, ROW_PRINTS):
+                    d = min(c + ROW_PRINTS, b)
+                    rows.append((int(part[a]), 1, None, _short(hashes[c:d]), counts[c:d].astype("<u4").tobytes()))
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                 ["part", "kind", "mass", "prints", "counts"])
 
         for words in chunks(batches, {}):
@@ -327,7 +357,7 @@ def candidate_prints(docs: DataFrame, frequent: Bits, parts: int, threshold: int
             yield out(summary)
 
     sent = _rows(docs).mapInArrow(scan, PART_ROWS)
-    dealt = sent.repartition(parts, "part").sortWithinPartitions("part", "kind")
+    dealt = sent.repartition(min(parts, MERGE_TASKS), "part").sortWithinPartitions("part", "kind")
     return dealt.mapInArrow(reduce, "print long")
 
 
@@ -341,8 +371,9 @@ def count_phrases(docs: DataFrame, frequent: Bits, survivors: Bits, threshold: i
         texts = _Texts(langs)
         for words in chunks(batches, langs):
             for n, at, hashes in _frequent_runs(words, word_bits.value, longest):
-                at = at[gram_bits.value.has(hashes)]
-                yield from texts.add(words, at, at + n - 1)
+                kept = gram_bits.value.has(hashes)
+                at, hashes = at[kept], hashes[kept]
+                yield from texts.add(words, at, at + n - 1, hashes)
         yield texts.flush()
 
     counted = _rows(docs).mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
