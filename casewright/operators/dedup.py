@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright import schemas as S
+from casewright.operators.numbering import RANGE_ROWS, running
 
 
 def _number(name: str) -> Column:
@@ -149,6 +150,37 @@ def role_lists(drug: DataFrame, key: str = "primaryid") -> DataFrame:
     return drug_profile(drug, key).select(key, *[joined_terms(F.col(n)).alias(n) for n in ROLE_LISTS])
 
 
+CHUNK_BYTES = 1 << 20
+
+
+def term_chunks(
+    df: DataFrame, term: str, key: str = "primaryid", max_bytes: int = CHUNK_BYTES, sep: str = "; ", range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """``key, chunk, text``: a report's sorted terms with their repeats, in chunks that joined by ``sep`` give the whole list.
+
+    A chunk holds the occurrences that begin within its ``max_bytes`` of the
+    list, so no row is longer than that and one term, however many rows a
+    report has. Terms are counted first, and where each begins in its report's
+    list is summed over ranges of reports and terms: a report with a third of
+    all rows is spread over tasks like any other. Chunks are numbered by place;
+    one that lies inside a longer term has no row. A report without terms has an
+    empty chunk.
+    """
+    counted = df.groupBy(key, term).agg(F.count(F.lit(1)).alias("n")).filter(F.col(term).isNotNull())
+    sized = counted.withColumn("_size", (F.octet_length(term) + len(sep.encode())).cast("long"))
+    begun = running(sized, [key, term], F.col("_size") * F.col("n"), "_start", key, range_rows)
+    size, start, limit = F.col("_size"), F.col("_start"), F.lit(max_bytes).cast("long")
+    chunks = F.sequence(F.floor(start / limit), F.floor((start + (F.col("n") - 1) * size) / limit))
+    placed = begun.withColumn("chunk", F.explode(chunks))
+    # Occurrence j begins at start + j * size.
+    first = F.greatest(F.ceil((F.col("chunk") * limit - start) / size), F.lit(0))
+    end = F.least(F.ceil(((F.col("chunk") + 1) * limit - start) / size), F.col("n"))
+    pieces = placed.withColumn("_times", (end - first).cast("int")).filter("_times > 0")
+    lists = pieces.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct("_start", F.col(term).alias("term"), F.col("_times").alias("n")))).alias("l"))
+    empty = df.groupBy(key).agg(F.count(term).alias("n")).filter("n = 0").select(key, F.lit(0).cast("long").alias("chunk"), F.lit("").alias("text"))
+    return lists.select(key, "chunk", joined_terms(F.col("l"), sep).alias("text")).unionByName(empty)
+
+
 REPORT_FIELDS = ["event_dt", "sex", "reporter_country", "age_in_days", "wt_in_kgs"]
 
 

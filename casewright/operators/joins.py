@@ -10,39 +10,62 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SALTS = 32
+#: Part of all rows from which on a key is frequent.
+HOT_SHARE = 0.002
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Measure a dictionary: rows, and bytes of all its values plus a row overhead."""
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns],
-    )
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    """Measure a dictionary: rows, and bytes of all its values plus a row overhead. A frame is measured once."""
+    known = df.__dict__.setdefault("_casewright_size", [])
+    if not known:
+        width = reduce(
+            lambda a, b: a + b,
+            [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns],
+        )
+        known += df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, size = known
     return rows <= max_rows and size <= max_bytes
 
 
+def frequent_hashes(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all rows, from one pass with a sketch of fixed size.
+
+    The sketch's counts are too large by a small part of the rows at most, so no
+    frequent key is missed; there are ``1 / share`` of them at most, and as many that nearly are.
+    """
+    room = int(100 / share)
+    top = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(int(2 / share)), F.lit(room))
+    # Half the share leaves room for what the sketch is off.
+    found = df.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return [r["item"] for r in found["top"] if r["count"] > share / 2 * found["n"]]
+
+
 def salted_join(
-    big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salts: int = SALTS, share: float = HOT_SHARE
 ) -> DataFrame:
-    """Equi-join that spreads every key of ``big`` over ``salts`` tasks.
+    """Equi-join that spreads the frequent keys of ``big`` over ``salts`` tasks.
 
-    ``small`` is repeated once per salt, so any salt value finds all its matches.
-    The salt comes from the row's own values: a task that is run again after a
-    lost executor sends each row where the first run sent it.
+    Only these have their rows of ``small`` repeated, once per salt; all others
+    meet theirs under one. The salt comes from the row's own values: a task that
+    is run again after a lost executor sends each row where the first run sent
+    it. (A row number would also spread equal rows, but after a shuffle rows come
+    in another order when a task is repeated.)
     """
+    hot = frequent_hashes(big, on, share)
+    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
     hashable = [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    left = big.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*hashable), F.lit(salts))).otherwise(F.lit(0).cast("long")))
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(0).cast("long")
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
     df: DataFrame, dim: DataFrame, on: list[str], how: str = "left", measured: bool = False
 ) -> DataFrame:
-    """Join a dictionary: broadcast if it measures small, else salted.
+    """Join a dictionary: broadcast if it measures small, else with frequent keys salted.
 
     ``measured`` says the size is known already, as for the fixed built-in lists.
     """

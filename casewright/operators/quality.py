@@ -9,6 +9,7 @@ from casewright import schemas as S
 from casewright.functions import values as V
 from casewright.functions.text import lookup_key
 from casewright.operators.joins import lookup_join
+from casewright.operators.numbering import RANGE_ROWS, quantiles
 
 
 def value_distribution(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
@@ -29,21 +30,18 @@ def top_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
-    """Count, mean, deviation, extremes and linear quartiles.
+QUARTILES = [0.25, 0.5, 0.75]
 
-    The exact quartiles keep one counter per distinct value; the measured columns
-    are whole days, years and kilograms within fixed limits.
-    """
+
+def describe(df: DataFrame, column: str, digits: int = 6, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Count, mean, deviation, extremes and linear quartiles, exact for any number of different values."""
     c = F.col(column)
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.agg(
-        F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"), q.alias("q"), F.max(c).alias("max"),
-    )
+    q25, q50, q75 = quantiles(df, column, QUARTILES, range_rows)
+    out = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    number = lambda q: F.lit(q).cast("double")
     return out.select(
         "n", F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"), "min",
-        F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"), F.get("q", F.lit(2)).alias("q75"), "max",
+        number(q25).alias("q25"), number(q50).alias("q50"), number(q75).alias("q75"), "max",
     )
 
 
@@ -92,8 +90,8 @@ def _is_date(c: Column) -> Column:
     return V.full_date(c).isNotNull()
 
 
-def _bad_cells(df: DataFrame, kind: str) -> list[Column]:
-    """One entry per rule of the kind: the offending value, null when the cell is fine."""
+def bad_cells(df: DataFrame, kind: str) -> list[tuple[str, str, Column]]:
+    """(rule, column, value) per rule of the kind: the offending value, null when the cell is fine."""
     cells = []
     for column, allowed in S.ALLOWED.get(kind, {}).items():
         if column in df.columns:
@@ -103,12 +101,13 @@ def _bad_cells(df: DataFrame, kind: str) -> list[Column]:
         if column in df.columns:
             text = F.col(column).cast("string")
             cells.append(("full_date", column, F.when(~_is_date(text), text)))
-    return [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), v.alias("value")) for r, c, v in cells]
+    return cells
 
 
 def invalid_values(df: DataFrame, kind: str) -> DataFrame:
     """Every distinct offending value per rule and column, with its rows."""
-    bad = F.filter(F.array(*_bad_cells(df, kind)), lambda x: x["value"].isNotNull())
+    cells = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), v.alias("value")) for r, c, v in bad_cells(df, kind)]
+    bad = F.filter(F.array(*cells), lambda x: x["value"].isNotNull())
     return (
         df.select(F.explode(bad).alias("b"))
         .groupBy("b.rule", "b.column_name", "b.value")
@@ -131,7 +130,7 @@ def validate(df: DataFrame, kind: str) -> DataFrame:
     if absent:
         rows = [(kind, "required_column", c, "error", None, None, None, None) for c in absent]
         return spark.createDataFrame(rows, REPORT_SCHEMA)
-    if not _bad_cells(df, kind):
+    if not bad_cells(df, kind):
         return spark.createDataFrame([], REPORT_SCHEMA)
     return (
         invalid_values(df, kind)
@@ -155,22 +154,22 @@ def validation_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def validation_result(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: its rows, and whether it is free of errors."""
-    findings = validation_report(tables).groupBy("kind").agg(
-        F.count_if(F.col("severity") == "error").alias("n_errors"),
-        F.count_if(F.col("severity") == "warning").alias("n_warnings"),
-    )
-    rows = None
+    """One row per table: its rows, and whether it is free of errors; each table is read once."""
+    out = None
     for kind, df in tables.items():
-        n = df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_rows"))
-        rows = n if rows is None else rows.unionByName(n)
-    errors, warnings = F.coalesce("n_errors", F.lit(0)), F.coalesce("n_warnings", F.lit(0))
-    return rows.join(findings, "kind", "left").select(
-        "kind", "n_rows", (errors == 0).alias("valid"), errors.alias("n_errors"), warnings.alias("n_warnings")
-    )
+        known = kind in S.REQUIRED
+        errors = sum(c not in df.columns for c in S.REQUIRED[kind]) if known else 1
+        # A table with errors is not looked at further.
+        rules = bad_cells(df, kind) if known and not errors else []
+        figures = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(v).alias(f"n_{i}") for i, (_, _, v) in enumerate(rules)])
+        warnings = sum((F.when(F.col(f"n_{i}") > 0, 1).otherwise(0) for i in range(len(rules))), F.lit(0))
+        row = figures.select(
+            F.lit(kind).alias("kind"), "n_rows", F.lit(errors == 0).alias("valid"), F.lit(errors).cast("long").alias("n_errors"), warnings.cast("long").alias("n_warnings"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-def _bad_date(name: str) -> Column:
+def bad_date(name: str) -> Column:
     text = F.col(name).cast("string")
     return text.isNotNull() & ~_is_date(text)
 
@@ -179,7 +178,7 @@ def invalid_dates(df: DataFrame, fields: list[str], by: list[str] = ()) -> DataF
     """Per date field: rows whose value is present but no full date, and their share."""
     present = [f for f in fields if f in df.columns]
     counts = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(_bad_date(f)).alias(f) for f in present]
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(bad_date(f)).alias(f) for f in present]
     )
     long = counts.unpivot([*by, "n_rows"], present, "field", "n_invalid")
     return long.withColumn("pct", F.round(F.when(F.col("n_rows") > 0, 100.0 * F.col("n_invalid") / F.col("n_rows")), 1))
@@ -193,7 +192,7 @@ def quarter_summary(df: DataFrame, kind: str) -> DataFrame:
     lacking = [c for c in S.TABLES[kind] if c not in df.columns]
     dates = [c for c in S.DATE_FIELDS.get(kind, []) if c in df.columns]
     broken = F.count_if("_malformed") if "_malformed" in df.columns else F.lit(0)
-    bad_dates = sum((F.count_if(_bad_date(c)) for c in dates), F.lit(0))
+    bad_dates = sum((F.count_if(bad_date(c)) for c in dates), F.lit(0))
     return (
         df.groupBy("quarter")
         .agg(

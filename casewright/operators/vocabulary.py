@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from casewright import schemas as S
 from casewright.functions import text as X
 from casewright.operators.joins import lookup_join
-from casewright.session import stage
-
-#: Terms numbered together.
-RANK_ROWS = 20_000
+from casewright.operators.numbering import RANGE_ROWS, numbered
 
 
 def keep_last(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
@@ -158,21 +155,9 @@ def flat_hierarchy(levels: list[tuple[DataFrame, DataFrame | None]], names: list
     return with_term_rank(flat.drop("code"), names)
 
 
-def with_term_rank(flat: DataFrame, names: list[str]) -> DataFrame:
-    """Number the terms in tree order without sending all of them, or of a branch, to one task.
-
-    Rows are dealt by ranges of all names, about ``RANK_ROWS`` each, and numbered
-    inside them; the offsets come from one row per range. Ranges are drawn by
-    sampling, so they are staged before they are counted and numbered.
-    """
-    ranges = 1 + flat.count() // RANK_ROWS
-    dealt = stage(flat.repartitionByRange(ranges, *names).withColumn("_range", F.spark_partition_id()), "term_ranges")
-    inside = Window.partitionBy("_range").orderBy(*names)
-    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    ranked = dealt.withColumn("_pos", F.row_number().over(inside))
-    return ranked.join(offsets, "_range").select(*flat.columns, (F.col("_pos") + F.col("_offset")).cast("int").alias("pt_rank"))
+def with_term_rank(flat: DataFrame, names: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Number the terms in tree order without sending all of them, or of a branch, to one task."""
+    return numbered(flat, names, "pt_rank", range_rows=range_rows).withColumn("pt_rank", F.col("pt_rank").cast("int"))
 
 
 def rank_terms(df: DataFrame, column: str, hierarchy: DataFrame, measured: bool = False) -> DataFrame:

@@ -311,6 +311,17 @@ def _describe(relation: str, c: str) -> str:
 _DROP = f"""SELECT {_OLD_DRUG}, CAST(NULL AS VARCHAR) AS prod_ai, LOT_NUM AS lot_num, LOT_NBR AS lot_nbr, CAST(NULL AS VARCHAR) AS route, '1998Q4' AS quarter FROM drug_old
   UNION ALL SELECT {_NEW_DRUG}, prod_ai, lot_num, NULL, route, '2004Q1' FROM drug_new"""
 
+_CATEGORIES = ["role_cod", "substance", "route", "prod_ai"]
+_CODE_TABLE = "code_table AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS value, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INT) AS code FROM (SELECT DISTINCT {c} FROM drug WHERE {c} IS NOT NULL)"
+    for c in _CATEGORIES) + ")"
+_FILE_ERRORS = _with("drug_new", body="""SELECT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
+  CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter, count(*) AS n_rows, 0 AS n_malformed, NULL AS error_class FROM lineitem GROUP BY 1, 2, 3
+  UNION ALL SELECT 'DRUG04Q2.TXT', 'drug', '2004Q2', count(*), count(*), 'invalid_format' FROM drug_new
+  UNION ALL SELECT 'DRUG04Q3.TXT', 'drug', '2004Q3', 0, 0, 'empty_file'
+  UNION ALL SELECT 'DRUG04Q4.TXT', 'drug', '2004Q4', count(*), 0, 'missing_columns' FROM drug_new
+  UNION ALL SELECT 'DRUG05Q1.TXT', 'drug', '2005Q1', 0, 0, 'missing_columns' UNION ALL SELECT 'DRUG05Q2.TXT', 'drug', '2005Q2', 0, 0, 'invalid_format'""")
+
 ORACLE: dict[str, str] = {
     # sources and text
     "ingest_rows": _with("drug_old drug_new", body=_DROP),
@@ -320,10 +331,12 @@ ORACLE: dict[str, str] = {
     "unify_files": _with("drug_old drug_new", body=_stack("drug", _OLD_DRUG + ", CAST(NULL AS VARCHAR) AS prod_ai", _NEW_DRUG + ", prod_ai")),
     "file_manifest": """SELECT DISTINCT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
   CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter FROM lineitem""",
-    "file_errors": _with("drug_new", body="""SELECT CASE WHEN year(l_shipdate) < 1999 THEN 'DRUG98Q4.TXT' ELSE 'drug04q1.txt' END AS file_name, 'drug' AS kind,
-  CASE WHEN year(l_shipdate) < 1999 THEN '1998Q4' ELSE '2004Q1' END AS quarter, count(*) AS n_rows, 0 AS n_malformed, NULL AS error_class FROM lineitem GROUP BY 1, 2, 3
-  UNION ALL SELECT 'DRUG04Q2.TXT', 'drug', '2004Q2', count(*), count(*), 'invalid_format' FROM drug_new
-  UNION ALL SELECT 'DRUG04Q3.TXT', 'drug', '2004Q3', 0, 0, 'empty_file'"""),
+    "file_errors": _FILE_ERRORS,
+    "process_file_errors": _FILE_ERRORS,
+    # The file without names has no route either.
+    "process_findings": _with("drug_new", body="""SELECT 'drug' AS kind, 'allowed_values' AS rule, 'route' AS column_name, 'warning' AS severity, count(*) AS n_bad,
+  min(route) AS first_value, max(route) AS last_value FROM drug_new HAVING count(*) > 0"""),
+    "process_rejected": _with("drug_new", body="SELECT '2004Q2' AS quarter, count(*) AS n_lines, 0 AS n_names FROM drug_new HAVING count(*) > 0"),
     "parquet_sink": _with("reac", body="SELECT primaryid, pt, quarter FROM reac"),
     "detect_delimiter": _with("raw_lines", """counted AS (SELECT file_name, length(value) - length(replace(value, '$', '')) + 1 AS n_fields, count(*) AS n
   FROM raw_lines GROUP BY 1, 2)""", body="SELECT file_name, '$' AS delimiter, max(n) AS n_lines FROM counted WHERE n_fields > 1 GROUP BY file_name"),
@@ -344,6 +357,10 @@ ORACLE: dict[str, str] = {
         + [f"SELECT '{c}', NULL, NULL, CASE WHEN count(DISTINCT {c}) / count(*) < 0.5 THEN 'category' ELSE 'string' END FROM lineitem"
            for c in ("l_returnflag", "l_linestatus")]),
     "narrow_types": "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
+    "category_codes": _with("drug", _CODE_TABLE, body="SELECT * FROM code_table"),
+    "encode_categories": _with("drug", _CODE_TABLE, body="SELECT CAST(primaryid AS BIGINT) AS primaryid, CAST(drug_seq AS BIGINT) AS drug_seq, " + ", ".join(
+        f"coalesce((SELECT code FROM code_table t WHERE column_name = '{c}' AND t.value = d.{c}), -1) AS {c}" for c in _CATEGORIES) + " FROM drug d"),
+    "decode_categories": _with("drug", body=f"SELECT CAST(primaryid AS BIGINT) AS primaryid, CAST(drug_seq AS BIGINT) AS drug_seq, {', '.join(_CATEGORIES)} FROM drug"),
     "page_links": r"""SELECT page_id, generate_subscripts(h, 1) - 1 AS position, unnest(h) AS href FROM (
   SELECT page_id, regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1) AS h FROM pages)""",
     "archive_links": """SELECT CAST(year(o_orderdate) AS VARCHAR) || 'q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter,
@@ -458,6 +475,10 @@ ORACLE: dict[str, str] = {
   count(*) FILTER (WHERE rb_duplicates_only_susp) AS n_dup_susp, round(100.0 * count(*) FILTER (WHERE rb_duplicates) / count(*), 1) AS pct_dup,
   round(100.0 * count(*) FILTER (WHERE rb_duplicates_only_susp) / count(*), 1) AS pct_dup_susp FROM flagged"""),
     "sorted_term_list": _with("reac", body="SELECT primaryid, string_agg(pt, '; ' ORDER BY pt) AS pt FROM reac GROUP BY primaryid"),
+    "term_chunks": _with("reac", """starts AS (SELECT primaryid, pt,
+  coalesce(sum(octet_length(encode(pt)) + 2) OVER (PARTITION BY primaryid ORDER BY pt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM reac WHERE pt IS NOT NULL)""",
+                         body="""SELECT primaryid, CAST(start // 12 AS BIGINT) AS chunk, string_agg(pt, '; ' ORDER BY pt) AS text FROM starts GROUP BY 1, 2
+  UNION ALL SELECT primaryid, 0, '' FROM reac GROUP BY primaryid HAVING count(pt) = 0"""),
     "role_lists": _with("drug", _rb("demo")[1], body="SELECT * FROM lists"),
     "similarity_filter": _similar(0.7),
     "similarity_filter_strict": _similar(0.9),
@@ -523,6 +544,7 @@ ORACLE: dict[str, str] = {
   GROUP BY 1 ORDER BY n DESC, value LIMIT 5"""),
     "describe_age": _with("demo", _RAW_AGE, body=_describe("years", "age_in_years")),
     "describe_weight": _with("demo", f"w AS (SELECT CASE WHEN k0 <= 635 THEN k0 END AS wt_in_kgs FROM (SELECT {_KILOS} AS k0 FROM demo))", body=_describe("w", "wt_in_kgs")),
+    "describe_price": _describe("(SELECT CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders)", "o_totalprice"),
     "mfr_profile": _with("demo", body="""SELECT count(*) AS n_rows, count(DISTINCT caseid) AS n_cases, count(DISTINCT mfr_sndr) AS n_senders,
   count(*) FILTER (WHERE mfr_sndr IS NULL) AS n_no_sender, (SELECT count(*) FROM (SELECT DISTINCT caseid, mfr_sndr FROM demo WHERE mfr_sndr IS NOT NULL)) AS n_last_rows FROM demo"""),
     "mfr_per_case": _with("demo", body="""SELECT n_senders, count(*) AS n_cases FROM (SELECT caseid, count(DISTINCT mfr_sndr) AS n_senders FROM demo GROUP BY caseid)

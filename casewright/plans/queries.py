@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casewright import schemas as S
 from casewright.functions import text as X
 from casewright.functions import values as V
-from casewright.operators import cases, dedup, linkage, projections, quality, similarity, split
+from casewright.operators import cases, coding, dedup, linkage, projections, quality, similarity, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.plans import adapter, release
@@ -100,17 +100,56 @@ def file_manifest(s):
     return files.manifest(s.spark, path).select("file_name", "kind", "quarter").distinct()
 
 
+def _write_broken(s: Source, path: str) -> None:
+    """Files that go wrong in different ways, each with as many lines as the newer layout has."""
+    new = s("drug_new")
+    three = F.concat_ws("$", "primaryid", "drug_seq", "role_cod")
+    for rows, where, encoding in (
+        (new.select(three.alias("primaryid$drug_seq$role_cod$drugname")), "rep_2004q2/ascii/DRUG04Q2.TXT", "UTF-8"),  # a field short
+        (new.select(three.alias("primaryid$drug_seq$role_cod$drugname")).limit(0), "rep_2004q3/ascii/DRUG04Q3.TXT", "UTF-8"),
+        (new.select(three.alias("primaryid$drug_seq$role_cod")), "rep_2004q4/ascii/DRUG04Q4.TXT", "UTF-8"),  # no column for the name
+        (new.select(F.col("primaryid").alias("invalid")), "rep_2005q1/ascii/DRUG05Q1.TXT", "UTF-8"),  # no report id
+        (new.select(three.alias("primaryid$drug_seq$role_cod")), "rep_2005q2/ascii/DRUG05Q2.TXT", "UTF-16BE"),
+    ):
+        rows.write.option("header", True).option("quote", "").option("sep", "\u0001").option("encoding", encoding).csv(f"{path}/{where}")
+
+
 @query
 def file_errors(s):
-    """Error class per file; next to the sound files of the drop, one whose lines lack a field and one without lines."""
+    """Error class per file; next to the sound files of the drop, some that are broken in different ways."""
     path = fresh_path(s.spark, "drop")
     _write_drop(s, path)
-    short = s("drug_new").select(F.concat_ws("$", "primaryid", "drug_seq", "role_cod").alias("primaryid$drug_seq$role_cod$drugname"))
-    for rows, where in ((short, "rep_2004q2/ascii/DRUG04Q2.TXT"), (short.limit(0), "rep_2004q3/ascii/DRUG04Q3.TXT")):
-        rows.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(f"{path}/{where}")
+    _write_broken(s, path)
     found = files.discover(s.spark, path, "drug")
-    rows = files.read_groups(s.spark, files.header_groups(s.spark, found), "drug", flag_malformed=True, source_file=True)
-    return files.file_errors(rows, found)
+    probes = files.probe_files(s.spark, found)
+    rows = files.read_groups(s.spark, files.groups_of(probes), "drug", flag_malformed=True, source_file=True)
+    return files.file_errors(rows, found, probes)
+
+
+def _processed(s: Source, name: str) -> DataFrame:
+    """What a run over a drop with broken files leaves beside its tables."""
+    path, out = fresh_path(s.spark, "drop"), fresh_path(s.spark, "unified")
+    _write_drop(s, path)
+    _write_broken(s, path)
+    release.process_all(s.spark, path, out)
+    return s.spark.read.parquet(f"{out}/{name}")
+
+
+@query
+def process_file_errors(s):
+    name = F.substring_index("path", "/", -1).alias("file_name")
+    return _processed(s, "file_errors").select(name, "kind", "quarter", "n_rows", "n_malformed", "error_class")
+
+
+@query
+def process_findings(s):
+    return _processed(s, "findings")
+
+
+@query
+def process_rejected(s):
+    """Lines that a run sets aside, by quarter."""
+    return _processed(s, "rejected/drug").groupBy("quarter").agg(F.count(F.lit(1)).alias("n_lines"), F.count("drugname").alias("n_names"))
 
 
 @query
@@ -170,6 +209,29 @@ def narrow_types(s):
     return quality.narrow_types(s.table("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
+def _coded(s: Source) -> tuple[DataFrame, DataFrame]:
+    ids = [F.col(c).cast("long").alias(c) for c in ("primaryid", "drug_seq")]
+    return coding.encode_categories(s("drug").select(*ids, "role_cod", "substance", "route", "prod_ai"))
+
+
+@query
+def category_codes(s):
+    """The code table of all category columns."""
+    return _coded(s)[1]
+
+
+@query
+def encode_categories(s):
+    return _coded(s)[0]
+
+
+@query
+def decode_categories(s):
+    """Codes and back again."""
+    coded, codes = _coded(s)
+    return coding.decode(coded, codes, ["role_cod", "substance", "route", "prod_ai"])
+
+
 @query
 def page_links(s):
     return release.page_links(s.table("pages"))
@@ -196,7 +258,7 @@ def stream_ingest(s):
     for rows in (demo.filter(initial), demo.filter(~initial)):
         rows.write.mode("append").parquet(f"{base}/landing")
         ingest.ingest_stream(s.spark, f"{base}/landing", demo.schema, f"{base}/table", f"{base}/state", buckets=1).awaitTermination()
-    return ingest.current_reports(s.spark, f"{base}/table", "caseid").select("caseid", "quarter", "primaryid")
+    return ingest.current_reports(s.spark, f"{base}/table", "caseid", buckets=1).select("caseid", "quarter", "primaryid")
 
 
 # --- column unification -----------------------------------------------------
@@ -553,6 +615,12 @@ def sorted_term_list(s):
     return dedup.sorted_term_list(s("reac"), "pt")
 
 
+@query
+def term_chunks(s):
+    """Term lists in chunks, here so short that most reports have several."""
+    return dedup.term_chunks(s("reac"), "pt", max_bytes=12)
+
+
 @query
 def role_lists(s):
     return dedup.role_lists(s("drug"))
@@ -769,6 +837,12 @@ def describe_weight(s):
     return quality.describe(std.std_weight(s("demo")), "wt_in_kgs")
 
 
+@query
+def describe_price(s):
+    """A column with nearly as many values as rows."""
+    return quality.describe(s.table("orders"), "o_totalprice")
+
+
 @query
 def mfr_profile(s):
     return quality.manufacturer_profile(s("demo"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import schemas as S
@@ -129,22 +131,129 @@ def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "asc
     return spark.read.parquet(f"{out}/manifest")
 
 
+def _counted(found: list, limit: int) -> dict[str, int]:
+    """Counts per item of a frequent-item aggregate that had room for all items."""
+    if len(found) >= limit:
+        raise RuntimeError("more files than a run can count; split the drop")
+    return {r["item"]: r["count"] for r in found if r["item"] is not None}
+
+
+class Run:
+    """One pass over the files of a kind: what is written is counted on the way.
+
+    The figures come from metrics that Spark observes while the table is written,
+    by file and quarter. Counting is exact: the frequent-item aggregate has room
+    for more items than there are files. Nothing is shuffled between the scan and
+    the writer, so a task that is run again is counted once.
+    """
+
+    def __init__(self, kind: str, n_files: int):
+        self.kind, self.seen = kind, Observation(f"run_{kind}")
+        self.room = 1000 + 2 * n_files
+
+    def _per(self, item: Column, where: Column | None = None) -> Column:
+        return F.call_function("approx_top_k", item if where is None else F.when(where, item), F.lit(self.room // 2), F.lit(self.room))
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self.columns = df.columns
+        quarter = F.coalesce("quarter", F.lit(""))
+        place = F.concat(quarter, F.lit("\t"), F.col("_file"))
+        metrics = [self._per(place).alias("rows"), self._per(place, F.col("_malformed")).alias("malformed")]
+        self.dates = [c for c in S.DATE_FIELDS.get(self.kind, []) if c in df.columns]
+        metrics += [self._per(quarter, quality.bad_date(c)).alias(f"date_{c}") for c in self.dates]
+        self.rules = quality.bad_cells(df, self.kind)
+        for i, (_, _, value) in enumerate(self.rules):
+            sound = F.when(~F.col("_malformed"), value)
+            metrics += [F.count(sound).alias(f"n_{i}"), F.min(sound).alias(f"first_{i}"), F.max(sound).alias(f"last_{i}")]
+        return df.observe(self.seen, *metrics)
+
+    def collect(self) -> None:
+        self.figures = self.seen.get
+        self.rows, self.malformed = (_counted(self.figures[n], self.room // 2) for n in ("rows", "malformed"))
+        self.bad_dates = [_counted(self.figures[f"date_{c}"], self.room // 2) for c in self.dates]
+
+    def summary(self) -> list[tuple]:
+        """kind, quarter, rows, rows kept, columns missing, invalid dates."""
+        lacking = "; ".join(c for c in S.TABLES[self.kind] if c not in self.columns)
+        totals: dict[str, list[int]] = {}
+        for counts, at in ((self.rows, 0), (self.malformed, 1)):
+            for place, n in counts.items():
+                totals.setdefault(place.split("\t")[0], [0, 0])[at] += n
+        return [
+            (self.kind, quarter or None, n, n - broken, lacking, sum(d.get(quarter, 0) for d in self.bad_dates))
+            for quarter, (n, broken) in sorted(totals.items())
+        ]
+
+    def findings(self) -> list[tuple]:
+        """Errors for required columns no file has, warnings for bad values among the rows kept."""
+        absent = [c for c in S.REQUIRED.get(self.kind, []) if c not in self.columns]
+        out = [(self.kind, "required_column", c, "error", None, None, None) for c in absent]
+        for i, (rule, column, _) in enumerate(self.rules):
+            if self.figures[f"n_{i}"]:
+                out.append((self.kind, rule, column, "warning", self.figures[f"n_{i}"], self.figures[f"first_{i}"], self.figures[f"last_{i}"]))
+        return out
+
+    def file_rows(self, probe: files.Probe) -> tuple:
+        """kind, path, quarter, rows, malformed rows, error class, detail."""
+        place = f"{probe.quarter or ''}\t{probe.path.rsplit('/', 1)[-1]}"
+        n, bad = self.rows.get(place, 0), self.malformed.get(place, 0)
+        error = probe.error if not probe.usable else "empty_file" if n == 0 else "invalid_format" if bad else probe.error
+        return self.kind, probe.path, probe.quarter, n, bad, error, probe.detail
+
+
+SUMMARY = "kind string, quarter string, total_rows long, processed_rows long, missing_columns string, invalid_dates long"
+FINDINGS = "kind string, rule string, column_name string, severity string, n_bad long, first_value string, last_value string"
+FILE_ERRORS = "kind string, path string, quarter string, n_rows long, n_malformed long, error_class string, detail string"
+
+
+def _process_kind(spark: SparkSession, kind: str, probes: list[files.Probe], out: str) -> tuple[Run | None, list[files.Probe]]:
+    """Write the tables of a kind and count on the way; a file that cannot be read to its end is left out and the rest read anew."""
+    while True:
+        groups = files.groups_of(probes)
+        if not groups:
+            return None, probes
+        run = Run(kind, sum(len(g.paths) for g in groups))
+        try:
+            lines = files.read_groups(spark, groups, kind, flag_malformed=True, source_file=True)
+            write_table(projections.project(run.watch(lines).filter(~F.col("_malformed")), kind), f"{out}/{kind}", rebalance=False)
+            run.collect()
+            rejected = files.read_groups(spark, groups, kind, flag_malformed=True)
+            if not run.malformed:  # nothing to look for in the files again
+                rejected = spark.createDataFrame([], rejected.schema)
+            write_table(rejected.filter("_malformed"), f"{out}/rejected/{kind}", rebalance=False)
+            if kind == "drug":
+                info = files.read_groups(spark, groups, "drug_info", flag_malformed=True)
+                write_table(projections.project(info.filter(~F.col("_malformed")), "drug_info"), f"{out}/drug_info", rebalance=False)
+            return run, probes
+        except (PySparkException, Py4JJavaError) as error:
+            lost = files.unreadable_path(error, groups)
+            if lost is None:
+                raise
+            probes = [replace(p, error="unknown_error", detail=str(error)[:500], usable=False) if p.path == lost else p for p in probes]
+
+
 def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
     """Read all quarters, write the projected tables and return the run summary.
 
-    Lines of the wrong width are counted and go to a side table; a poor quarter
-    does not stop the others. The text is parsed once and staged, as the summary
-    and both tables read it.
+    One scan and one write per table: summary, validation findings and the errors
+    of each file are observed while the rows go by, and stand beside the tables
+    under ``summary``, ``findings`` and ``file_errors``. Lines of the wrong width
+    go to ``rejected``. Files that cannot be used are listed and left out; neither
+    a broken file nor a poor quarter stops the others.
     """
-    parts = []
-    for kind, df in read_drop(spark, raw, folder).items():
-        parsed = stage(df, f"parsed-{kind}")
-        parts.append(quality.quarter_summary(parsed, kind))
-        good = sound_lines(parsed, kind, out)
-        for table in [kind, "drug_info"] if kind == "drug" else [kind]:
-            write_table(projections.project(good, table), f"{out}/{table}")
-    summary = reduce(DataFrame.unionByName, parts)
-    summary.write.mode("overwrite").parquet(f"{out}/summary")
+    probes = files.probe_files(spark, files.discover(spark, raw, None, folder))
+    summary, findings, errors = [], [], []
+    for kind in S.FILE_KINDS:
+        mine = [p for p in probes if p.kind == kind]
+        run, mine = _process_kind(spark, kind, mine, out)
+        if run is None:
+            errors += [(kind, p.path, p.quarter, 0, 0, p.error, p.detail) for p in mine]
+            continue
+        summary += run.summary()
+        findings += run.findings()
+        errors += [run.file_rows(p) for p in mine]
+    for rows, schema, name in ((summary, SUMMARY, "summary"), (findings, FINDINGS, "findings"), (errors, FILE_ERRORS, "file_errors")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{out}/{name}")  # a row per kind and quarter, rule or file
     return spark.read.parquet(f"{out}/summary")
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from casewright.operators.standardize import clean_cells, drop_na_tokens
 from casewright.sources.lines import MERGED_RECORDS, split_merged_records
 
 LATIN1 = "ISO-8859-1"
+PROBES_AT_ONCE = 16
 
 
 def logical_name(path: Column) -> Column:
@@ -42,9 +46,10 @@ def discover(spark: SparkSession, path: str, kind: str | None = None, folder: st
     starts with a file kind; statistics and size files are left out. Only the
     listing is read, never the contents.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    # A scan has no rows for files without a byte; the listing names them.
+    names = [(re.sub("^file:/+", "file:/", unquote(p)), 0) for p in listed.inputFiles()]
+    listed = listed.unionByName(spark.createDataFrame(names, listed.schema).join(listed, "path", "left_anti"))
     name = logical_name(F.col("path"))
     kinds = "|".join([kind] if kind else S.FILE_KINDS)
     out = listed.filter(name.rlike(rf"(?i)^({kinds}).*\.txt$") & ~name.rlike("(?i)stat|size"))
@@ -65,6 +70,19 @@ class HeaderGroup:
     paths: list[str]
 
 
+@dataclass(frozen=True)
+class Probe:
+    """What the start of a file tells: its header, or why it cannot be read; required columns it lacks."""
+
+    kind: str
+    path: str
+    quarter: str | None
+    header: list[str] | None
+    error: str | None = None
+    detail: str | None = None
+    usable: bool = True
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """The line at the start of a file, through Hadoop's file system, so only its first bytes are read."""
     jvm = spark._jvm
@@ -76,25 +94,65 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
-    """Group files by kind and header line.
+def _probed(spark: SparkSession, kind: str, path: str, quarter: str | None, first: str | None) -> Probe:
+    if first is None:
+        return Probe(kind, path, quarter, None, "empty_file", "no line", usable=False)
+    try:
+        line = first_line(spark, first)
+    except Py4JJavaError as e:
+        return Probe(kind, path, quarter, None, "unknown_error", str(e.java_exception)[:500], usable=False)
+    if line is None:
+        return Probe(kind, path, quarter, None, "empty_file", "no line", usable=False)
+    if "\0" in line:
+        return Probe(kind, path, quarter, None, "invalid_format", "the header is no single-byte text", usable=False)
+    header = [h.strip().strip("$").strip() for h in line.rstrip("\r\n").split("$")]
+    names = {k.lower(): v for k, v in S.ERA_NAMES[kind].items()}
+    have = {names.get(h.lower(), h.lower()) for h in header}
+    lacking = [c for c in S.REQUIRED.get(kind, ["primaryid"]) if c not in have]
+    if "primaryid" in lacking:
+        return Probe(kind, path, quarter, header, "missing_columns", "; ".join(lacking), usable=False)
+    return Probe(kind, path, quarter, header, "missing_columns" if lacking else None, "; ".join(lacking) or None)
+
+
+def probe_files(spark: SparkSession, files: DataFrame) -> list[Probe]:
+    """One probe per logical file, some at a time; their number is kinds times quarters.
+
+    A file that cannot be opened, holds no text in a single-byte code, or names no
+    report id is not usable. One that lacks other required columns is read as it is.
+    """
+    logical = files.groupBy("kind", "quarter", logical_path(F.col("path")).alias("path")).agg(F.min(F.when(F.col("length") > 0, F.col("path"))).alias("first"))
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
+        probes = pool.map(lambda r: _probed(spark, r["kind"], r["path"], r["quarter"], r["first"]), logical.collect())
+        return sorted(probes, key=lambda p: (p.kind, p.path))
+
+
+def groups_of(probes: list[Probe]) -> list[HeaderGroup]:
+    """Usable files by kind and header.
 
     One scan takes the header of its first file for all, so files of different
-    layout must not share one. Only the first line of each logical file is read;
-    their number is kinds times quarters.
+    layout must not share one.
     """
-    logical = (
-        files.filter("length > 0").groupBy("kind", logical_path(F.col("path")).alias("path")).agg(F.min("path").alias("first"))
-    )
-    grouped: dict[tuple[str, str], list[str]] = {}
-    for row in logical.collect():
-        line = first_line(spark, row["first"])
-        if line is not None:
-            grouped.setdefault((row["kind"], line.rstrip("\r\n")), []).append(row["path"])
-    return [
-        HeaderGroup(kind, [h.strip().strip("$").strip() for h in line.split("$")], sorted(paths))
-        for (kind, line), paths in sorted(grouped.items())
-    ]
+    grouped: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for p in probes:
+        if p.usable:
+            grouped.setdefault((p.kind, tuple(p.header)), []).append(p.path)
+    return [HeaderGroup(kind, list(header), sorted(paths)) for (kind, header), paths in sorted(grouped.items())]
+
+
+def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
+    """Group the usable files by kind and header line."""
+    return groups_of(probe_files(spark, files))
+
+
+def unreadable_path(error: Exception, groups: list[HeaderGroup]) -> str | None:
+    """The file of some groups whose content a failed job could not read; None if it failed for another reason."""
+    text = str(error)
+    if "FAILED_READ_FILE" not in text:
+        return None
+    found = re.search(r"FAILED_READ_FILE[.A-Z_]*\] Encountered error while reading file (\S+?)\.?\s", text + " ")
+    named = unquote(found[1]) if found else ""
+    same = lambda p: re.sub("^[a-z]+:/+", "/", unquote(p))
+    return next((p for g in groups for p in g.paths if named and same(named).startswith(same(p))), None)
 
 
 def _trim_header(header: list[str]) -> list[str]:
@@ -201,17 +259,25 @@ def manifest(spark: SparkSession, path: str, folder: str | None = "ascii") -> Da
     return discover(spark, path, None, folder)
 
 
-def file_errors(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Error class per input file: no data, lines of the wrong width, or none.
+def _error_class(rows: Column, malformed: Column, probed: Column) -> Column:
+    """A probe that made the file unusable decides, then what its lines say, then columns it lacks."""
+    return (
+        F.when(probed.isin("unknown_error", "invalid_format"), probed).when(rows == 0, F.coalesce(probed, F.lit("empty_file")))
+        .when(malformed > 0, "invalid_format").otherwise(probed)
+    )
+
+
+def file_errors(rows: DataFrame, files: DataFrame, probes: list[Probe] | None = None) -> DataFrame:
+    """Error class per input file: no data, lines of the wrong width, columns missing, not readable, or none.
 
     ``rows`` comes from the reader with its malformed flag and file name.
     """
+    spark = rows.sparkSession
     counted = rows.groupBy(F.col("_file").alias("file_name")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("_malformed").alias("n_malformed")
     )
     listed = files.select("file_name", "kind", "quarter").distinct()
-    return listed.join(counted, "file_name", "left").select(
-        "file_name", "kind", "quarter",
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_malformed", F.lit(0)).alias("n_malformed"),
-        F.when(F.coalesce("n_rows", F.lit(0)) == 0, "empty_file").when(F.col("n_malformed") > 0, "invalid_format").alias("error_class"),
-    )
+    probed = spark.createDataFrame([(p.path.rsplit("/", 1)[-1], p.error) for p in probes or []], "file_name string, probed string")
+    n, bad = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_malformed", F.lit(0))
+    joined = listed.join(counted, "file_name", "left").join(F.broadcast(probed), "file_name", "left")  # a row per file
+    return joined.select("file_name", "kind", "quarter", n.alias("n_rows"), bad.alias("n_malformed"), _error_class(n, bad, F.col("probed")).alias("error_class"))

@@ -54,15 +54,18 @@ class CurrentTable:
             return {}
         stream = self._files.open(self._path(f"{self.target}/pointers/{known[-1]}.json"))
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            found = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        if (found["report"], found["buckets"]) != (self.report, self.buckets):
+            raise ValueError(f"{self.target} is dealt by {found['report']} to {found['buckets']} buckets a quarter")
+        return found["slots"]
 
     def _switch(self, version: int, pointers: dict[str, int]) -> None:
         new, final = (self._path(f"{self.target}/pointers/{n}") for n in (f".{version}.new", f"{version}.json"))
         out = self._files.create(new, True)
         try:
-            out.write(json.dumps(pointers, sort_keys=True).encode())
+            out.write(json.dumps({"report": self.report, "buckets": self.buckets, "slots": pointers}, sort_keys=True).encode())
         finally:
             out.close()
         self._files.delete(final, False)
@@ -143,11 +146,11 @@ def ingest_stream(
     )
 
 
-def ingested(spark: SparkSession, target: str, report: str = "primaryid") -> DataFrame:
+def ingested(spark: SparkSession, target: str, report: str = "primaryid", buckets: int = BUCKETS) -> DataFrame:
     """The current rows: what a later delivery has for a report and quarter stands for what earlier ones had."""
-    return CurrentTable(spark, target, report).rows()
+    return CurrentTable(spark, target, report, buckets).rows()
 
 
-def current_reports(spark: SparkSession, target: str, key: str = "primaryid") -> DataFrame:
+def current_reports(spark: SparkSession, target: str, key: str = "primaryid", buckets: int = BUCKETS) -> DataFrame:
     """Newest quarter per key over everything ingested so far."""
-    return latest_quarter(ingested(spark, target), key)
+    return latest_quarter(ingested(spark, target, buckets=buckets), key)

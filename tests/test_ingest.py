@@ -1,3 +1,6 @@
+import struct
+import zlib
+
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 
@@ -91,6 +94,53 @@ def test_process_all_and_report(spark, drop, tmp_path):
     assert "## Quarter 2014Q2" in text and "| DEMO | 5 | 3 | 60.0% | 0 |" in text and "Missing columns" in text
 
 
+def _bad_checksum(path, good_until):
+    """A checksum file beside a local file that fails for what follows ``good_until`` bytes."""
+    raw = path.read_bytes()
+    sums = [zlib.crc32(raw[i : i + 512]) ^ (i >= good_until) for i in range(0, len(raw), 512)]
+    (path.parent / f".{path.name}.crc").write_bytes(b"crc\0" + struct.pack(">i", 512) + b"".join(struct.pack(">I", c) for c in sums))
+
+
+def test_broken_files_stop_nothing(spark, drop, tmp_path):
+    put(tmp_path, "rep_2014q3/ascii/DEMO14Q3.TXT", "invalid\ndata\n")
+    put(tmp_path, "rep_2014q4/ascii/DEMO14Q4.TXT", "")
+    put(tmp_path, "rep_2015q1/ascii/DEMO15Q1.TXT", "primaryid$caseid\n")
+    (tmp_path / "rep_2015q1/ascii/DEMO15Q2.TXT").write_bytes("primaryid$caseid\n1$2\n".encode("utf-16"))
+    full = "primaryid$i_f_code$event_dt$sex$age_cod\n"
+    put(tmp_path, "rep_2016q1/ascii/DEMO16Q1.TXT", full + "7$I$2016$X$YR\n8$I$20160101$M$ZZ\n9$F$20160101$Q\n10$F$20160101$Y$AA")
+    put(tmp_path, "rep_2016q2/ascii/DEMO16Q2.TXT", full + "1$I$2016$M$YR\n")
+    _bad_checksum(tmp_path / "rep_2016q2/ascii/DEMO16Q2.TXT", 0)
+    put(tmp_path, "rep_2016q3/ascii/DEMO16Q3.TXT", full + "11$I$20160101$M$YR\n" * 9000)
+    _bad_checksum(tmp_path / "rep_2016q3/ascii/DEMO16Q3.TXT", 100_000)
+    out = str(tmp_path / "out")
+    summary = {(r["kind"], r["quarter"]): (r["total_rows"], r["processed_rows"], r["invalid_dates"]) for r in release.process_all(spark, str(tmp_path), out).collect()}
+    assert summary == {("demo", "2005Q1"): (2, 2, 0), ("demo", "2014Q2"): (3, 1, 0), ("demo", "2016Q1"): (4, 3, 1), ("drug", "2011Q2"): (3, 3, 0)}
+    errors = {r["path"].rsplit("/", 1)[-1]: (r["n_rows"], r["n_malformed"], r["error_class"]) for r in spark.read.parquet(f"{out}/file_errors").collect()}
+    assert errors == {
+        "DEMO05Q1.TXT": (2, 0, "missing_columns"), "demo14q2.txt": (3, 2, "invalid_format"), "DRUG11Q2.txt": (3, 0, None), "DEMO14Q3.txt": (0, 0, "empty_file"), "DEMO14Q3.TXT": (0, 0, "missing_columns"),
+        "DEMO14Q4.TXT": (0, 0, "empty_file"), "DEMO15Q1.TXT": (0, 0, "empty_file"), "DEMO15Q2.TXT": (0, 0, "invalid_format"), "DEMO16Q1.TXT": (4, 1, "invalid_format"),
+        "DEMO16Q2.TXT": (0, 0, "unknown_error"), "DEMO16Q3.TXT": (0, 0, "unknown_error")}
+    found = {(r["rule"], r["column_name"]): tuple(r)[4:] for r in spark.read.parquet(f"{out}/findings").filter("kind = 'demo'").collect()}
+    assert found == {("allowed_values", "sex"): (2, "X", "Y"), ("allowed_values", "age_cod"): (2, "AA", "ZZ"), ("full_date", "event_dt"): (1, "2016", "2016")}
+    assert spark.read.parquet(f"{out}/demo").count() == 6 and spark.read.parquet(f"{out}/rejected/demo").count() == 3
+
+
+def test_a_table_is_read_once(spark, drop, tmp_path):
+    """Tasks of the clean kind: one scan that writes, and the empty table of rejects."""
+    probes = files.probe_files(spark, files.discover(spark, drop, "drug"))
+    (group,) = files.groups_of(probes)
+    context = spark.sparkContext
+    context.setJobGroup("one pass", "")
+    try:
+        release._process_kind(spark, "demo", [], str(tmp_path / "none"))
+        assert context.statusTracker().getJobIdsForGroup("one pass") == []
+        run, _ = release._process_kind(spark, "drug", probes, str(tmp_path / "out"))
+        jobs = context.statusTracker().getJobIdsForGroup("one pass")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 3 and run.summary()[0][:4] == ("drug", "2011Q2", 3, 3)
+
+
 def test_unify_all(spark, drop, tmp_path):
     got = release.unify_all(spark, drop, str(tmp_path / "unified"))
     assert {k: df.count() for k, df in got.items()} == {
@@ -138,8 +188,8 @@ def test_stream_adds_deliveries(spark, rows, tmp_path):
     assert got == [("-", "F", "2020Q1"), ("1", "F", "2020Q1"), ("1", "F", "2020Q2"), ("2", "M", "2020Q1"), ("3", "-", "2020Q2"), ("4", "M", "2020Q1")]
 
 
-def _table(spark, target):
-    return sorted(tuple(r) for r in ingest.ingested(spark, target).select("primaryid", "sex", "quarter").na.fill("-").collect())
+def _table(spark, target, buckets=ingest.BUCKETS):
+    return sorted(tuple(r) for r in ingest.ingested(spark, target, buckets=buckets).select("primaryid", "sex", "quarter").na.fill("-").collect())
 
 
 def test_a_delivery_rewrites_only_what_it_touches(spark, rows, tmp_path):
@@ -172,10 +222,12 @@ def test_a_delivery_that_failed_is_repeated_and_never_half_seen(spark, rows, tmp
         broken.setattr(ingest.CurrentTable, "_switch", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             table.deliver(second, 1)
-    assert _table(spark, target) == [("1", "F", "2020Q1"), ("2", "F", "2020Q1")]
+    assert _table(spark, target, 2) == [("1", "F", "2020Q1"), ("2", "F", "2020Q1")]
+    with pytest.raises(ValueError):
+        ingest.ingested(spark, target, buckets=3)
     for _ in range(2):  # repeated after it was complete, too
         ingest.CurrentTable(spark, target, buckets=2).deliver(second, 1)
-        assert _table(spark, target) == [("1", "M", "2020Q1"), ("2", "F", "2020Q1"), ("3", "M", "2020Q2")]
+        assert _table(spark, target, 2) == [("1", "M", "2020Q1"), ("2", "F", "2020Q1"), ("3", "M", "2020Q2")]
     with pytest.raises(AnalysisException):
         ingest.ingested(spark, str(tmp_path / "nothing"))
 

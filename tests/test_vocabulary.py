@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.operators import joins
+from casewright.operators import joins, numbering
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.sources import dims
@@ -46,12 +46,11 @@ def test_hierarchy_order(spark, rows, folder):
 
 def test_one_branch_is_ranked_in_many_ranges(rows, monkeypatch):
     names = [("Sa", f"H{i % 3}", f"P{i:03}") for i in range(300)]
-    staged, stage = [], getattr(voc, "stage", None)
-    monkeypatch.setattr(voc, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1], raising=False)
-    monkeypatch.setattr(voc, "RANK_ROWS", 20, raising=False)
-    ranked = voc.with_term_rank(rows(names[::-1], "soc string, hlt string, pt string"), ["soc", "hlt", "pt"])
+    staged, stage = [], numbering.stage
+    monkeypatch.setattr(numbering, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    ranked = voc.with_term_rank(rows(names[::-1], "soc string, hlt string, pt string"), ["soc", "hlt", "pt"], range_rows=20)
     assert sorted(map(tuple, ranked.collect())) == [(*t, i + 1) for i, t in enumerate(sorted(names))]
-    assert staged and staged[0].groupBy("_range").count().agg({"count": "max"}).first()[0] < 60
+    assert len(staged) == 2 and staged[1].groupBy("_range").count().agg({"count": "max"}).first()[0] < 60
 
 
 def test_country_file(spark, rows, folder):
