@@ -1,23 +1,24 @@
 """Frequent word sequences of a corpus, scored by how much more often they occur than their parts suggest.
 
 Texts are split into pieces and words; a phrase is two to five words of one
-piece. Everything is counted per language. Three scans over the texts:
+piece. Everything is counted per language, in four scans over the texts:
 
 1. words are counted exactly;
-2. n-grams of words that are all frequent enough are hashed, the hashes are
+2. pairs of words that are both frequent enough are hashed, the hashes are
    dealt to partitions, and each partition keeps a Misra-Gries summary: at most
    ``capacity`` counters, from all of which the smallest excess is taken off
    when there are more. Map tasks send summaries, partitions merge them. The
    capacity exceeds the partition's mass (its n-grams, sent ahead as one row per
    task) divided by the threshold, so what is taken off a counter stays below
-   the threshold and every frequent n-gram keeps a counter;
-3. n-grams whose counter plus what was taken off reaches the threshold are
+   the threshold and every frequent pair keeps a counter;
+3. longer n-grams go the same way, if all their pairs may be frequent;
+4. n-grams whose counter plus what was taken off reaches the threshold are
    counted exactly, by their words.
 
 The summaries decide only what is counted: equal hashes or a full bitmap let
 more through. The bitmaps that carry the frequent words and the surviving
-n-grams to all tasks have a fixed size. A word sequence that holds a rare word
-is rare, so the second scan drops it before the shuffle.
+n-grams to all tasks have a fixed size. A sequence that holds a rare word or
+pair is rare, so it is dropped before the shuffle.
 
 Cuts, scores and the removal of phrases inside longer ones are joins of the
 counted phrases. A phrase lies in a longer one that is as frequent exactly if
@@ -49,9 +50,9 @@ BY_PIECE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 10 if c in b".,;
 LONGEST = 5
 CHUNK_BYTES = 1 << 20
 #: N-grams a map task holds before it sums them up, those one hash partition takes in the mean, and counters sent in a row.
-HELD, PART_MASS, ROW_PRINTS = 4_000_000, 1 << 24, 1 << 15
-#: Tasks that merge summaries, at most; a task merges one partition after another.
-MERGE_TASKS = 20_000
+HELD, PART_MASS, ROW_PRINTS = 4_000_000, 1 << 22, 1 << 15
+#: Hash partitions at most, and those that a task merges one after another in the mean.
+MOST_PARTS, TASK_PARTS = 160_000, 8
 #: Bits of the maps sent to all tasks: 16 MB each.
 MAP_BITS = 27
 PRINT_BYTES = 5
@@ -295,18 +296,32 @@ def _long(raw: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _frequent_runs(words: Words, frequent: Bits, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, first words, hashes) of the sequences whose words are all frequent."""
-    rare = np.concatenate([[0], np.cumsum(~frequent.has(words.hashes))])
-    for n in range(2, longest + 1):
-        at, hashes = words.grams(n)
-        sound = rare[at + n] == rare[at]
-        yield n, at[sound], hashes[sound]
-
-
-def candidate_prints(docs: DataFrame, frequent: Bits, parts: int, threshold: int, longest: int) -> DataFrame:
-    """``print`` of every n-gram hash that its partition's summary cannot rule out."""
-    held = docs.sparkSession.sparkContext.broadcast(frequent)
+@dataclass(frozen=True)
+class Filters:
+    """Maps of the frequent words and, once they are known, of the pairs that may be frequent."""
+
+    words: Bits
+    pairs: Bits | None = None
+
+    def runs(self, words: Words, sizes: Iterable[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, first words, hashes) of the sequences all of whose words, and pairs of neighbours, may be frequent."""
+        rare = np.concatenate([[0], np.cumsum(~self.words.has(words.hashes))])
+        if self.pairs is not None:
+            at, hashes = words.grams(2)
+            broken = np.ones(len(words.hashes), dtype=bool)
+            broken[at[self.pairs.has(hashes)]] = False
+            broken = np.concatenate([[0], np.cumsum(broken)])
+        for n in sizes:
+            at, hashes = words.grams(n)
+            sound = rare[at + n] == rare[at]
+            if self.pairs is not None:
+                sound &= broken[at + n - 1] == broken[at]
+            yield n, at[sound], hashes[sound]
+
+
+def candidate_prints(docs: DataFrame, filters: Filters, parts: int, threshold: int, sizes: range) -> DataFrame:
+    """``print`` of every hash of n-grams of the given sizes that its partition's summary cannot rule out."""
+    held = docs.sparkSession.sparkContext.broadcast(filters)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -327,7 +342,7 @@ def candidate_prints(docs: DataFrame, frequent: Bits, parts: int, threshold: int
                 ["part", "kind", "mass", "prints", "counts"])
 
         for words in chunks(batches, {}):
-            for _, _, hashes in _frequent_runs(words, held.value, longest):
+            for _, _, hashes in held.value.runs(words, sizes):
                 waiting.append(hashes)
                 size += len(hashes)
             if size > HELD:
@@ -357,22 +372,23 @@ def candidate_prints(docs: DataFrame, frequent: Bits, parts: int, threshold: int
             yield out(summary)
 
     sent = _rows(docs).mapInArrow(scan, PART_ROWS)
-    dealt = sent.repartition(min(parts, MERGE_TASKS), "part").sortWithinPartitions("part", "kind")
+    dealt = sent.repartition(1 + parts // TASK_PARTS, "part").sortWithinPartitions("part", "kind")
     return dealt.mapInArrow(reduce, "print long")
 
 
-def count_phrases(docs: DataFrame, frequent: Bits, survivors: Bits, threshold: int, longest: int) -> DataFrame:
+def count_phrases(docs: DataFrame, filters: Filters, longer: Bits, threshold: int, sizes: range) -> DataFrame:
     """``lang, phrase, n`` of all surviving n-grams, counted by their words."""
     context = docs.sparkSession.sparkContext
-    word_bits, gram_bits = context.broadcast(frequent), context.broadcast(survivors)
+    held, long_bits = context.broadcast(filters), context.broadcast(longer)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[int, str] = {}
         texts = _Texts(langs)
         for words in chunks(batches, langs):
-            for n, at, hashes in _frequent_runs(words, word_bits.value, longest):
-                kept = gram_bits.value.has(hashes)
-                at, hashes = at[kept], hashes[kept]
+            for n, at, hashes in held.value.runs(words, sizes):
+                if n > 2:
+                    kept = long_bits.value.has(hashes)
+                    at, hashes = at[kept], hashes[kept]
                 yield from texts.add(words, at, at + n - 1, hashes)
         yield texts.flush()
 
@@ -384,11 +400,14 @@ def frequent_phrases(docs: DataFrame, work: Workspace, threshold: int = 100, lon
     """Frequent phrases and frequent words with their counts, and the number of words per language."""
     words = work.stage(count_words(docs), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    mass = (words.agg(F.sum("n")).first()[0] or 0) * (longest - 1)
+    mass = words.agg(F.sum("n")).first()[0] or 0
     common_words = words.filter(F.col("n") >= threshold)
-    frequent = bits_of(_prints(common_words))
-    prints = work.stage(candidate_prints(docs, frequent, 1 + mass // PART_MASS, threshold, longest), "prints")
-    phrases = work.stage(count_phrases(docs, frequent, bits_of(prints), threshold, longest), "phrases")
+    filters, longer = Filters(bits_of(_prints(common_words))), Bits()
+    for sizes in (range(2, 3), range(3, longest + 1)):
+        parts = min(1 + mass * len(sizes) // PART_MASS, MOST_PARTS)
+        longer = bits_of(work.stage(candidate_prints(docs, filters, parts, threshold, sizes), "prints"))
+        filters = filters if filters.pairs else Filters(filters.words, longer)
+    phrases = work.stage(count_phrases(docs, filters, longer, threshold, range(2, longest + 1)), "phrases")
     return phrases, common_words, totals
 
 
