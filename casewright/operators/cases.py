@@ -67,12 +67,14 @@ def time_to_onset(demo: DataFrame, ther: DataFrame) -> DataFrame:
     """Days from therapy start to event, both days counted.
 
     Only complete dates give a value. Up to 2012 dates were auto-completed, so
-    values of zero or less are dropped there; later ones stay.
+    values of zero or less are dropped there; later ones stay. Frames dealt to
+    parts of reports (``split.with_part``) join part by part.
     """
-    events = demo.filter(F.col("event_dt").isNotNull()).select("primaryid", "event_dt")
+    keys = ["primaryid", *(["_part"] if "_part" in demo.columns and "_part" in ther.columns else [])]
+    events = demo.filter(F.col("event_dt").isNotNull()).select(*keys, "event_dt")
     days = F.datediff(V.full_date(F.col("event_dt")), V.full_date(F.col("start_dt"))) + 1
     return (
-        ther.join(events, "primaryid", "left")
+        ther.join(events, keys, "left")
         .withColumn("time_to_onset", days)
         .withColumn(
             "time_to_onset",

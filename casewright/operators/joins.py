@@ -29,17 +29,18 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def frequent_hashes(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of all rows, from one pass with a sketch of fixed size.
+def frequent_hashes(frames: DataFrame | list[DataFrame], on: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all rows of a frame, from one pass with sketches of fixed size.
 
-    The sketch's counts are too large by a small part of the rows at most, so no
+    A sketch's counts are too large by a small part of the rows at most, so no
     frequent key is missed; there are ``1 / share`` of them at most, and as many that nearly are.
     """
-    room = int(100 / share)
-    top = F.call_function("approx_top_k", F.xxhash64(*on), F.lit(int(2 / share)), F.lit(room))
+    frames = [frames] if isinstance(frames, DataFrame) else frames
+    hashes = reduce(DataFrame.unionByName, [df.select(F.lit(i).alias("frame"), F.xxhash64(*on).alias("hash")) for i, df in enumerate(frames)])
+    top = F.call_function("approx_top_k", F.col("hash"), F.lit(int(2 / share)), F.lit(int(100 / share)))
+    found = hashes.groupBy("frame").agg(F.count(F.lit(1)).alias("n"), top.alias("top")).collect()  # a row per frame
     # Half the share leaves room for what the sketch is off.
-    found = df.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
-    return [r["item"] for r in found["top"] if r["count"] > share / 2 * found["n"]]
+    return sorted({r["item"] for f in found for r in f["top"] if r["count"] > share / 2 * f["n"]})
 
 
 def salted_join(

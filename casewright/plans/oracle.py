@@ -528,8 +528,19 @@ ORACLE: dict[str, str] = {
     "split_drug_supp": _release("drug_info", body="""SELECT DISTINCT primaryid, drug_seq, route, dose_form, dechal, rechal, lot_num, exp_dt
   FROM drug_info WHERE primaryid IN (SELECT primaryid FROM release)"""),
     # the composed release
+    "release_demo": _released("", *_std("kept", "st"), body="""SELECT primaryid, sex, age_in_days, wt_in_kgs, occr_country, event_dt, occp_cod, reporter_country, rept_cod, init_fda_dt,
+  fda_dt, primaryid IN (SELECT primaryid FROM drugs WHERE trial) AS premarketing, lit_ref IS NOT NULL AS literature FROM st WHERE primaryid IN (SELECT primaryid FROM released)"""),
+    "release_demo_supp": _released("rpsr", body="""SELECT k.primaryid, caseid, caseversion, i_f_cod, auth_num, e_sub, lit_ref, rept_dt, to_mfr, mfr_sndr, mfr_num, mfr_dt, k.quarter, rpsr_cod
+  FROM kept k JOIN rpsr s ON k.primaryid = s.primaryid WHERE k.primaryid IN (SELECT primaryid FROM released)"""),
     "release_drug": _released("", body="""SELECT DISTINCT s.primaryid, s.drug_seq, s.substance, role_cod, CASE role_cod WHEN 'C' THEN 1 WHEN 'I' THEN 2 WHEN 'SS' THEN 3
   WHEN 'PS' THEN 4 END AS role_rank FROM drugs s JOIN drug d ON s.primaryid = d.primaryid AND s.drug_seq = d.drug_seq WHERE s.primaryid IN (SELECT primaryid FROM released)"""),
+    "release_drug_name": _released("drug_info", body=f"""SELECT i.primaryid, i.drug_seq, val_vbm, nda_num, n.drugname, n.prod_ai FROM drug_info i
+  JOIN (SELECT DISTINCT primaryid, drug_seq, {_CLEAN_NAME.format(c='drugname')} AS drugname, prod_ai FROM drug) n ON i.primaryid = n.primaryid AND i.drug_seq = n.drug_seq
+  WHERE i.primaryid IN (SELECT primaryid FROM released)"""),
+    "release_outc": _released("outc", body="""SELECT DISTINCT primaryid, CASE WHEN r IS NOT NULL THEN outc_cod END AS outc_cod, r AS outc_rank FROM (SELECT *, CASE outc_cod WHEN 'OT' THEN 1
+  WHEN 'CA' THEN 2 WHEN 'HO' THEN 3 WHEN 'RI' THEN 4 WHEN 'DS' THEN 5 WHEN 'LT' THEN 6 WHEN 'DE' THEN 7 END AS r FROM outc) WHERE primaryid IN (SELECT primaryid FROM released)"""),
+    "release_ther": _released("ther", _ONSET, body=f"""SELECT DISTINCT primaryid, drug_seq, start_dt, {_DURATION} AS dur_in_days, end_dt, time_to_onset, event_dt
+  FROM onset WHERE primaryid IN (SELECT primaryid FROM released)"""),
     "release_reac": _released("pt_tree", _PT_TREE, body="""SELECT primaryid, r.pt, r.pt AS drug_rec_act, pt_rank, pt_rank AS drug_rec_act_rank
   FROM st_reac LEFT JOIN pt_ranks r USING (pt) WHERE primaryid IN (SELECT primaryid FROM released)"""),
     "release_indi": _released("indi_raw pt_tree", _PT_TREE, body="""SELECT DISTINCT primaryid, drug_seq, r.pt AS indi_pt, pt_rank AS indi_pt_rank

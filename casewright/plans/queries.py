@@ -14,7 +14,7 @@ from casewright.operators import cases, coding, dedup, linkage, projections, qua
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.plans import adapter, release
-from casewright.session import fresh_path, stage, tune
+from casewright.session import exists, fresh_path, stage, tune
 from casewright.sources import dims, files, lines
 from casewright.sources.tables import write_table
 from casewright.streaming import ingest
@@ -774,8 +774,19 @@ def split_drug_supp(s):
 
 # --- the composed release ---------------------------------------------------
 
+#: Where the release of a data folder lies, by application and folder: ten queries read one run.
+_RELEASES: dict[tuple[str, str], str] = {}
+
+
 def _released(s: Source, name: str) -> DataFrame:
     """One table of a release made from raw views."""
+    key = s.spark.sparkContext.applicationId, s.sf_dir
+    if key not in _RELEASES or not exists(s.spark, f"{_RELEASES[key]}/drug_supp/_SUCCESS"):
+        _RELEASES[key] = _release(s)
+    return s.spark.read.parquet(f"{_RELEASES[key]}/{name}")
+
+
+def _release(s: Source) -> str:
     demo, drug, info, reac, outc, ther, rpsr, names = s("demo", "drug", "drug_info", "reac", "outc", "ther", "rpsr", "drug_dictionary")
     tables = {
         "demo": demo, "drug": drug.drop("trial", "substance", "substance_raw"), "drug_info": info, "outc": outc, "ther": ther, "rpsr": rpsr,
@@ -787,7 +798,17 @@ def _released(s: Source, name: str) -> DataFrame:
         tables, out, countries=s.dim("country"), dictionary=voc.drug_dictionary(names), terms=s.terms(),
         hierarchy=voc.with_term_rank(s("pt_tree").distinct(), ["soc", "hlt", "pt"]),
     )
-    return s.spark.read.parquet(f"{out}/{name}")
+    return out
+
+
+@query
+def release_demo(s):
+    return _released(s, "demo")
+
+
+@query
+def release_demo_supp(s):
+    return _released(s, "demo_supp")
 
 
 @query
@@ -795,16 +816,31 @@ def release_drug(s):
     return _released(s, "drug")
 
 
+@query
+def release_drug_name(s):
+    return _released(s, "drug_name")
+
+
 @query
 def release_reac(s):
     return _released(s, "reac")
 
 
+@query
+def release_outc(s):
+    return _released(s, "outc")
+
+
 @query
 def release_indi(s):
     return _released(s, "indi")
 
 
+@query
+def release_ther(s):
+    return _released(s, "ther")
+
+
 @query
 def release_doses(s):
     return _released(s, "doses")

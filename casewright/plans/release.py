@@ -15,7 +15,8 @@ from casewright.functions import links
 from casewright.operators import cases, dedup, projections, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
-from casewright.session import stage
+from casewright.operators.joins import frequent_hashes
+from casewright.session import stage, stage_bucketed
 from casewright.sources import dims, files
 from casewright.sources.tables import write_csv, write_table
 
@@ -92,17 +93,31 @@ def release(
     if details is None:
         details = {name: dims.built_in(countries.sparkSession, name) for name in ("route", "dose_form", "dose_freq", "unit")}
     tables = standardize_terms(tables, stage(terms, "terms"))
-    hierarchy = stage(hierarchy, "hierarchy")
-    drug = stage(voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug")
+    ready = {
+        **tables, "drug": voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug_info": drug_details(tables["drug_info"], details),
+        "outc": std.encode_factors(tables["outc"]), "ther": std.duration_days(projections.project(tables["ther"], "ther")),
+    }
+    dealt, hot = dealt_by_report(ready, tables)
     demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
-    demo = stage(clean_cases({**tables, "drug": drug, "demo": demo}, countries), "demo")
-    onset = therapy(demo, tables["ther"])
-    info = stage(drug_details(tables["drug_info"], details), "drug_info")
-    final = {**tables, "drug": drug, "demo": demo, "ther": onset, "drug_info": info}
-    for name, df in split.split_tables(final, hierarchy).items():
+    demo = stage(clean_cases({**dealt, "demo": demo}, countries), "demo")
+    reports = stage_bucketed(split.in_all_parts(demo, hot), "reports", ["primaryid", split.PART])
+    final = {**dealt, "demo": demo, "ther": cases.time_to_onset(reports, dealt["ther"])}
+    for name, df in split.split_tables(final, stage(hierarchy, "hierarchy"), reports).items():
         df.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
+def dealt_by_report(ready: dict[str, DataFrame], raw: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[int]]:
+    """The tables in buckets by report, so that all joins on reports find their rows together, and the hashes of hot reports.
+
+    Rows of a report that holds much of a table are spread over parts, which the
+    reports join part by part; ``raw`` are the tables before they were
+    standardized, from which these reports are found by a sketch.
+    """
+    hot = frequent_hashes([raw[name] for name in split.PART_BY], ["primaryid"])
+    keys = ["primaryid", split.PART]
+    return {name: stage_bucketed(split.with_part(ready[name], by, hot), name, keys) for name, by in split.PART_BY.items()}, hot
+
+
 def process_quarter(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Findings and summary of raw tables whose names are already unified."""
     findings = quality.validation_report({k: v for k, v in tables.items() if k in S.REQUIRED})

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     # join key even when that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tables in buckets by report also join on report and drug line as they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Staged tables carry results from one job to the next, so a job's shuffle
     # files can go when it ends and not only when the driver's heap is collected.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -58,6 +60,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/casewright/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a shared Parquet table and read it back.
 
@@ -69,6 +76,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a shared table dealt to buckets by its keys and read it back.
+
+    Tables staged with the same keys and number of buckets (if not given, that of
+    shuffle partitions) join on these keys without moving rows again. The
+    catalog's entry goes at once; only the files are left.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entry = f"casewright_{name}_{uuid.uuid4().hex[:12]}"
+    dealt = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys)
+    dealt.option("path", fresh_path(spark, name)).saveAsTable(entry)
+    staged = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return staged
+
+
 class Workspace:
     """Staged tables of one piece of work in a folder of their own, deleted together.
 

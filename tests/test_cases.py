@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from casewright import schemas as S
 from casewright.operators import cases, quality, split
+from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.plans import release
 from casewright.sources import dims
@@ -75,6 +76,48 @@ def test_release_tables(spark, rows, tmp_path):
     assert got["drug_name"].count() == 1 and got["doses"].count() == 1 and got["drug_supp"].first()["route"] == "ORAL"
 
 
+def _report_tables(spark, rows, n, hot_rows):
+    """Tables of many reports and one that holds much of each of them."""
+    ids = [str(i) for i in range(n)] + ["hot"] * hot_rows + ["other"]
+    lines = list(enumerate(ids))
+    return {
+        "drug": rows([(r, str(i % 7), f"s{i % 3}", "PS", f"d{i % 4}", None) for i, r in lines], "primaryid string, drug_seq string, substance string, role_cod string, drugname string, prod_ai string"),
+        "drug_info": rows([(r, str(i % 7), *[str(i % 2)] * 14) for i, r in lines], ", ".join(f"{c} string" for c in S.TABLES["drug_info"])),
+        "reac": rows([(r, f"p{i % 5}", None) for i, r in lines], "primaryid string, pt string, drug_rec_act string"),
+        "indi": rows([(r, str(i % 7), f"p{i % 9}") for i, r in lines], "primaryid string, drug_seq string, indi_pt string"),
+        "outc": rows([(r, ["DE", "XX", "HO", "ZZ"][i % 4]) for i, r in lines], "primaryid string, outc_cod string"),
+        "rpsr": rows([(r, f"r{i % 3}") for i, r in lines], "primaryid string, rpsr_cod string"),
+        "ther": rows([(r, str(i % 7), "20200101", None, None, None) for i, r in lines], ", ".join(f"{c} string" for c in S.TABLES["ther"])),
+    }
+
+
+def test_tables_dealt_by_report_join_without_moving_rows(spark, rows):
+    tables = _report_tables(spark, rows, 1200, 900)
+    ready = {**tables, "outc": std.encode_factors(tables["outc"]), "ther": std.duration_days(tables["ther"])}
+    dealt, hot = release.dealt_by_report(ready, tables)
+    assert len(hot) == 1
+    spread = dealt["drug"].filter("primaryid = 'hot'").select("_part").distinct().count()
+    assert spread > 3 and dealt["drug"].filter("primaryid <> 'hot'").select("_part").distinct().count() == 1
+    columns = sorted({*S.SPLIT["demo"], *S.SPLIT["demo_supp"]} - {"event_dt", "primaryid"})
+    demo = rows([(str(i) if i else "hot", "20200105") for i in range(0, 1200, 2)], "primaryid string, event_dt string").select("*", *[F.lit("x").alias(c) for c in columns])
+    hierarchy = rows([(f"p{i}", i) for i in range(4)], "pt string, pt_rank int")
+    reports = release.stage_bucketed(split.in_all_parts(demo, hot), "reports", ["primaryid", "_part"])
+    plain = split.split_tables({**ready, "demo": demo, "ther": cases.time_to_onset(demo, ready["ther"])}, hierarchy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fast = split.split_tables({**dealt, "demo": demo, "ther": cases.time_to_onset(reports, dealt["ther"])}, hierarchy, reports)
+        plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in fast.items()}
+        assert [n for n, p in plans.items() if "hashpartitioning(primaryid" in p] == []
+        assert sum("SortMergeJoin" in p for p in plans.values()) == 9
+        for name in plain:
+            assert fast[name].columns == plain[name].columns
+            assert sorted(map(repr, map(tuple, fast[name].collect()))) == sorted(map(repr, map(tuple, plain[name].collect()))), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert spark.catalog.listTables() == [] or all(not t.name.startswith("casewright_") for t in spark.catalog.listTables())
+
+
 def test_supplement_can_keep_reports_without_source(rows):
     columns = S.SPLIT["demo_supp"]
     demo = rows([tuple("1" if c == "primaryid" else None for c in columns)], ", ".join(f"{c} string" for c in columns))
