@@ -18,18 +18,28 @@ def _cells(columns: list[str]) -> Column:
     return F.array(*[F.struct(F.col(f"_row.{c}").cast("string").alias("text")) for c in columns])
 
 
+#: A bucket's name: two 64-bit hashes of the key, the parts chosen and the values there.
+BUCKET = ["_b1", "_b2"]
+
+
+def _names(*parts: Column) -> list[Column]:
+    """Names of a bucket from parts without nulls inside, which hashes would pass over."""
+    return [F.xxhash64(F.lit(i), *parts).alias(b) for i, b in enumerate(BUCKET)]
+
+
+def _marked(texts: Column) -> Column:
+    """Texts told apart from a missing one."""
+    return F.transform(texts, lambda t: F.coalesce(F.concat(F.lit("="), t), F.lit("")))
+
+
 def _dealt(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
     """Each row once per part of its remaining columns, in the bucket of the values it has there."""
     left, part, cells = F.col("_left"), F.col("_part"), F.col("_cells")
     return (
-        rows.withColumn("_cells", _cells(columns))
+        rows.withColumn("_cells", _marked(F.transform(_cells(columns), lambda c: c["text"])))
         .withColumn("_part", F.explode(F.array(*[F.lit(j) for j in range(parts)])))
-        .withColumn("_picked", F.filter(left, lambda _, i: i % parts == part))
-        .select(
-            "_row", "_seeks", "_key", F.filter(left, lambda _, i: i % parts != part).alias("_left"),
-            F.concat("_path", F.array(part)).alias("_path"),
-            F.concat("_values", F.transform("_picked", lambda c: F.element_at(cells, c + 1))).alias("_values"),
-        )
+        .withColumn("_values", F.transform(F.filter(left, lambda _, i: i % parts == part), lambda c: F.element_at(cells, c + 1)))
+        .select("_row", "_seeks", F.filter(left, lambda _, i: i % parts != part).alias("_left"), *_names(*[F.col(b) for b in BUCKET], part, F.col("_values")))
     )
 
 
@@ -41,7 +51,7 @@ def _partners(rows: DataFrame, columns: list[str], need: int) -> DataFrame:
         return F.size(F.filter(same, lambda x: x)) >= need
 
     member = F.struct("_row", "_seeks", _cells(columns).alias("_cells"))
-    groups = rows.groupBy("_key", "_path", "_values", "_chunk").agg(F.collect_list(member).alias("_group")).filter(F.size("_group") > 1)
+    groups = rows.groupBy(*BUCKET, "_chunk").agg(F.collect_list(member).alias("_group")).filter(F.size("_group") > 1)
     found = F.filter("_group", lambda x, i: x["_seeks"] & F.exists(F.filter("_group", lambda _, j: i != j), lambda o: agree(o, x)))
     return groups.select(F.explode(found).alias("_found")).select("_found._row")
 
@@ -59,23 +69,24 @@ def _search(work: Workspace, rows: DataFrame, columns: list[str], need: int, chu
     are small or agree on enough columns already.
     """
     parts = len(columns) - need + 1
-    bucket = ["_key", "_path", "_values"]
     found = []
     while True:
         dealt = work.stage(_dealt(rows, columns, parts), "buckets")
-        sizes = dealt.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_size"), F.bool_or("_seeks").alias("_sought")).filter("_size > 1 AND _sought")
+        sizes = dealt.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("_size"), F.bool_or("_seeks").alias("_sought")).filter("_size > 1 AND _sought")
         chunk = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_size") / F.lit(chunk_rows)).cast("long"))
-        met = work.stage(dealt.join(sizes, bucket).withColumn("_chunk", chunk), "met")
+        met = work.stage(dealt.join(sizes, BUCKET).withColumn("_chunk", chunk), "met")
         # As many columns are left as were needed less what the bucket shares, plus the parts but one.
         enough = F.size("_left") < parts
         settled = met.filter(enough & F.col("_seeks")).select("_row").unionByName(_partners(met.filter(~enough), columns, need))
-        found.append(work.stage(settled.distinct(), "found"))
         large = met.filter(~enough & (F.col("_size") > chunk_rows))
+        if large.isEmpty():
+            return [*found, settled]
+        found.append(work.stage(settled.distinct(), "found"))
         have = reduce(DataFrame.unionByName, found).withColumnRenamed("_row", "_have")
         large = large.join(have.distinct(), F.col("_row") == F.col("_have"), "left").withColumn("_seeks", F.col("_seeks") & F.col("_have").isNull())
-        large = work.stage(large.select("_row", "_seeks", "_key", "_left", "_path", "_values"), "large")
-        open_buckets = large.filter("_seeks").select(*bucket).distinct()
-        rows = work.stage(large.join(open_buckets, bucket, "left_semi"), "rows")
+        large = work.stage(large.select("_row", "_seeks", "_left", *BUCKET), "large")
+        open_buckets = large.filter("_seeks").select(*BUCKET).distinct()
+        rows = work.stage(large.join(open_buckets, BUCKET, "left_semi"), "rows")
         if rows.isEmpty():
             return found
 
@@ -103,9 +114,9 @@ def similarity_filter(df: DataFrame, keys: list[str], threshold: float = 0.9, ch
     need = next((m for m in range(1, n + 1) if m / n >= threshold), None)
     if need is not None:
         kept.append(copies.filter("_n > 1").select("_row"))
+        key = _marked(F.array(*[F.col(f"_key.{k}").cast("string") for k in keys]))
         rows = copies.join(sizes.filter("_rows > 1"), "_key", "left_semi").select(
-            "_row", (F.col("_n") == 1).alias("_seeks"), "_key", F.array(*[F.lit(c) for c in _by_variety(copies, others)]).alias("_left"),
-            F.expr("CAST(array() AS array<int>)").alias("_path"), F.expr("CAST(array() AS array<struct<text:string>>)").alias("_values"))
+            "_row", (F.col("_n") == 1).alias("_seeks"), F.array(*[F.lit(c) for c in _by_variety(copies, others)]).alias("_left"), *_names(key))
         kept += _search(work, rows, others, need, chunk_rows)
     return keyed.join(reduce(DataFrame.unionByName, kept).distinct(), "_row", "left_semi").select(*df.columns)
 

@@ -591,3 +591,24 @@ ORACLE: dict[str, str] = {
     "report_lines": _with("demo drug ther", f"summary AS ({_summary('demo', 'drug', 'ther')})", _REPORT, body="""SELECT CAST(row_number() OVER (ORDER BY quarter, kind, i) - 1 AS INT) AS line_no, line
   FROM (SELECT quarter, kind, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM parts)"""),
 }
+
+# Dictionaries that go through files give what they give without.
+ORACLE |= {
+    "drug_list_file": ORACLE["std_drugs"], "synonyms_file": ORACLE["drug_synonyms"], "term_files": ORACLE["llt_pt_join"],
+    "hierarchy_files": """SELECT r_name AS soc, n_name AS hlgt, s_name AS hlt, c_name AS pt, CAST(row_number() OVER (ORDER BY r_name, n_name, s_name, c_name) AS INT) AS pt_rank
+  FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey JOIN customer ON c_custkey % 10 = s_suppkey""",
+    "country_file": """SELECT CAST(c_custkey AS VARCHAR) AS primaryid, CASE WHEN n_nationkey > 0 THEN r_name END AS occr_country,
+  CASE c_custkey % 3 WHEN 0 THEN 'Europe' WHEN 1 THEN CASE WHEN n_nationkey > 0 THEN r_name END END AS reporter_country
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "dose_form_file": _with("drug", "forms AS (SELECT upper(p_type) AS form, arg_max(p_brand, p_partkey) AS st FROM part GROUP BY 1)",
+                            body="SELECT primaryid, drug_seq, st AS dose_form FROM drug LEFT JOIN forms ON prod_ai = form"),
+    "route_file": _with("drug", """lines AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE lower(p_type) END AS route, p_brand, p_partkey FROM part),
+exact AS (SELECT route, arg_max(p_brand, p_partkey) AS st FROM lines GROUP BY route), loose AS (SELECT lower(route) AS route, arg_max(p_brand, p_partkey) AS st FROM lines GROUP BY 1),
+given AS (SELECT primaryid, drug_seq, CASE drug_seq WHEN '1' THEN lower(prod_ai) WHEN '2' THEN upper(substr(prod_ai, 1, 1)) || lower(substr(prod_ai, 2)) ELSE prod_ai END AS route FROM drug)""",
+                        body="SELECT primaryid, drug_seq, coalesce(e.st, l.st) AS route FROM given g LEFT JOIN exact e ON g.route = e.route LEFT JOIN loose l ON lower(g.route) = l.route"),
+    "unit_file": """SELECT CAST(p.p_partkey AS VARCHAR) AS primaryid, st AS dose_unit, p.p_partkey * CASE WHEN size % 5 = 0 THEN 1.0::DOUBLE ELSE size::DOUBLE END AS dose_amt
+  FROM part p JOIN (SELECT p_brand, arg_max(p_type, p_partkey) AS st, arg_max(p_size, p_partkey) AS size FROM part GROUP BY p_brand) u USING (p_brand)""",
+    "archive_catalog": """SELECT y || 'q' || q AS quarter, '/files/rep_ascii_' || y || 'Q' || q || '.ZIP' AS href, CAST(y AS INT) >= 1993 AS valid,
+  CASE WHEN CAST(y AS INT) >= 1996 THEN 'faers' ELSE 'aers' END || '_ascii_' || y || 'q' || q || '.zip' AS file_name, FALSE AS named
+  FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y, CAST(quarter(o_orderdate) AS VARCHAR) AS q FROM orders)""",
+}

@@ -242,6 +242,12 @@ def archive_links(s):
     return release.archive_links(s("archive_pages"))
 
 
+@query
+def archive_catalog(s):
+    """Archives with the rules that tell which may be fetched, and under which name; the years are those of the test pages."""
+    return release.archive_catalog(s("archive_pages"), first_year=1993, switch_year=1996)
+
+
 @query
 def quarter_calendar(s):
     span = release.quarters_between(s.table("orders"), "o_orderdate")
@@ -565,6 +571,112 @@ def meddra_flat(s):
     return voc.flat_hierarchy(levels, ["soc", "hlt", "pt"])
 
 
+# --- dictionaries from files ------------------------------------------------
+
+def _write_dictionary(df: DataFrame, path: str, sep: str, quote: str = '"') -> str:
+    """A dictionary as one delimited file in the order of ``line_no``: later entries stand for earlier ones."""
+    lines = df.repartition(1).sortWithinPartitions("line_no").drop("line_no")
+    lines.write.option("sep", sep).option("header", True).option("quote", quote).option("emptyValue", "").csv(path)
+    return path
+
+
+@query
+def drug_list_file(s):
+    """Drugs through a dictionary file whose header is written in another case."""
+    raw = s("drug_dictionary").select("line_no", F.col("drugname").alias("DrugName"), F.col("substance").alias("Substance"))
+    path = _write_dictionary(raw, fresh_path(s.spark, "drug_list"), ";")
+    names = voc.drug_dictionary(dims.load_drug_list(s.spark, path))
+    return voc.standardize_drugs(s("drug").drop("trial"), names).select("primaryid", "drug_seq", "drugname", "substance", "trial")
+
+
+@query
+def synonyms_file(s):
+    raw = s.spark.sql(adapter.SYNONYMS, part=s.table("part"))
+    return voc.drug_synonyms(dims.load_synonyms(s.spark, _write_dictionary(raw, fresh_path(s.spark, "synonyms"), ",")))
+
+
+def _term_file(s: Source, df: DataFrame, columns: list[str], path: str) -> None:
+    have = set(df.columns)
+    filled = df.select("line_no", *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns])
+    _write_dictionary(filled, path, "$", "")
+
+
+@query
+def term_files(s):
+    """Low-level terms to preferred ones, both read from term files."""
+    folder = fresh_path(s.spark, "terms")
+    _term_file(s, s("llt"), dims.LLT_COLUMNS, f"{folder}/llt.asc")
+    _term_file(s, s("pt").withColumn("line_no", F.col("pt_code").cast("long")), dims.PT_COLUMNS, f"{folder}/pt.asc")
+    return voc.llt_to_pt(*dims.load_terms(s.spark, folder))
+
+
+@query
+def hierarchy_files(s):
+    """A term tree of four levels and the links between them, read from seven files."""
+    folder, region, nation, supplier, customer = fresh_path(s.spark, "tree"), *(s.table(t) for t in ("region", "nation", "supplier", "customer"))
+    levels = {
+        "soc": (region, "r_regionkey", "r_name"), "hlgt": (nation, "n_nationkey", "n_name"),
+        "hlt": (supplier, "s_suppkey", "s_name"), "pt": (customer, "c_custkey", "c_name"),
+    }
+    links = {
+        "soc_hlgt": (nation, F.col("n_regionkey"), "n_nationkey"), "hlgt_hlt": (supplier, F.col("s_nationkey"), "s_suppkey"),
+        "hlt_pt": (customer, F.col("c_custkey") % 10, "c_custkey"),
+    }
+    for name, (df, code, text) in levels.items():
+        _write_dictionary(df.select(F.col(code).alias("line_no"), F.col(code).alias(f"{name}_code"), F.col(text).alias(f"{name}_name")), f"{folder}/{name}.asc", "$", "")
+    for name, (df, code, child) in links.items():
+        up, down = name.split("_")
+        _write_dictionary(df.select(F.col(child).alias("line_no"), code.alias(f"{up}_code"), F.col(child).alias(f"{down}_code")), f"{folder}/{name}.asc", "$", "")
+    return voc.flat_hierarchy(dims.load_hierarchy_levels(s.spark, folder), ["soc", "hlgt", "hlt", "pt"])
+
+
+def _dims_from(s: Source, **tables: DataFrame) -> dict[str, DataFrame]:
+    """All dictionaries: the given ones written to files and read back, the others built in."""
+    folder = fresh_path(s.spark, "dims")
+    for name, df in tables.items():
+        _write_dictionary(df, f"{folder}/{name}.csv", ";")
+    return dims.load_dims(s.spark, folder, {name: f"{name}.csv" for name in tables})
+
+
+@query
+def country_file(s):
+    """Countries by a file; the fixed codes hold whatever the file says."""
+    nation, region = s.table("nation"), s.table("region")
+    raw = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        F.col("n_nationkey").alias("line_no"), F.when(F.col("n_nationkey") == 0, "XE").otherwise(F.col("n_name")).alias("Country"), F.concat(F.lit(" "), "r_name").alias("Country_Name"))
+    people = s.table("customer").join(nation, F.col("c_nationkey") == nation["n_nationkey"]).select(
+        F.col("c_custkey").cast("string").alias("primaryid"), F.lower("n_name").alias("occr_country"),
+        F.when(F.col("c_custkey") % 3 == 0, "xe").when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(" "), "n_name")).otherwise("a1").alias("reporter_country"))
+    return std.std_country(people, _dims_from(s, country=raw)["country"]).select("primaryid", "occr_country", "reporter_country")
+
+
+@query
+def dose_form_file(s):
+    """Dose forms by a file that names each many times: the last line stands."""
+    raw = s.table("part").select(F.col("p_partkey").alias("line_no"), F.concat(F.lit(" "), F.lower("p_type")).alias("Dose_Form"), F.col("p_brand").alias("DOSE_FORM_ST"))
+    forms = s("drug").select("primaryid", "drug_seq", F.col("prod_ai").alias("dose_form"))
+    return std.std_dose_form(forms, _dims_from(s, dose_form=raw)["dose_form"])
+
+
+@query
+def route_file(s):
+    """Routes by a file with two spellings of each: the exact one goes first."""
+    even = F.col("p_partkey") % 2 == 0
+    raw = s.table("part").select(F.col("p_partkey").alias("line_no"), F.when(even, F.col("p_type")).otherwise(F.lower("p_type")).alias("route"), F.col("p_brand").alias("route_st"))
+    routes = s("drug").select("primaryid", "drug_seq", F.when(F.col("drug_seq") == "1", F.lower("prod_ai")).when(F.col("drug_seq") == "2", F.initcap("prod_ai")).otherwise(F.col("prod_ai")).alias("route"))
+    return std.std_route(routes, _dims_from(s, route=raw)["route"])
+
+
+@query
+def unit_file(s):
+    """Doses by a unit file; a factor that is no number leaves the amount as it is."""
+    part = s.table("part")
+    factor = F.when(F.col("p_size") % 5 == 0, "many").otherwise(F.col("p_size").cast("string"))
+    raw = part.select(F.col("p_partkey").alias("line_no"), F.upper("p_brand").alias("unit"), F.col("p_type").alias("unit_st"), factor.alias("conversion_factor"))
+    doses = part.select(F.col("p_partkey").cast("string").alias("primaryid"), F.col("p_brand").alias("dose_unit"), F.col("p_partkey").cast("string").alias("dose_amt"))
+    return std.std_dose(doses, _dims_from(s, unit=raw)["unit"])
+
+
 # --- deduplication ----------------------------------------------------------
 
 @query

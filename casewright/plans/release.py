@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casewright import schemas as S
-from casewright.functions import links
+from casewright.functions import links, text
 from casewright.operators import cases, dedup, projections, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
@@ -319,3 +319,15 @@ def archive_links(pages: DataFrame, prefixes: list[str] | None = None) -> DataFr
         .groupBy("quarter")
         .agg(F.max_by("href", F.struct("page_id", "position")).alias("href"))
     )
+
+
+def archive_catalog(pages: DataFrame, old: str = "aers", new: str = "faers", first_year: int = 2004, switch_year: int = 2013) -> DataFrame:
+    """The archives of some pages with whether their quarter was published, and the file name their era calls for.
+
+    ``named`` says whether the link ends in that name, in any case.
+    """
+    found = archive_links(pages)
+    prefix = text.era_prefix(F.substring("quarter", 1, 4).cast("int"), old, new, switch_year)
+    name = F.concat(prefix, F.lit("_ascii_"), "quarter", F.lit(".zip"))
+    return found.select(
+        "quarter", "href", text.valid_quarter(F.col("quarter"), first_year).alias("valid"), name.alias("file_name"), F.lower("href").endswith(name).alias("named"))

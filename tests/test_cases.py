@@ -167,3 +167,12 @@ def test_archive_links(rows):
                  "page_id int, html string")
     assert [tuple(r) for r in release.archive_links(pages).collect()] == [("2013q1", "/g/rep_ascii_2013Q1.ZIP")]
     assert release.page_links(pages).filter(F.col("href") == "/x.html").first()["position"] == 1
+
+
+def test_archive_catalog_knows_eras_and_first_year(rows):
+    pages = rows([(1, '<a href="/f/faers_ascii_2014q1.zip">x</a><a href="/f/AERS_ASCII_2005Q3.ZIP">y</a><a href="/f/aers_ascii_2014q2.zip">z</a><a href="/f/aers_ascii_2003q4.zip">w</a>')],
+                 "page_id int, html string")
+    got = {r["quarter"]: (r["valid"], r["file_name"], r["named"]) for r in release.archive_catalog(pages).collect()}
+    assert got == {
+        "2014q1": (True, "faers_ascii_2014q1.zip", True), "2005q3": (True, "aers_ascii_2005q3.zip", True),
+        "2014q2": (True, "faers_ascii_2014q2.zip", False), "2003q4": (False, "aers_ascii_2003q4.zip", True)}
