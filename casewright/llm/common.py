@@ -28,6 +28,14 @@ def documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c == "text" else F.col(c) for c in columns])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have in any case, as Spark compares names."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_list(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

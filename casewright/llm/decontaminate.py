@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewright.llm.common import BY_SIGN, all_pieces, text_list, word_hashes
+from casewright.llm.common import BY_SIGN, all_pieces, free_name, text_list, word_hashes
 from casewright.session import fresh_path, stage
 
 WINDOW = 10
@@ -212,12 +212,14 @@ def clean(df: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFram
     numbered, passes = _numbered(benchmark)
     if passes == 1:
         return _clean_pass(df, _load(numbered, 0), window)
-    docs = stage(df.withColumn("_row", F.monotonically_increasing_id()), "contamination_rows")
+    row = free_name(df, "row")
+    docs = stage(df.withColumn(row, F.monotonically_increasing_id()), "contamination_rows")
     hit = None
     for number in range(passes):
-        one = stage(_search_pass(docs.select("_row", "text"), _load(numbered, number), window).filter(F.size("spans") > 0).select("_row"), "contamination_hits")
+        texts = docs.select(F.col(row).alias("row"), "text")
+        one = stage(_search_pass(texts, _load(numbered, number), window).filter(F.size("spans") > 0).select(F.col("row").alias(row)), "contamination_hits")
         hit = one if hit is None else hit.unionByName(one)
-    return docs.join(hit.distinct(), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return docs.join(hit.distinct(), row, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _clean_pass(df: DataFrame, items: Items, window: int) -> DataFrame:

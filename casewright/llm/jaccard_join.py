@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewright.llm.common import BY_SPACE, all_pieces, mix, possible, text_list, word_hashes
+from casewright.llm.common import BY_SPACE, all_pieces, free_name, mix, possible, text_list, word_hashes
 from casewright.llm.graph import components
 from casewright.session import Workspace, stage
 
@@ -345,11 +345,9 @@ def one_of_each(df: DataFrame, rule: Rule) -> DataFrame:
 
     Rows without shingles are all kept.
     """
-    row = "row"
-    while row in df.columns:
-        row += "_"
+    row = free_name(df, "row")
     numbered = stage(df.withColumn(row, F.monotonically_increasing_id()), "jaccard_rows")
     named = numbered.select(F.struct("doc_id", F.col(row).alias("row")).alias("doc_id"), "text")
     found = link(named, rule)
     chosen = found.filter("doc_id = component_id").select(F.col("doc_id.row").alias(row))
-    return numbered.join(chosen, row, "left_semi").select(*df.columns)
+    return numbered.join(chosen, row, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
