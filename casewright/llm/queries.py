@@ -40,13 +40,9 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.tune(spark)
-    ids = token_files.tokenize(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID, WORD_ID_BYTES)
     work, path = session.Workspace(spark, "token_ids"), session.fresh_path(spark, "token_files")
-    staged = work.path("ids")
-    ids.write.option("compression", "zstd").parquet(staged)
-    kept = spark.read.schema(ids.schema).parquet(staged)
-    total = kept.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    token_files.write(kept, path, WORD_IDS, files=1 + total // (FILE_IDS * WORD_ID_BYTES), id_bytes=WORD_ID_BYTES)
+    kept, counts = token_files.staged(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID, WORD_IDS, work.path("ids"), WORD_ID_BYTES)
+    token_files.write(kept, path, WORD_IDS, files=1 + int(counts.sum()) // FILE_IDS, id_bytes=WORD_ID_BYTES, counts=counts)
     work.clear()
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

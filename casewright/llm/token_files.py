@@ -145,47 +145,94 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenize(df: DataFrame, path: str, end_id: int, id_bytes: int = 4) -> DataFrame:
+def tokenize(df: DataFrame, path: str, end_id: int, id_bytes: int = 4, width: int | None = None) -> DataFrame:
     """``doc_id, ids`` (binary, little-endian unsigned): each whole text's ids and ``end_id``.
 
     Two ``id_bytes`` do for ids below 65,536 and halve what is written and moved.
+    With ``width`` each task ends with a row of its own, whose ``counts`` say how
+    often it met each id below ``width`` (64-bit numbers); see ``staged``.
     """
     kind = f"<u{id_bytes}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_tokenizer(path)
+        own, counts, names = word_tokenizer(path), np.zeros(width or 0, dtype=np.int64), ["doc_id", "ids", "counts"][: 3 if width else 2]
+        empty = None
         for batch in all_pieces(batches):
             ids, sizes = own.encode([t or "" for t in batch.column("text").to_pylist()])
             bounds = np.cumsum(sizes)
             ids = np.insert(ids, bounds, end_id).astype(kind)
             bounds = np.concatenate([[0], bounds + np.arange(1, len(bounds) + 1)]).astype(np.int32) * id_bytes
             column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], names=["doc_id", "ids"])
+            columns = [batch.column("doc_id"), column]
+            if width:
+                counts += np.bincount(ids, minlength=width)
+                columns.append(pa.nulls(len(sizes), pa.binary()))
+                empty = pa.nulls(1, batch.column("doc_id").type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        if empty is not None:
+            yield pa.RecordBatch.from_arrays([empty, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()])], names=names)
 
-    return documents(df, "doc_id", "text").mapInArrow(run, f"doc_id {_kind(df)}, ids binary")
+    return documents(df, "doc_id", "text").mapInArrow(run, f"doc_id {_kind(df)}, ids binary" + (", counts binary" if width else ""))
+
+
+def staged(df: DataFrame, path: str, end_id: int, width: int, table: str, id_bytes: int = 4) -> tuple[DataFrame, np.ndarray]:
+    """The ids of all texts written to ``table``, and how often each id below ``width`` occurs: counted as they are made."""
+    found = tokenize(df, path, end_id, id_bytes, width)
+    found.write.option("compression", "zstd").parquet(table)
+    kept = df.sparkSession.read.schema(found.schema).parquet(table)
+    rows = kept.filter("counts IS NOT NULL").select("counts")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(width, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                counts += np.frombuffer(raw, dtype=np.int64)
+        yield _nonzero(counts)
+
+    return kept.filter("counts IS NULL").select("doc_id", "ids"), _totals(rows.mapInArrow(run, "id int, n long"), width)
+
+
+def _nonzero(counts: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["id", "n"])
+
+
+def _totals(counts: DataFrame, width: int) -> np.ndarray:
+    """Sums of ``id, n`` rows; ``width`` rows at most reach the driver."""
+    out = np.zeros(width, dtype=np.int64)
+    for r in counts.groupBy("id").agg(F.sum("n").alias("n")).collect():
+        out[r["id"]] = r["n"]
+    return out
 
 
 def _kind(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 
 
-def rank_order(ids: DataFrame, width: int, id_bytes: int = 4) -> np.ndarray:
-    """Ids from most to least frequent, ties by id. Each task sends one count per id, ``width`` at most."""
+def count_ids(ids: DataFrame, width: int, id_bytes: int = 4) -> np.ndarray:
+    """How often each id occurs. Each task sends one count per id, ``width`` at most."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(width, dtype=np.int64)
         for batch in all_pieces(batches, "ids"):
             counts += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), f"<u{id_bytes}"), minlength=width)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["id", "n"])
+        yield _nonzero(counts)
+
+    return _totals(ids.select("ids").mapInArrow(run, "id int, n long"), width)
 
-    rows = ids.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    return np.array([r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))], dtype=np.int64)
 
+def rank_order(counts: np.ndarray) -> np.ndarray:
+    """Ids that occur from most to least frequent, ties by id."""
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    return order[: np.count_nonzero(counts)]
 
-def write(ids: DataFrame, path: str, width: int, files: int, id_bytes: int = 4) -> None:
-    """Write ``doc_id, ids`` as a file set. ``ids`` is read twice: keep it in a table. ``width``: ids are below it."""
+
+def write(ids: DataFrame, path: str, width: int, files: int, id_bytes: int = 4, counts: np.ndarray | None = None) -> None:
+    """Write ``doc_id, ids`` as a file set. ``width``: ids are below it.
+
+    Without ``counts`` of all ids, ``ids`` is read a second time for them: keep it in a table.
+    """
     spark = ids.sparkSession
-    order = rank_order(ids, width, id_bytes)
+    order = rank_order(count_ids(ids, width, id_bytes) if counts is None else counts)
     rank = np.zeros(width, dtype=np.uint32)
     rank[order] = np.arange(len(order))
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
