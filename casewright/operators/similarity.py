@@ -13,9 +13,9 @@ from casewright.session import Workspace
 CHUNK_ROWS = 64
 
 
-def _cells(columns: list[str]) -> Column:
-    """The compared values of a row; structs compare null with null as equal."""
-    return F.array(*[F.struct(F.col(f"_row.{c}").cast("string").alias("text")) for c in columns])
+def _texts(columns: list[str]) -> list[Column]:
+    """The compared values of a row as texts."""
+    return [F.col(f"_row.{c}").cast("string") for c in columns]
 
 
 #: A bucket's name: two 64-bit hashes of the key, the parts chosen and the values there.
@@ -27,16 +27,16 @@ def _names(*parts: Column) -> list[Column]:
     return [F.xxhash64(F.lit(i), *parts).alias(b) for i, b in enumerate(BUCKET)]
 
 
-def _marked(texts: Column) -> Column:
+def _marked(texts: list[Column]) -> Column:
     """Texts told apart from a missing one."""
-    return F.transform(texts, lambda t: F.coalesce(F.concat(F.lit("="), t), F.lit("")))
+    return F.array(*[F.coalesce(F.concat(F.lit("="), t), F.lit("")) for t in texts])
 
 
 def _dealt(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
     """Each row once per part of its remaining columns, in the bucket of the values it has there."""
     left, part, cells = F.col("_left"), F.col("_part"), F.col("_cells")
     return (
-        rows.withColumn("_cells", _marked(F.transform(_cells(columns), lambda c: c["text"])))
+        rows.withColumn("_cells", _marked(_texts(columns)))
         .withColumn("_part", F.explode(F.array(*[F.lit(j) for j in range(parts)])))
         .withColumn("_values", F.transform(F.filter(left, lambda _, i: i % parts == part), lambda c: F.element_at(cells, c + 1)))
         .select("_row", "_seeks", F.filter(left, lambda _, i: i % parts != part).alias("_left"), *_names(*[F.col(b) for b in BUCKET], part, F.col("_values")))
@@ -46,14 +46,17 @@ def _dealt(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
 def _partners(rows: DataFrame, columns: list[str], need: int) -> DataFrame:
     """Rows that find a partner among the rows of their bucket and chunk, where all are compared."""
 
+    names = [f"c{i}" for i in range(len(columns))]
+
     def agree(a: Column, b: Column) -> Column:
-        same = F.zip_with(a["_cells"], b["_cells"], lambda x, y: x == y)
-        return F.size(F.filter(same, lambda x: x)) >= need
+        return reduce(lambda x, y: x + y, [a[c].eqNullSafe(b[c]).cast("int") for c in names]) >= need
 
-    member = F.struct("_row", "_seeks", _cells(columns).alias("_cells"))
+    member = F.struct("_row", "_seeks", *[t.alias(c) for t, c in zip(_texts(columns), names)])
     groups = rows.groupBy(*BUCKET, "_chunk").agg(F.collect_list(member).alias("_group")).filter(F.size("_group") > 1)
-    found = F.filter("_group", lambda x, i: x["_seeks"] & F.exists(F.filter("_group", lambda _, j: i != j), lambda o: agree(o, x)))
-    return groups.select(F.explode(found).alias("_found")).select("_found._row")
+    # Members carry their place, so that none is its own partner.
+    placed = groups.select(F.transform("_group", lambda x, i: F.struct(i.alias("i"), x.alias("m"))).alias("_group"))
+    found = F.filter("_group", lambda x: x["m"]["_seeks"] & F.exists("_group", lambda o: (o["i"] != x["i"]) & agree(o["m"], x["m"])))
+    return placed.select(F.explode(found).alias("_found")).select("_found.m._row")
 
 
 def _search(work: Workspace, rows: DataFrame, columns: list[str], need: int, chunk_rows: int) -> list[DataFrame]:
@@ -114,7 +117,7 @@ def similarity_filter(df: DataFrame, keys: list[str], threshold: float = 0.9, ch
     need = next((m for m in range(1, n + 1) if m / n >= threshold), None)
     if need is not None:
         kept.append(copies.filter("_n > 1").select("_row"))
-        key = _marked(F.array(*[F.col(f"_key.{k}").cast("string") for k in keys]))
+        key = _marked([F.col(f"_key.{k}").cast("string") for k in keys])
         rows = copies.join(sizes.filter("_rows > 1"), "_key", "left_semi").select(
             "_row", (F.col("_n") == 1).alias("_seeks"), F.array(*[F.lit(c) for c in _by_variety(copies, others)]).alias("_left"), *_names(key))
         kept += _search(work, rows, others, need, chunk_rows)

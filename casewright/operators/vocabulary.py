@@ -160,9 +160,16 @@ def with_term_rank(flat: DataFrame, names: list[str], range_rows: int = RANGE_RO
     return numbered(flat, names, "pt_rank", range_rows=range_rows).withColumn("pt_rank", F.col("pt_rank").cast("int"))
 
 
+def term_ranks(hierarchy: DataFrame) -> DataFrame:
+    """Lowest rank of each term; the same frame for each call, so it is measured once for all columns."""
+    if "_casewright_ranks" not in hierarchy.__dict__:
+        hierarchy.__dict__["_casewright_ranks"] = hierarchy.groupBy(X.lookup_key(F.col("pt")).alias("_term")).agg(F.min("pt_rank").alias("_rank"))
+    return hierarchy.__dict__["_casewright_ranks"]
+
+
 def rank_terms(df: DataFrame, column: str, hierarchy: DataFrame, measured: bool = False) -> DataFrame:
     """Rank column of an ordered term, found whatever its case; a term outside the vocabulary gives null for both."""
-    ranks = hierarchy.groupBy(X.lookup_key(F.col("pt")).alias("_term")).agg(F.min("pt_rank").alias("_rank"))
+    ranks = term_ranks(hierarchy)
     out = lookup_join(df.withColumn("_term", X.lookup_key(F.col(column))), ranks, ["_term"], measured=measured)
     return (
         out.withColumn(column, F.when(F.col("_rank").isNotNull(), F.col(column)))

@@ -273,7 +273,7 @@ _LINK_LADDERS = [
 ]
 
 
-def _linked(body: str) -> str:
+def _linked(body: str, *more: str) -> str:
     """``scored``: pairs of profiles that share a block of at most 40, the first such pass, their agreement pattern and score."""
     columns = sorted(_LINK_LADDERS[0].split())
     blocks = []
@@ -295,7 +295,8 @@ def _linked(body: str) -> str:
     return _with(
         "demo", *_std("demo", "st"), f"profiles AS (SELECT {', '.join(columns)}, min(primaryid) AS id, count(*) AS n FROM st GROUP BY {', '.join(columns)})",
         f"blocked AS (SELECT *, {', '.join(f'{b} AS b{i}' for i, b in enumerate(blocks))} FROM profiles)", f"pairs AS ({' UNION ALL '.join(pairs)})",
-        f"scored AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS n_a, b.n AS n_b, pass, {signs} AS pattern, round({total}, 6) AS score FROM pairs)", body=body)
+        f"scored AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS n_a, b.n AS n_b, pass, {signs} AS pattern, round({total}, 6) AS score FROM pairs)", *more,
+        body=body).replace("WITH", "WITH RECURSIVE", 1)
 
 
 _RAW_AGE = f"""aged AS (SELECT *, CASE WHEN d0 > 44530 THEN CASE WHEN age_cod = 'DEC' THEN d0 / 3650 END ELSE d0 END AS age_in_days
@@ -483,6 +484,10 @@ ORACLE: dict[str, str] = {
     "similarity_filter": _similar(0.7),
     "similarity_filter_strict": _similar(0.9),
     "linkage_score": _linked("SELECT * FROM scored WHERE score >= 9.0"),
+    "linkage_entities": _linked("""SELECT st.primaryid, coalesce(root, p.id) AS entity FROM st JOIN profiles p ON """ + " AND ".join(
+        f"st.{c} IS NOT DISTINCT FROM p.{c}" for c in _LINK_LADDERS[0].split()) + """ LEFT JOIN (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a) r ON r.a = p.id""",
+        """links AS (SELECT id_a AS a, id_b AS b FROM scored WHERE score >= 13.0 UNION SELECT id_b, id_a FROM scored WHERE score >= 13.0)""",
+        """reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)"""),
     "linkage_patterns": _linked("SELECT pattern, count(*) AS n_pairs FROM scored GROUP BY pattern"),
     "drop_nullified": _with("demo deleted", body="SELECT primaryid, caseid FROM demo WHERE caseid NOT IN (SELECT caseid FROM deleted)"),
     # cases

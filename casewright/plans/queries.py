@@ -45,7 +45,7 @@ class Source:
         return cases.case_flags(newest, drug)
 
     def tree(self) -> DataFrame:
-        return stage(voc.with_term_rank(self("term_tree").distinct(), ["soc", "hlt", "pt"]), "tree")
+        return voc.with_term_rank(self("term_tree").distinct(), ["soc", "hlt", "pt"])
 
     def layouts(self, kind: str, table: str | None = None, **options) -> DataFrame:
         """Both layouts of a kind, each projected to the unified columns."""
@@ -773,6 +773,14 @@ def linkage_score(s):
     return linkage.linked_pairs(demo, LINK_FIELDS, LINK_PASSES, 9.0, max_block=LINK_BLOCK)
 
 
+@query
+def linkage_entities(s):
+    """Reports with the smallest id of those they are linked with, directly or not, by stronger evidence."""
+    demo = std.std_demo(s("demo"), s.dim("country"), True)
+    pairs = linkage.linked_pairs(demo, LINK_FIELDS, LINK_PASSES, 13.0, max_block=LINK_BLOCK)
+    return linkage.entities(pairs, linkage.members(demo, LINK_FIELDS, LINK_PASSES))
+
+
 @query
 def linkage_patterns(s):
     """How often the fields of compared reports agree: what weights are learnt from."""
