@@ -10,9 +10,10 @@ text is the run's context.
 The index holds, in order of key, one entry per anchor and half: the key is the
 hash of the ``length / 2`` bytes before or after the anchor, one of which lies
 in any window. Equal contexts share an entry with a count, so copies cost
-nothing. Every ``BATCH_BYTES`` of text are a batch. New batches are sorted, meet all
-levels by a semi join on the keys, and then join the family: two levels of a size
-become one of twice the size, and their own tables go.
+nothing. Every ``BATCH_BYTES`` of text are a batch. Batches and levels are stored in
+the same ranges of keys and in order inside them. A new batch is merge-scanned
+against all levels, and then joins the family: two levels of a size are merged to
+one of twice the size as they lie, and their own tables go.
 
 Contexts that occur more than once are repeats throughout. For the others, which
 share a key with a different context, each window is compared by hash. Tasks
@@ -52,7 +53,10 @@ WORD_GRAM = 4
 #: ASCII white space to a blank, all else as it is.
 BY_BLANK = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 PIECE = 1 << 20  # bytes of text taken together; each takes some ten numbers per byte
-BATCH_BYTES = 512 << 20  # bytes of text a batch of the index has
+#: Bytes of text a batch of the index has, and the batches there are at least and at most.
+BATCH_BYTES, BATCHES = 96 << 20, (4, 64)
+#: Entries a task holds before it counts equal ones.
+ENTRIES_HELD = 1 << 19
 
 
 def group_ends(first: np.ndarray, count: int) -> np.ndarray:
@@ -135,39 +139,73 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Equal (batch, key, context) counted."""
+    number, key, context = map(np.concatenate, zip(*parts))
+    order = np.lexsort((context, key, number))
+    number, key, context = number[order], key[order], context[order]
+    head = np.ones(len(key), dtype=bool)
+    head[1:] = (number[1:] != number[:-1]) | (key[1:] != key[:-1]) | (context[1:] != context[:-1])
+    at = np.flatnonzero(head)
+    n = np.diff(np.append(at, len(key)))
+    return pa.RecordBatch.from_arrays([pa.array(number[at]), _long(key[at]), _long(context[at]), pa.array(n.astype(np.int64))], names=["batch", "key", "ctx", "n"])
+
+
 def entries(df: DataFrame, length: int, batches: int, words: bool = False) -> DataFrame:
-    """``batch, key, ctx, n``: the sorted-out entries of every batch of texts."""
+    """``batch, key, ctx, n``: the entries of every batch of texts, equal ones of a task counted."""
     def run(batch_rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in all_pieces(batch_rows, limit=PIECE):
             runs = Runs.of(text_list(batch.column("text")), length, words)
             number = (np.array(batch.column("h").to_numpy(zero_copy_only=False)).view(np.uint64) % np.uint64(batches)).astype(np.int32)[runs.text]
             for key in (runs.before, runs.after):
                 there = key != 0
-                yield pa.RecordBatch.from_arrays([pa.array(number[there]), _long(key[there]), _long(runs.context[there])], names=["batch", "key", "ctx"])
+                parts.append((number[there], key[there], runs.context[there]))
+                size += len(parts[-1][0])
+            if size > ENTRIES_HELD:
+                yield _summed(parts)
+                parts, size = [], 0
+        if size:
+            yield _summed(parts)
 
-    return _texts(df).mapInArrow(run, "batch int, key long, ctx long").groupBy("batch", "key", "ctx").agg(F.count("*").alias("n"))
+    return _texts(df).mapInArrow(run, "batch int, key long, ctx long, n long")
 
 
 class Family:
-    """Levels of the index, each empty or twice as large as the one before, and the keys found more than once."""
+    """Levels of the index, each empty or twice as large as the one before, and the keys found more than once.
+
+    All levels are stored in the same ``ranges`` of keys and in order of key and
+    context inside each, so that a batch meets a level, and two levels become
+    one, by a merge scan over both as they lie.
+    """
 
-    def __init__(self, work: Workspace):
-        self.work = work
+    def __init__(self, work: Workspace, ranges: int):
+        self.work, self.ranges = work, ranges
         self.levels: list[tuple[DataFrame, Workspace | None] | None] = []
         self.keys: list[DataFrame] = []
 
+    def meets(self, batch: DataFrame, level: DataFrame) -> DataFrame:
+        """Keys of a batch that a level has."""
+        return batch.select("key").hint("merge").join(level.select("key").hint("merge"), "key", "left_semi")
+
+    def merged(self, one: DataFrame, other: DataFrame) -> DataFrame:
+        """Two levels as one, equal entries counted together."""
+        right = other.withColumnRenamed("n", "m").hint("merge")
+        both = one.hint("merge").join(right, ["key", "ctx"], "full_outer")
+        return both.select("key", "ctx", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+
     def add(self, batch: DataFrame, home: Workspace | None = None) -> None:
-        """Join a batch (``key, ctx, n``, a table, which ``home`` holds) with itself and all levels, then take it in."""
+        """Join a batch (``key, ctx, n``, a sorted table, which ``home`` holds) with itself and all levels, then take it in."""
         found = batch.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
         for level in self.levels:
             if level is not None:
-                found = found.unionByName(batch.select("key").join(level[0].select("key"), "key", "left_semi"))
+                found = found.unionByName(self.meets(batch, level[0]))
         self.keys.append(self.work.stage(found.distinct(), "repeated_keys"))
         depth = 0
         while depth < len(self.levels) and self.levels[depth] is not None:
             level, old = self.levels[depth]
             new = self.work.inside("suffix_level")
-            batch = new.stage(batch.unionByName(level).groupBy("key", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "ctx"), "level")
+            batch = new.stage_sorted(self.merged(batch, level), "level", "key", ["key", "ctx"], self.ranges, dealt=True)
             for merged in filter(None, (home, old)):
                 merged.clear()
             self.levels[depth], home = None, new
@@ -189,17 +227,27 @@ class Family:
 def build(df: DataFrame, work: Workspace, length: int = LENGTH, batches: int | None = None, words: bool = False) -> Family:
     """The index of all texts; its tables lie in ``work``."""
     if batches is None:
-        batches = max(1, -(-(df.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BATCH_BYTES))
+        batches = batch_count(df.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    ranges = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
     whole = work.inside("suffix_batches")
-    path = whole.folder
-    entries(df, length, batches, words).sortWithinPartitions("batch", "key", "ctx").write.partitionBy("batch").parquet(path)
-    every = work.spark.read.schema("key long, ctx long, n long, batch int").parquet(path)
-    family = Family(work)
+    dealt = entries(df, length, batches, words).repartition(ranges, "key").groupBy("batch", "key", "ctx").agg(F.sum("n").alias("n"))
+    every = whole.stage_sorted(dealt, "batches", "key", ["key", "ctx"], ranges, by="batch", dealt=True)
+    folder = next((f.rsplit("/batch=", 1)[0] for f in every.inputFiles()), None)
+    family = Family(work, ranges)
     for number in range(batches):
-        family.add(every.filter(F.col("batch") == number).select("key", "ctx", "n"), whole.at(f"batch={number}"))
+        home = None
+        if folder:
+            home = Workspace(work.spark, "suffix_batch")
+            home.folder = f"{folder}/batch={number}"
+        family.add(every.filter(F.col("batch") == number).select("key", "ctx", "n"), home)
     return family
 
 
+def batch_count(size: int) -> int:
+    """Batches for so many bytes of text: about ``BATCH_BYTES`` each, but no fewer and no more than the bounds."""
+    return min(max(-(-size // BATCH_BYTES), BATCHES[0]), BATCHES[1])
+
+
 def _contexts(repeated: DataFrame) -> DataFrame:
     """``ctx, whole, before, after``: contexts that repeat throughout, and halves whose windows must be compared."""
     mixed = repeated.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("key", F.lit(True).alias("mixed"))
