@@ -16,7 +16,7 @@ from casewright.operators import cases, dedup, projections, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
 from casewright.operators.joins import frequent_hashes
-from casewright.session import stage, stage_bucketed
+from casewright.session import Workspace, stage, stage_bucketed
 from casewright.sources import dims, files
 from casewright.sources.tables import write_csv, write_table
 
@@ -131,10 +131,20 @@ def read_drop(spark: SparkSession, raw: str, folder: str | None = "ascii") -> di
     return {k: files.read_groups(spark, groups, k, flag_malformed=True) for k in S.FILE_KINDS if k in held}
 
 
-def sound_lines(df: DataFrame, kind: str, out: str) -> DataFrame:
-    """Lines of the right width; the others go to ``out/rejected/<kind>``."""
-    write_table(df.filter("_malformed"), f"{out}/rejected/{kind}")
-    return df.filter(~F.col("_malformed")).drop("_malformed")
+def write_sound(lines: DataFrame, kind: str, path: str, out: str) -> DataFrame:
+    """Write the lines of the right width to ``path`` and the others to ``out/rejected/<kind>``; the former read back.
+
+    The files are read again for the others only if the first pass met any. That
+    pass has no shuffle: behind one, a plan that turns out empty is cut short and
+    its observed figures never arrive.
+    """
+    seen = Observation(f"lines_{kind}")
+    watched = lines.observe(seen, F.count_if("_malformed").alias("malformed"))
+    sound = watched.filter(~F.col("_malformed")).drop("_malformed")
+    write_table(sound, path, rebalance=False)
+    rejected = lines.filter("_malformed") if seen.get["malformed"] else lines.sparkSession.createDataFrame([], lines.schema)
+    write_table(rejected, f"{out}/rejected/{kind}", rebalance=False)
+    return lines.sparkSession.read.schema(sound.schema).parquet(path)
 
 
 def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> DataFrame:
@@ -142,7 +152,7 @@ def to_bronze(spark: SparkSession, raw: str, out: str, folder: str | None = "asc
     listing = files.manifest(spark, raw, folder)
     write_table(listing.drop("quarter"), f"{out}/manifest")
     for kind, df in read_drop(spark, raw, folder).items():
-        write_table(sound_lines(df, kind, out), f"{out}/{kind}")
+        write_sound(df, kind, f"{out}/{kind}", out)
     return spark.read.parquet(f"{out}/manifest")
 
 
@@ -275,16 +285,18 @@ def process_all(spark: SparkSession, raw: str, out: str, folder: str | None = "a
 def unify_all(spark: SparkSession, raw: str, out: str, folder: str | None = "ascii") -> dict[str, DataFrame]:
     """A drop to its eight unified tables, equal rows kept once; lines of the wrong width are rejected."""
     groups = files.header_groups(spark, files.discover(spark, raw, None, folder))
-    unified = {}
-    for table in S.TABLES:
-        lines = files.read_groups(spark, groups, table, flag_malformed=True)
-        if "_malformed" in lines.columns:
-            # Drug details come from the lines of the drug table, whose rejects are written there.
-            lines = lines.filter(~F.col("_malformed")).drop("_malformed") if table == "drug_info" else sound_lines(lines, table, out)
-        df = projections.unify([lines], table)
-        write_table(df, f"{out}/{table}")
-        # With its schema named, a table no file had rows for reads as empty.
-        unified[table] = spark.read.schema(df.schema).parquet(f"{out}/{table}")
+    unified, work = {}, Workspace(spark, "sound_lines")
+    for kind in S.FILE_KINDS:
+        lines = files.read_groups(spark, groups, kind, flag_malformed=True)
+        if "_malformed" in lines.columns:  # there are files of the kind
+            lines = write_sound(lines, kind, work.path(kind), out)
+        # Drug details come from the lines of the drug table.
+        for table in [kind, "drug_info"] if kind == "drug" else [kind]:
+            df = projections.unify([lines], table)
+            write_table(df, f"{out}/{table}")
+            # With its schema named, a table no file had rows for reads as empty.
+            unified[table] = spark.read.schema(df.schema).parquet(f"{out}/{table}")
+    work.clear()
     return unified
 
 

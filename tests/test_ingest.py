@@ -149,6 +149,19 @@ def test_unify_all(spark, drop, tmp_path):
     assert all(set(df.columns) == set(S.TABLES[k]) for k, df in got.items())
 
 
+def test_a_kind_of_broken_lines_only(spark, tmp_path):
+    """Everything is rejected, nothing hangs or fails."""
+    put(tmp_path, "rep_2014q2/ascii/REAC14Q2.txt", "primaryid$pt$drug_rec_act\n1\n2\n")
+    put(tmp_path, "rep_2014q2/ascii/THER14Q2.txt", "primaryid$drug_seq$start_dt\n")
+    got = release.unify_all(spark, str(tmp_path), str(tmp_path / "u"))
+    assert all(df.count() == 0 for df in got.values())
+    assert release.to_bronze(spark, str(tmp_path), str(tmp_path / "b")).count() == 2
+    summary = release.process_all(spark, str(tmp_path), str(tmp_path / "p"))
+    assert [tuple(r)[:4] for r in summary.collect()] == [("reac", "2014Q2", 2, 0)]
+    for out in "ubp":
+        assert spark.read.parquet(str(tmp_path / out / "rejected" / "reac")).count() == 2
+
+
 def test_bronze(spark, drop, tmp_path):
     out = str(tmp_path / "bronze")
     assert release.to_bronze(spark, drop, out).count() == 4
