@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = """region nation customer supplier part orders lineitem events documents
-                 embeddings pages benchmark labels conversations""".split()
+BASE_TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 _QUARTER = "CONCAT(CAST(year({d}) AS STRING), 'Q', CAST(quarter({d}) AS STRING))"
 _DAY = "CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS STRING)"

@@ -743,7 +743,7 @@ def dup_stats(s):
     return dedup.dup_stats(_rb(s))
 
 
-SIMILAR_COLUMNS = """sex age age_cod wt wt_cod reporter_country occr_country occp_cod e_sub rept_cod""".split()
+SIMILAR_COLUMNS = ["sex", "age", "age_cod", "wt", "wt_cod", "reporter_country", "occr_country", "occp_cod", "e_sub", "rept_cod"]
 
 
 @query

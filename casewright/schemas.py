@@ -8,17 +8,21 @@ from pyspark.sql import types as T
 # Column layouts of the unified tables.
 # ---------------------------------------------------------------------------
 TABLES: dict[str, list[str]] = {
-    "demo": """primaryid caseid caseversion i_f_cod sex age age_cod age_grp wt wt_cod
-               reporter_country occr_country event_dt rept_dt mfr_dt init_fda_dt fda_dt
-               rept_cod occp_cod mfr_num mfr_sndr to_mfr e_sub quarter auth_num lit_ref""".split(),
-    "drug": "primaryid drug_seq role_cod drugname prod_ai".split(),
-    "drug_info": """primaryid drug_seq val_vbm nda_num lot_num route dose_form dose_freq exp_dt
-                    dose_vbm cum_dose_unit cum_dose_chr dose_amt dose_unit dechal rechal""".split(),
-    "indi": "primaryid drug_seq indi_pt".split(),
-    "outc": "primaryid outc_cod".split(),
-    "reac": "primaryid pt drug_rec_act".split(),
-    "rpsr": "primaryid rpsr_cod".split(),
-    "ther": "primaryid drug_seq start_dt end_dt dur dur_cod".split(),
+    "demo": [
+        "primaryid", "caseid", "caseversion", "i_f_cod", "sex", "age", "age_cod", "age_grp", "wt", "wt_cod",
+        "reporter_country", "occr_country", "event_dt", "rept_dt", "mfr_dt", "init_fda_dt", "fda_dt", "rept_cod",
+        "occp_cod", "mfr_num", "mfr_sndr", "to_mfr", "e_sub", "quarter", "auth_num", "lit_ref",
+    ],
+    "drug": ["primaryid", "drug_seq", "role_cod", "drugname", "prod_ai"],
+    "drug_info": [
+        "primaryid", "drug_seq", "val_vbm", "nda_num", "lot_num", "route", "dose_form", "dose_freq", "exp_dt",
+        "dose_vbm", "cum_dose_unit", "cum_dose_chr", "dose_amt", "dose_unit", "dechal", "rechal",
+    ],
+    "indi": ["primaryid", "drug_seq", "indi_pt"],
+    "outc": ["primaryid", "outc_cod"],
+    "reac": ["primaryid", "pt", "drug_rec_act"],
+    "rpsr": ["primaryid", "rpsr_cod"],
+    "ther": ["primaryid", "drug_seq", "start_dt", "end_dt", "dur", "dur_cod"],
 }
 
 # ---------------------------------------------------------------------------
@@ -61,8 +65,10 @@ OUTCOME_NAMES = {
 }
 ROLE_ORDER = ["C", "I", "SS", "PS"]
 OUTCOME_ORDER = ["OT", "CA", "HO", "RI", "DS", "LT", "DE"]
-DEMO_FACTORS = """caseversion sex quarter i_f_cod rept_cod occp_cod e_sub age_grp
-                  occr_country reporter_country""".split()
+DEMO_FACTORS = [
+    "caseversion", "sex", "quarter", "i_f_cod", "rept_cod", "occp_cod", "e_sub", "age_grp", "occr_country",
+    "reporter_country",
+]
 
 # ---------------------------------------------------------------------------
 # Unit factors and plausibility limits.
@@ -129,19 +135,24 @@ DATE_FIELDS: dict[str, list[str]] = {
 # Columns of the tables the cleaned release is split into.
 # ---------------------------------------------------------------------------
 SPLIT: dict[str, list[str]] = {
-    "demo": """primaryid sex age_in_days wt_in_kgs occr_country event_dt occp_cod
-               reporter_country rept_cod init_fda_dt fda_dt premarketing literature""".split(),
-    "demo_supp": """primaryid caseid caseversion i_f_cod auth_num e_sub lit_ref rept_dt
-                    to_mfr mfr_sndr mfr_num mfr_dt quarter""".split(),
-    "drug": "primaryid drug_seq substance role_cod".split(),
-    "drug_name": "primaryid drug_seq drugname prod_ai".split(),
-    "reac": "primaryid pt drug_rec_act".split(),
-    "outc": "primaryid outc_cod".split(),
-    "indi": "primaryid drug_seq indi_pt".split(),
-    "ther": "primaryid drug_seq start_dt dur_in_days end_dt time_to_onset event_dt".split(),
-    "doses": """primaryid drug_seq dose_vbm cum_dose_unit cum_dose_chr dose_amt
-                dose_unit dose_freq""".split(),
-    "drug_supp": """primaryid drug_seq route dose_form dechal rechal lot_num exp_dt""".split(),
+    "demo": [
+        "primaryid", "sex", "age_in_days", "wt_in_kgs", "occr_country", "event_dt", "occp_cod", "reporter_country",
+        "rept_cod", "init_fda_dt", "fda_dt", "premarketing", "literature",
+    ],
+    "demo_supp": [
+        "primaryid", "caseid", "caseversion", "i_f_cod", "auth_num", "e_sub", "lit_ref", "rept_dt", "to_mfr",
+        "mfr_sndr", "mfr_num", "mfr_dt", "quarter",
+    ],
+    "drug": ["primaryid", "drug_seq", "substance", "role_cod"],
+    "drug_name": ["primaryid", "drug_seq", "drugname", "prod_ai"],
+    "reac": ["primaryid", "pt", "drug_rec_act"],
+    "outc": ["primaryid", "outc_cod"],
+    "indi": ["primaryid", "drug_seq", "indi_pt"],
+    "ther": ["primaryid", "drug_seq", "start_dt", "dur_in_days", "end_dt", "time_to_onset", "event_dt"],
+    "doses": [
+        "primaryid", "drug_seq", "dose_vbm", "cum_dose_unit", "cum_dose_chr", "dose_amt", "dose_unit", "dose_freq",
+    ],
+    "drug_supp": ["primaryid", "drug_seq", "route", "dose_form", "dechal", "rechal", "lot_num", "exp_dt"],
 }
 
 

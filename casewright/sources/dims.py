@@ -131,10 +131,14 @@ def load_dims(spark: SparkSession, folder: str | None = None, files: dict[str, s
 
 
 # Column layouts of the term tables, as published with a header line.
-LLT_COLUMNS = """llt_code llt_name pt_code llt_whoart_code llt_harts_code llt_costart_sym
-                 llt_icd9_code llt_icd9cm_code llt_icd10_code llt_currency llt_jart_code""".split()
-PT_COLUMNS = """pt_code pt_name null_field pt_soc_code pt_whoart_code pt_harts_code pt_costart_sym
-                pt_icd9_code pt_icd9cm_code pt_icd10_code pt_jart_code""".split()
+LLT_COLUMNS = [
+    "llt_code", "llt_name", "pt_code", "llt_whoart_code", "llt_harts_code", "llt_costart_sym", "llt_icd9_code",
+    "llt_icd9cm_code", "llt_icd10_code", "llt_currency", "llt_jart_code",
+]
+PT_COLUMNS = [
+    "pt_code", "pt_name", "null_field", "pt_soc_code", "pt_whoart_code", "pt_harts_code", "pt_costart_sym",
+    "pt_icd9_code", "pt_icd9cm_code", "pt_icd10_code", "pt_jart_code",
+]
 
 
 def load_terms(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
