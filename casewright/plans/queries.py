@@ -53,6 +53,18 @@ class Source:
         return old.unionByName(new)
 
 
+#: Where a job's output lies, by application, data folder and job: queries that read different tables of it share one run.
+_RUNS: dict[tuple[str, str, str], str] = {}
+
+
+def _once(s: Source, job: Callable[[Source], str]) -> str:
+    """The folder a job wrote for this data folder; it runs if it has not, or if its folder is gone."""
+    key = s.spark.sparkContext.applicationId, s.sf_dir, job.__name__
+    if key not in _RUNS or not exists(s.spark, f"{_RUNS[key]}/done/_SUCCESS"):
+        _RUNS[key] = job(s)
+    return _RUNS[key]
+
+
 QUERIES: dict[str, Callable[[Source], DataFrame]] = {}
 
 
@@ -126,13 +138,18 @@ def file_errors(s):
     return files.file_errors(rows, found, probes)
 
 
-def _processed(s: Source, name: str) -> DataFrame:
-    """What a run over a drop with broken files leaves beside its tables."""
+def _process(s: Source) -> str:
     path, out = fresh_path(s.spark, "drop"), fresh_path(s.spark, "unified")
     _write_drop(s, path)
     _write_broken(s, path)
     release.process_all(s.spark, path, out)
-    return s.spark.read.parquet(f"{out}/{name}")
+    write_table(s.spark.range(1).toDF("done"), f"{out}/done")
+    return out
+
+
+def _processed(s: Source, name: str) -> DataFrame:
+    """What a run over a drop with broken files leaves beside its tables."""
+    return s.spark.read.parquet(f"{_once(s, _process)}/{name}")
 
 
 @query
@@ -894,16 +911,9 @@ def split_drug_supp(s):
 
 # --- the composed release ---------------------------------------------------
 
-#: Where the release of a data folder lies, by application and folder: ten queries read one run.
-_RELEASES: dict[tuple[str, str], str] = {}
-
-
 def _released(s: Source, name: str) -> DataFrame:
     """One table of a release made from raw views."""
-    key = s.spark.sparkContext.applicationId, s.sf_dir
-    if key not in _RELEASES or not exists(s.spark, f"{_RELEASES[key]}/drug_supp/_SUCCESS"):
-        _RELEASES[key] = _release(s)
-    return s.spark.read.parquet(f"{_RELEASES[key]}/{name}")
+    return s.spark.read.parquet(f"{_once(s, _release)}/{name}")
 
 
 def _release(s: Source) -> str:
@@ -918,6 +928,7 @@ def _release(s: Source) -> str:
         tables, out, countries=s.dim("country"), dictionary=voc.drug_dictionary(names), terms=s.terms(),
         hierarchy=voc.with_term_rank(s("pt_tree").distinct(), ["soc", "hlt", "pt"]),
     )
+    write_table(s.spark.range(1).toDF("done"), f"{out}/done")
     return out
 
 
