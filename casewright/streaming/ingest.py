@@ -127,16 +127,21 @@ class CurrentTable:
 
 def ingest_stream(
     spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, fmt: str = "parquet",
-    report: str = "primaryid", buckets: int = BUCKETS,
+    report: str = "primaryid", buckets: int = BUCKETS, keep: int | None = None,
 ) -> StreamingQuery:
     """Clean every newly arrived file and make it part of the current rows under ``target``.
 
-    A target belongs to one checkpoint, whose batches number its deliveries.
+    A target belongs to one checkpoint, whose batches number its deliveries. With
+    ``keep``, what none of so many last deliveries needs is deleted after each;
+    give readers that began earlier time to end.
     """
     arriving = spark.readStream.schema(schema).format(fmt).load(source)
 
     def load(batch: DataFrame, number: int) -> None:
-        CurrentTable(batch.sparkSession, target, report, buckets).deliver(clean_cells(batch), number)
+        table = CurrentTable(batch.sparkSession, target, report, buckets)
+        table.deliver(clean_cells(batch), number)
+        if keep:
+            table.drop_unused(keep)
 
     return (
         arriving.writeStream.foreachBatch(load)

@@ -196,7 +196,8 @@ def test_stream_adds_deliveries(spark, rows, tmp_path):
     rows([("1", "F", "2020Q2"), ("3", "", "2020Q2")], schema).write.mode("append").parquet(landing)
     ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
     rows([("4", "M", "2020Q1"), (None, "F", "2020Q1")], schema).write.mode("append").parquet(landing)
-    ingest.ingest_stream(spark, landing, first.schema, target, state).awaitTermination()
+    ingest.ingest_stream(spark, landing, first.schema, target, state, keep=1).awaitTermination()
+    assert ingest.CurrentTable(spark, target).versions() == [2]
     got = sorted(tuple(r) for r in ingest.ingested(spark, target).select("primaryid", "sex", "quarter").na.fill("-").collect())
     assert got == [("-", "F", "2020Q1"), ("1", "F", "2020Q1"), ("1", "F", "2020Q2"), ("2", "M", "2020Q1"), ("3", "-", "2020Q2"), ("4", "M", "2020Q1")]
 
