@@ -803,7 +803,7 @@ def linkage_patterns(s):
     """How often the fields of compared reports agree: what weights are learnt from."""
     demo = std.std_demo(s("demo"), s.dim("country"), True)
     found = stage(linkage.profiles(demo, LINK_FIELDS, LINK_PASSES), "profiles")
-    pairs = linkage.candidate_pairs(linkage.with_blocks(found, LINK_FIELDS, LINK_PASSES, LINK_BLOCK))
+    pairs = linkage.candidate_pairs(linkage.with_blocks(found, LINK_FIELDS, LINK_PASSES, LINK_BLOCK), len(LINK_PASSES))
     return linkage.pattern_counts(pairs, LINK_FIELDS)
 
 
