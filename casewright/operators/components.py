@@ -11,24 +11,36 @@ from casewright.session import Workspace
 def connected(edges: DataFrame, work: Workspace) -> DataFrame:
     """``node, root``: the smallest node each node of the edges (``a, b``) is connected with.
 
-    Every node starts as its own root. In a round each root learns the smallest
-    root that any edge of its nodes leads to, and takes it; then nodes follow
-    their root to its root. All a round does are aggregations with map-side
-    combine and joins on nodes, so a node with very many edges is spread like
-    any other; rounds grow with the logarithm of the longest path. Each round is
-    a table in ``work``, and so is the result.
+    In a round each node points to the smallest of its neighbours, if that is
+    smaller than itself, and follows the pointers to their end, which takes the
+    logarithm of their longest run. Edges then lead between these ends, and those
+    inside one fall away: an end that stays has taken in another node or is
+    taken in by the next round, so two rounds halve the nodes, and edges only get fewer. All are
+    aggregations with map-side combine and joins on nodes, so a node with very many edges is
+    spread like any other. Each round's tables lie in ``work``, and so does the result.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = work.stage(both.filter("a <> b").distinct(), "edges")
-    roots = work.stage(both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")), "roots")
-    while True:
-        near = both.join(roots.select(F.col("node").alias("b"), F.col("root").alias("other")), "b").groupBy(F.col("a").alias("node")).agg(F.min("other").alias("other"))
-        offered = roots.join(near, "node").withColumn("other", F.least("other", "root"))
-        # What the nodes of a root were offered moves the root as a whole.
-        hooks = work.stage(offered.groupBy("root").agg(F.min("other").alias("next")).filter("next < root"), "hooks")
-        if hooks.isEmpty():
-            return roots
-        moved = offered.select("node", "root", "other").join(hooks, "root", "left").select("node", F.least("other", F.coalesce("next", "root")).alias("root"))
-        moved = work.stage(moved, "moved")
-        above = moved.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        roots = work.stage(moved.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+    left = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left, steps = work.stage(left.distinct(), "edges"), []
+    while not left.isEmpty():
+        step = work.stage(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("to")), "near")
+        while True:
+            further = step.select(F.col("node").alias("to"), F.col("to").alias("on"))
+            ahead = work.stage(step.join(further, "to", "left").select("node", F.coalesce("on", "to").alias("to"), F.col("on").isNotNull().alias("went")), "step")
+            step = ahead.select("node", "to")
+            if ahead.filter("went").isEmpty():
+                break
+        steps.append(step)
+        # Where no neighbour is smaller, a node stays as it is.
+        moved = left.join(step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        moved = moved.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a", "left").withColumn("x", F.coalesce("x", "a"))
+        left = work.stage(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    if not steps:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    # Back from the last round: where a node went, and where that went later.
+    roots = steps.pop()
+    while steps:
+        later = roots.select(F.col("node").alias("to"), F.col("to").alias("on"))
+        back = steps.pop().join(later, "to", "left").select("node", F.coalesce("on", "to").alias("to"))
+        roots = work.stage(back.unionByName(roots), "back")
+    roots = roots.withColumnRenamed("to", "root")
+    return work.stage(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
