@@ -15,7 +15,7 @@ from casewright.functions import links, text
 from casewright.operators import cases, dedup, projections, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
-from casewright.operators.joins import frequent_hashes
+from casewright.operators.joins import KeyFilter, frequent_hashes
 from casewright.session import Workspace, stage, stage_bucketed
 from casewright.sources import dims, files
 from casewright.sources.tables import write_csv, write_table
@@ -88,17 +88,23 @@ def release(
 ) -> None:
     """Unified tables to the ten tables of a cleaned release under ``out``.
 
+    The reports are selected first, and the other tables' rows are kept only where
+    their report may be one of these, before anything is standardized or moved.
+
     ``details``: the route, dose_form, dose_freq and unit dictionaries; the built-in ones if none are given.
     """
     if details is None:
         details = {name: dims.built_in(countries.sparkSession, name) for name in ("route", "dose_form", "dose_freq", "unit")}
+    demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
+    demo = stage(dedup.select_reports(demo), "selected")
+    selected = KeyFilter(demo.select("primaryid"), "primaryid", Workspace(demo.sparkSession, "selected_keys"))
+    tables = {name: selected(df) if name in split.PART_BY else df for name, df in tables.items()}
     tables = standardize_terms(tables, stage(terms, "terms"))
     ready = {
         **tables, "drug": voc.standardize_drugs(tables["drug"], stage(dictionary, "dictionary"), synonyms), "drug_info": drug_details(tables["drug_info"], details),
         "outc": std.encode_factors(tables["outc"]), "ther": std.duration_days(projections.project(tables["ther"], "ther")),
     }
     dealt, hot = dealt_by_report(ready, tables)
-    demo = tables["demo"] if deleted is None else dedup.drop_nullified(tables["demo"], deleted)
     demo = stage(clean_cases({**dealt, "demo": demo}, countries), "demo")
     reports = stage_bucketed(split.in_all_parts(demo, hot), "reports", ["primaryid", split.PART])
     final = {**dealt, "demo": demo, "ther": cases.time_to_onset(reports, dealt["ther"])}

@@ -5,7 +5,9 @@ from casewright import schemas as S
 from casewright.operators import cases, quality, split
 from casewright.operators import standardize as std
 from casewright.operators import vocabulary as voc
+from casewright.operators.joins import KeyFilter
 from casewright.plans import release
+from casewright.session import Workspace
 from casewright.sources import dims
 
 
@@ -76,6 +78,42 @@ def test_release_tables(spark, rows, tmp_path):
     assert got["drug_name"].count() == 1 and got["doses"].count() == 1 and got["drug_supp"].first()["route"] == "ORAL"
 
 
+def test_key_filter_keeps_all_rows_of_its_keys_and_few_others(spark, rows):
+    keys = rows([(str(i),) for i in range(0, 60000, 20)] + [(None,)], "primaryid string")
+    df = rows([(str(i), i) for i in range(60000)], "primaryid string, n int")
+    kept = {r["n"] for r in KeyFilter(keys, "primaryid", Workspace(spark, "keys"))(df).collect()}
+    assert kept >= set(range(0, 60000, 20)) and len(kept) < 3000 + 57000 / 10
+    assert KeyFilter(keys.limit(0), "primaryid", Workspace(spark, "keys"))(df).count() == 0
+
+
+def test_release_moves_only_rows_of_selected_reports(spark, rows, tmp_path, monkeypatch):
+    """Of 2,000 versions of a case one is in the release; the other tables' rows of the rest are not dealt."""
+    kinds = {"demo": dict(caseid="c", quarter="2020Q1", fda_dt="20200301"), **{k: {} for k in split.PART_BY}}
+    kinds["drug"] = dict(drugname="Duo", drug_seq="1", role_cod="PS")
+    kinds["reac"] = dict(pt="Fatigue")
+    tables = {}
+    for kind, fixed in kinds.items():
+        columns = S.TABLES[kind] + (["quarter"] if "quarter" not in S.TABLES[kind] else [])
+        own = lambda i: {**fixed, "primaryid": str(i), "caseversion": str(i)}  # noqa: B023, E731
+        tables[kind] = rows([tuple(own(i).get(c) for c in columns) for i in range(2000)], ", ".join(f"{c} string" for c in columns))
+    dealt = {}
+    real = release.stage_bucketed
+
+    def watched(df, name, keys):
+        staged = real(df, name, keys)
+        dealt[name] = staged.count()
+        return staged
+
+    monkeypatch.setattr(release, "stage_bucketed", watched)
+    terms = voc.term_dictionary(rows([("Fatigue",)], "pt_name string"), rows([], "llt_name string, pt_name string"), dims.built_in(spark, "pt_fix"))
+    out = str(tmp_path / "release")
+    release.release(tables, out, countries=dims.built_in(spark, "country"), terms=terms, hierarchy=rows([("s", "fatigue", 1)], "soc string, pt string, pt_rank int"),
+                    dictionary=voc.drug_dictionary(rows([("duo", "a", 1)], "drugname string, substance string, line_no int")))
+    assert [r["primaryid"] for r in spark.read.parquet(f"{out}/demo").collect()] == ["1999"]
+    assert spark.read.parquet(f"{out}/drug").count() == spark.read.parquet(f"{out}/reac").count() == 1
+    assert set(split.PART_BY) <= set(dealt) and max(dealt.values()) < 200
+
+
 def _report_tables(spark, rows, n, hot_rows):
     """Tables of many reports and one that holds much of each of them."""
     ids = [str(i) for i in range(n)] + ["hot"] * hot_rows + ["other"]
