@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from casewright.operators.joins import KeyFilter
 from casewright.session import Workspace
 
 #: Rows compared with each other in one array.
@@ -46,12 +48,15 @@ def _dealt(rows: DataFrame, columns: list[str], parts: int) -> DataFrame:
 def _partners(rows: DataFrame, columns: list[str], need: int) -> DataFrame:
     """Rows that find a partner among the rows of their bucket and chunk, where all are compared."""
 
-    names = [f"c{i}" for i in range(len(columns))]
+    # What is text already is compared where it stands, so that it travels once.
+    plain = {f.name for f in rows.schema["_row"].dataType.fields if f.dataType == StringType()}
+    names = {c: f"c{i}" for i, c in enumerate(columns) if c not in plain}
 
     def agree(a: Column, b: Column) -> Column:
-        return reduce(lambda x, y: x + y, [a[c].eqNullSafe(b[c]).cast("int") for c in names]) >= need
+        pairs = [(a[names[c]], b[names[c]]) if c in names else (a["_row"][c], b["_row"][c]) for c in columns]
+        return reduce(lambda x, y: x + y, [x.eqNullSafe(y).cast("int") for x, y in pairs]) >= need
 
-    member = F.struct("_row", "_seeks", *[t.alias(c) for t, c in zip(_texts(columns), names)])
+    member = F.struct("_row", "_seeks", *[t.alias(names[c]) for t, c in zip(_texts(columns), columns) if c in names])
     groups = rows.groupBy(*BUCKET, "_chunk").agg(F.collect_list(member).alias("_group")).filter(F.size("_group") > 1)
     # Members carry their place, so that none is its own partner.
     placed = groups.select(F.transform("_group", lambda x, i: F.struct(i.alias("i"), x.alias("m"))).alias("_group"))
@@ -76,8 +81,11 @@ def _search(work: Workspace, rows: DataFrame, columns: list[str], need: int, chu
     while True:
         dealt = work.stage(_dealt(rows, columns, parts), "buckets")
         sizes = dealt.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("_size"), F.bool_or("_seeks").alias("_sought")).filter("_size > 1 AND _sought")
+        sizes = work.stage(sizes, "sizes")
         chunk = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_size") / F.lit(chunk_rows)).cast("long"))
-        met = work.stage(dealt.join(sizes, BUCKET).withColumn("_chunk", chunk), "met")
+        # Most rows are alone in a bucket: these are not moved.
+        shared = KeyFilter(sizes, BUCKET[0], work)(dealt)
+        met = work.stage(shared.join(sizes, BUCKET).withColumn("_chunk", chunk), "met")
         # As many columns are left as were needed less what the bucket shares, plus the parts but one.
         enough = F.size("_left") < parts
         settled = met.filter(enough & F.col("_seeks")).select("_row").unionByName(_partners(met.filter(~enough), columns, need))
@@ -111,17 +119,17 @@ def similarity_filter(df: DataFrame, keys: list[str], threshold: float = 0.9, ch
     keyed = df.withColumn("_row", F.struct(*df.columns))
     copies = work.stage(
         keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).select("_row", "_n", F.struct(*[F.col(f"_row.{k}") for k in keys]).alias("_key")), "copies")
-    sizes = copies.groupBy("_key").agg(F.sum("_n").alias("_rows"))
-    kept = [copies.join(sizes.filter("_rows = 1"), "_key", "left_semi").select("_row")]
+    sized = work.stage(copies.join(copies.groupBy("_key").agg(F.sum("_n").alias("_rows")), "_key"), "sized")
+    kept = [sized.filter("_rows = 1").select("_row")]
     # The share is compared as the quotient itself, so 9/10 meets 0.9 exactly.
     need = next((m for m in range(1, n + 1) if m / n >= threshold), None)
     if need is not None:
         kept.append(copies.filter("_n > 1").select("_row"))
         key = _marked([F.col(f"_key.{k}").cast("string") for k in keys])
-        rows = copies.join(sizes.filter("_rows > 1"), "_key", "left_semi").select(
+        rows = sized.filter("_rows > 1").select(
             "_row", (F.col("_n") == 1).alias("_seeks"), F.array(*[F.lit(c) for c in _by_variety(copies, others)]).alias("_left"), *_names(key))
         kept += _search(work, rows, others, need, chunk_rows)
-    return keyed.join(reduce(DataFrame.unionByName, kept).distinct(), "_row", "left_semi").select(*df.columns)
+    return keyed.select("_row").join(reduce(DataFrame.unionByName, kept).distinct(), "_row", "left_semi").select("_row.*")
 
 
 def _by_variety(copies: DataFrame, columns: list[str]) -> list[int]:

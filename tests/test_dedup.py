@@ -152,3 +152,15 @@ def test_similarity_edges(rows):
     assert similarity.similarity_filter(df, ["k"], 0).count() == 3
     assert similarity.similarity_filter(df, ["k"], 1.5).count() == 0
     assert similarity.similarity_filter(df.select("k"), ["k"]).count() == 1
+
+
+def test_similarity_moves_no_row_twice(spark, rows):
+    """The last join moves each row once, and columns that are text travel once to be compared."""
+    data = [(f"k{i % 5}", f"a{i % 3}", f"b{i % 4}", float(i % 2)) for i in range(60)]
+    df = rows(data, "k string, a string, b string, x double")
+    plan = similarity.similarity_filter(df, ["k"], 0.6)._jdf.queryExecution().optimizedPlan().toString()
+    whole = next(line for line in plan.splitlines() if "LocalRelation" in line or "LogicalRDD" in line)
+    above = next(line for line in plan.splitlines() if "Project [" in line and "AS _row#" in line and "struct(k" in line)
+    assert whole and not above.split("struct(k")[0].split("Project [")[1]
+    members = [line for line in plan.splitlines() if "collect_list" in line]
+    assert members and all("c2," in line or "c2" in line for line in members) and not any(", c0," in line for line in members)
