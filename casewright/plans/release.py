@@ -224,9 +224,20 @@ class Run:
                 out.append((self.kind, rule, column, "warning", self.figures[f"n_{i}"], self.figures[f"first_{i}"], self.figures[f"last_{i}"]))
         return out
 
+    @staticmethod
+    def place(quarter: str | None, path: str) -> str:
+        return f"{quarter or ''}\t{path.rsplit('/', 1)[-1]}"
+
+    def broken(self, groups: list[files.HeaderGroup]) -> list[files.HeaderGroup]:
+        """The groups with only those files that have malformed lines; all files if a line's file is not told by its name."""
+        places = {self.place(q, p) for g in groups for p, q in zip(g.paths, g.quarters)}
+        if not self.malformed.keys() <= places:
+            return groups
+        return files.only(groups, lambda path, quarter: self.place(quarter, path) in self.malformed)
+
     def file_rows(self, probe: files.Probe) -> tuple:
         """kind, path, quarter, rows, malformed rows, error class, detail."""
-        place = f"{probe.quarter or ''}\t{probe.path.rsplit('/', 1)[-1]}"
+        place = self.place(probe.quarter, probe.path)
         n, bad = self.rows.get(place, 0), self.malformed.get(place, 0)
         error = probe.error if not probe.usable else "empty_file" if n == 0 else "invalid_format" if bad else probe.error
         return self.kind, probe.path, probe.quarter, n, bad, error, probe.detail
@@ -248,10 +259,11 @@ def _process_kind(spark: SparkSession, kind: str, probes: list[files.Probe], out
             lines = files.read_groups(spark, groups, kind, flag_malformed=True, source_file=True)
             write_table(projections.project(run.watch(lines).filter(~F.col("_malformed")), kind), f"{out}/{kind}", rebalance=False)
             run.collect()
-            rejected = files.read_groups(spark, groups, kind, flag_malformed=True)
-            if not run.malformed:  # nothing to look for in the files again
-                rejected = spark.createDataFrame([], rejected.schema)
-            write_table(rejected.filter("_malformed"), f"{out}/rejected/{kind}", rebalance=False)
+            rejected = spark.createDataFrame([], lines.drop("_file").schema)
+            if run.malformed:  # only the files that hold such lines are looked at again
+                again = files.read_groups(spark, run.broken(groups), kind, flag_malformed=True)
+                rejected = rejected.unionByName(again.filter("_malformed"), allowMissingColumns=True)
+            write_table(rejected, f"{out}/rejected/{kind}", rebalance=False)
             if kind == "drug":
                 info = files.read_groups(spark, groups, "drug_info", flag_malformed=True)
                 write_table(projections.project(info.filter(~F.col("_malformed")), "drug_info"), f"{out}/drug_info", rebalance=False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -20,6 +21,8 @@ from casewright.sources.lines import MERGED_RECORDS, split_merged_records
 
 LATIN1 = "ISO-8859-1"
 PROBES_AT_ONCE = 16
+#: Files of one header that are read by a scan each, so that their name and quarter are constants; more of them share a scan, as each costs some 75 ms to plan.
+MOST_SCANS = 32
 
 
 def logical_name(path: Column) -> Column:
@@ -63,11 +66,12 @@ def discover(spark: SparkSession, path: str, kind: str | None = None, folder: st
 
 @dataclass(frozen=True)
 class HeaderGroup:
-    """Files of one kind that share one header line and may share one scan."""
+    """Files of one kind that share one header line and may share one scan, with the quarter of each."""
 
     kind: str
     header: list[str]
     paths: list[str]
+    quarters: list[str | None]
 
 
 @dataclass(frozen=True)
@@ -132,11 +136,21 @@ def groups_of(probes: list[Probe]) -> list[HeaderGroup]:
     One scan takes the header of its first file for all, so files of different
     layout must not share one.
     """
-    grouped: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    grouped: dict[tuple[str, tuple[str, ...]], dict[str, str | None]] = {}
     for p in probes:
         if p.usable:
-            grouped.setdefault((p.kind, tuple(p.header)), []).append(p.path)
-    return [HeaderGroup(kind, list(header), sorted(paths)) for (kind, header), paths in sorted(grouped.items())]
+            grouped.setdefault((p.kind, tuple(p.header)), {})[p.path] = p.quarter
+    return [HeaderGroup(kind, list(header), sorted(held), [held[p] for p in sorted(held)]) for (kind, header), held in sorted(grouped.items())]
+
+
+def only(groups: list[HeaderGroup], keep: Callable[[str, str | None], bool]) -> list[HeaderGroup]:
+    """The groups with those files whose path and quarter pass; groups that keep none go."""
+    kept = []
+    for g in groups:
+        held = [(p, q) for p, q in zip(g.paths, g.quarters) if keep(p, q)]
+        if held:
+            kept.append(HeaderGroup(g.kind, g.header, [p for p, _ in held], [q for _, q in held]))
+    return kept
 
 
 def header_groups(spark: SparkSession, files: DataFrame) -> list[HeaderGroup]:
@@ -160,26 +174,26 @@ def _trim_header(header: list[str]) -> list[str]:
     return header[:-1] if len(header) > 1 and header[-1] == "" else header
 
 
-def _scan(spark: SparkSession, group: HeaderGroup, whole_lines: bool) -> DataFrame:
+def _scan(spark: SparkSession, header: list[str], paths: list[str], whole_lines: bool) -> DataFrame:
     """``whole_lines`` parses every field of a line, else a line of the wrong width goes unseen."""
-    columns = [f"_{i}" for i in range(len(_trim_header(group.header)))]
+    columns = [f"_{i}" for i in range(len(_trim_header(header)))]
     return (
         spark.read.schema(S.text_schema([*columns, "_line"]))
         .option("sep", "$").option("header", True).option("quote", "").option("escape", "")
         .option("comment", "").option("encoding", LATIN1).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_line").option("columnPruning", not whole_lines)
-        .csv(group.paths)
+        .csv(paths)
         .select(*columns, "_line", F.col("_metadata.file_path").alias("_path"))
     )
 
 
-def _repaired_scan(spark: SparkSession, group: HeaderGroup, rules) -> DataFrame:
+def _repaired_scan(spark: SparkSession, header: list[str], paths: list[str], rules) -> DataFrame:
     """Scan as text lines, cut run-together records, then split the fields."""
-    columns = [f"_{i}" for i in range(len(_trim_header(group.header)))]
-    lines = spark.read.text(group.paths).select(
+    columns = [f"_{i}" for i in range(len(_trim_header(header)))]
+    lines = spark.read.text(paths).select(
         F.decode(F.col("value").cast("binary"), LATIN1).alias("value"), F.col("_metadata.file_path").alias("_path")
     )
-    first = "$".join(group.header)
+    first = "$".join(header)
     cut = split_merged_records(lines.withColumn("file_name", logical_name(F.col("_path"))), rules)
     fields = F.split(F.regexp_replace("value", r"\r$", ""), r"\$")
     return (
@@ -191,6 +205,28 @@ def _repaired_scan(spark: SparkSession, group: HeaderGroup, rules) -> DataFrame:
     )
 
 
+def _placed(scan: Callable[[list[str]], DataFrame], files: dict[str, str | None]) -> list[DataFrame]:
+    """Scans over some files with ``quarter`` and ``_file``.
+
+    A row's path tells both, but working them out costs more than parsing the
+    row, so each file has a scan in which they are constants. Only where files
+    are very many do they share one, which works them out row by row.
+    """
+    if len(files) > MOST_SCANS:
+        places = [(list(files), file_quarter(F.col("_path")), logical_name(F.col("_path")))]
+    else:
+        places = [([path], F.lit(quarter).cast("string"), F.lit(path.rsplit("/", 1)[-1])) for path, quarter in files.items()]
+    return [scan(paths).select("*", quarter.alias("quarter"), name.alias("_file")) for paths, quarter, name in places]
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """Frames of the same columns as one, by halves, so that a frame is part of few unions."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return _united(frames[:half]).union(_united(frames[half:]))
+
+
 def _malformed(width: int) -> Column:
     """A line with too few fields, or with more than the header that are not empty."""
     fields = F.split("_line", r"\$")
@@ -213,29 +249,28 @@ def read_groups(
 ) -> DataFrame:
     """The groups of one kind as one text frame with unified names and a ``quarter``.
 
-    One scan per header layout, united by name. Legacy lines that end in the
-    delimiter have an empty field too many, which the scan drops. Files with
-    known run-together records are read as lines and repaired first.
+    One scan per file, or per header layout where files are very many, united by
+    name. Legacy lines that end in the delimiter have an empty field too many,
+    which the scan drops. Files with known run-together records are read as lines
+    and repaired first.
     """
     frames = []
     repair = "|".join(name for name, _, _ in rules)
     for group in groups:
         if group.kind != ("drug" if kind == "drug_info" else kind):
             continue
-        broken = [p for p in group.paths if repair and re.search(repair, p.rsplit("/", 1)[-1], re.IGNORECASE)]
-        sound = [p for p in group.paths if p not in broken]
-        scans = []
-        if sound:
-            scans.append(_scan(spark, HeaderGroup(group.kind, group.header, sound), flag_malformed))
-        if broken:
-            scans.append(_repaired_scan(spark, HeaderGroup(group.kind, group.header, broken), rules))
-        raw = reduce(DataFrame.unionByName, scans)
+        files = dict(zip(group.paths, group.quarters))
+        broken = {p: q for p, q in files.items() if repair and re.search(repair, p.rsplit("/", 1)[-1], re.IGNORECASE)}
+        sound = {p: q for p, q in files.items() if p not in broken}
+        scans = _placed(lambda paths: _scan(spark, group.header, paths, flag_malformed), sound) if sound else []  # noqa: B023
+        scans += _placed(lambda paths: _repaired_scan(spark, group.header, paths, rules), broken) if broken else []  # noqa: B023
+        raw = _united(scans)
         header = _trim_header(group.header)
-        extra = {"quarter": file_quarter(F.col("_path"))}
+        extra = {"quarter": F.col("quarter")}
         if flag_malformed:
             extra["_malformed"] = _malformed(len(header))
         if source_file:
-            extra["_file"] = logical_name(F.col("_path"))
+            extra["_file"] = F.col("_file")
         positions = [f"_{i}" for i in range(len(header))]
         shaped = raw.select(*positions, *[v.alias(k) for k, v in extra.items()])
         # Columns of one header may repeat; the reader blanks to null before they merge.

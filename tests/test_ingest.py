@@ -1,3 +1,4 @@
+import pathlib
 import struct
 import zlib
 
@@ -141,6 +142,44 @@ def test_a_table_is_read_once(spark, drop, tmp_path):
     assert len(jobs) == 3 and run.summary()[0][:4] == ("drug", "2011Q2", 3, 3)
 
 
+def test_quarter_and_file_of_a_scan_are_constants(spark, drop, monkeypatch):
+    """No row works them out from its path, unless files are too many for a scan each; rows are the same."""
+    put(pathlib.Path(drop), "rep_2014q4/ascii/demo 14q4.txt", "primaryid$caseid$sex$rept_dt$age$lit_ref\n6$1$F$20140102$$\n")
+    put(pathlib.Path(drop), "rep_2015q3/ascii/demo.txt/part-0", "primaryid$caseid$sex$rept_dt$age$lit_ref\n7$1$F$20140102$$\n")
+    groups = files.header_groups(spark, files.discover(spark, drop, "demo"))
+    read = lambda: files.read_groups(spark, groups, "demo", flag_malformed=True, source_file=True)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    each = read()
+    assert "regexp_extract" not in plan(each)
+    got = sorted(tuple(r) for r in each.na.fill("-").collect())
+    assert {(r["primaryid"], r["quarter"], r["_file"]) for r in each.filter("primaryid > 5").collect()} == {
+        ("6", "2014Q4", "demo 14q4.txt"), ("7", "2015Q3", "demo.txt")}
+    monkeypatch.setattr(files, "MOST_SCANS", 0)
+    shared = read()
+    assert "regexp_extract" in plan(shared)
+    # The path of a row stands in its coded form.
+    assert sorted(tuple(v.replace("%20", " ") if isinstance(v, str) else v for v in r) for r in shared.na.fill("-").collect()) == got
+
+
+def test_only_files_with_broken_lines_are_read_again(spark, drop, tmp_path, monkeypatch):
+    head = "primaryid$drug_seq$role_cod$drugname"
+    put(tmp_path, "rep_2014q2/ascii/DRUG14Q2.txt", f"{head}\n1$1$PS\n2$1$PS$b\n")
+    put(tmp_path, "rep_2014q3/ascii/DRUG14Q3.txt", f"{head}\n3$1$PS$c\n")
+    put(tmp_path, "rep_2014q4/ascii/DRUG14Q4.txt", f"{head}$prod_ai\n4$1$PS$d$e\n")
+    probes = [p for p in files.probe_files(spark, files.discover(spark, str(tmp_path), "drug")) if "14Q" in p.path]
+    seen, read = [], files.read_groups
+    monkeypatch.setattr(files, "read_groups", lambda spark, groups, *a, **o: seen.append([p[-12:] for g in groups for p in g.paths]) or read(spark, groups, *a, **o))
+    run, _ = release._process_kind(spark, "drug", probes, str(tmp_path / "out"))
+    assert sorted(map(len, seen)) == [1, 3, 3] and ["DRUG14Q2.txt"] in seen
+    rejected = spark.read.parquet(str(tmp_path / "out" / "rejected" / "drug"))
+    assert {"prod_ai", "drugname", "quarter"} <= set(rejected.columns) and [(r["primaryid"], r["quarter"]) for r in rejected.collect()] == [("1", "2014Q2")]
+    assert spark.read.parquet(str(tmp_path / "out" / "drug")).count() == spark.read.parquet(str(tmp_path / "out" / "drug_info")).count() == 3
+    # A place that no file of the run bears: every file is looked at.
+    run.malformed = {"2014Q2\telsewhere.txt": 1}
+    groups = files.groups_of(probes)
+    assert run.broken(groups) == groups
+
+
 def test_unify_all(spark, drop, tmp_path):
     got = release.unify_all(spark, drop, str(tmp_path / "unified"))
     assert {k: df.count() for k, df in got.items()} == {
