@@ -19,6 +19,18 @@ def test_clean_text(spark, raw, want):
     assert apply(spark, [(raw,)], "c string", X.clean_text(F.col("c"))) == [want]
 
 
+def test_cells_are_cleaned_as_by_the_plain_patterns(spark):
+    """The cheaper looks at plain cells change no result; cells of every white sign, and a very long one."""
+    signs = [*X.BLANKS, "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u200b", "a", "!", "~", "é"]
+    cells = [(None,), ("",), ("a b " * 50_000,), *[(a + b + c,) for a in signs for b in (" ", "", "x", "\n") for c in signs]]
+    df = spark.createDataFrame(cells, "c string")
+    plain = F.nullif(F.trim(F.regexp_replace("c", r"(?U)\s+", " ")), F.lit(""))
+    blank = F.when(~F.col("c").rlike(r"(?U)^\s*$"), F.col("c"))
+    cleaned, kept = X.clean_text(F.col("c")), X.blank_to_null(F.col("c"))
+    assert df.filter(~cleaned.eqNullSafe(plain) | ~kept.eqNullSafe(blank)).count() == 0
+    assert df.filter(cleaned.isNotNull()).count() > 1000 and df.filter(kept.isNull()).count() > 1000
+
+
 @pytest.mark.parametrize("raw,want", [
     ("Café-Au_Lait (R).", "café-au_lait r"), ("A.B..", "ab"), ("  two   words ", "two words"), (None, None),
     ("dot. ", "dot"), ("50%/ML", "50ml"),
