@@ -17,8 +17,10 @@ trie becomes a few sorted arrays.
 The trie is cut into shards by the last two context bytes; each has about
 ``SHARD_ENTRIES`` strings and scores the bytes whose context belongs to it in a
 pass of its own, so no task and no broadcast holds more (one shard is the rule
-up to that size). For the word baseline the ``TOP_WORDS`` most frequent words are
-sent to all tasks; all other words are looked up by an equality join.
+up to that size). Its numbers have no more bytes than the largest needs, as each
+Python worker holds a copy and the executor one more. For the word baseline the
+``TOP_WORDS`` most frequent words are sent to all tasks; all other words are
+looked up by an equality join.
 
 Defined results: null and empty texts consist of the end only; equal texts have
 equal scores; with no training document the model is uniform and the baseline's
@@ -42,6 +44,9 @@ from casewright.session import stage
 ORDER = 5
 SHARD_ENTRIES = 2 << 20
 TOP_WORDS = 1 << 20
+#: Strings or words a counting task holds before it joins equal ones, and rows it hands on at once.
+HELD, ROWS_OUT = 2 << 20, 1 << 16
+SCORE_BYTES = 1 << 19  # bytes of text scored together; each takes some 60 bytes
 END = 0xFF  # in no UTF-8 text
 END_WORD = np.uint64(1)
 _U8, _MIX = np.uint64(8), np.uint64(0x9E3779B97F4A7C15)
@@ -69,7 +74,7 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, weight: np.ndarray):
         self.keys = keys
-        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
+        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
         self.shift = np.uint64(64 - bits)
         self.table = np.zeros(1 << bits, dtype=np.int32)
         order = np.argsort(weight, kind="stable")
@@ -90,9 +95,56 @@ def _mask(size: int) -> np.uint64:
     return np.uint64((1 << (8 * size)) - 1)
 
 
+def _heads(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    head = np.ones(len(keys), dtype=bool)
+    head[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(head)
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, at = np.unique(keys, return_inverse=True)
-    return found, np.bincount(at, weights=counts, minlength=len(found))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    del order
+    first = _heads(keys)
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """The same whole numbers, none negative, in as few bytes as the largest needs."""
+    return numbers.astype(np.min_scalar_type(numbers.max(initial=0)))
+
+
+class Tally:
+    """Counts of keys, held up to ``limit`` entries; equal ones are joined before any are given up."""
+
+    def __init__(self, limit: int = HELD):
+        self.limit, self.size = limit, 0
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.parts.append(np.unique(keys, return_counts=True))
+        self.size += len(self.parts[-1][0])
+        if self.size > self.limit:
+            found, n = self.joined()
+            if len(found) > self.limit // 2:
+                yield from self._rows(found, n)
+            else:
+                self.parts, self.size = [(found, n)], len(found)
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.parts:
+            yield from self._rows(*self.joined())
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts])
+        self.parts, self.size = [], 0
+        return _summed(keys, counts)
+
+    @staticmethod
+    def _rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for start in range(0, len(keys), ROWS_OUT):
+            yield keys[start : start + ROWS_OUT], counts[start : start + ROWS_OUT]
 
 
 class Trie:
@@ -105,19 +157,20 @@ class Trie:
         for k in range(order - 1, -1, -1):
             source = levels[order] if k > 1 else (pairs, pair_counts)
             levels[k] = _summed(source[0] & _mask(k + 1), source[1])
-        self.codes = {k: levels[k][0] for k in levels}
-        self.counts = {k: levels[k][1] for k in levels}
+        self.codes = {k: levels[k][0] for k in range(order)}
+        self.counts = {k: _small(levels[k][1]) for k in range(order)}
         self.contexts, self.total, self.kinds, self.ruled_out = {}, {}, {}, {}
-        for k in range(order + 1):
-            self.contexts[k], at = np.unique(self.codes[k] >> _U8, return_inverse=True)
-            self.total[k] = np.bincount(at, weights=self.counts[k], minlength=len(self.contexts[k]))
-            self.kinds[k] = np.bincount(at, minlength=len(self.contexts[k])).astype(np.float64)
+        for k, (own, times) in levels.items():
+            contexts = own >> _U8
+            first = _heads(contexts)
+            total, kinds = np.add.reduceat(times, first), np.diff(np.append(first, len(own)))
+            self.contexts[k], self.total[k], self.kinds[k] = contexts[first], _small(total), _small(kinds)
             if k:
-                below = self.counts[k - 1][np.searchsorted(self.codes[k - 1], self.codes[k] & _mask(k))]
-                self.ruled_out[k] = np.bincount(at, weights=below, minlength=len(self.contexts[k]))
+                below = levels[k - 1][1][np.searchsorted(levels[k - 1][0], own & _mask(k))]
+                self.ruled_out[k] = _small(np.add.reduceat(below, first))
             if k == order:
-                self.logs = np.log10((self.counts[k] - 0.5) / self.total[k][at])
-        self.find = Lookup(self.codes[order], self.counts[order])
+                self.logs = np.log10((times - 0.5) / np.repeat(total, kinds))
+        self.find = Lookup(*levels[order])
 
     @staticmethod
     def place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,10 +192,12 @@ class Trie:
             if not len(self.contexts[k]):
                 continue
             total, kinds = self.total[k][spot] - ruled, self.kinds[k][spot] - gone
-            entry, known = self.place(self.codes[k], code & _mask(k + 1))
-            known &= there
             whole = np.where(there & (total > 0), total, 1.0)
-            out[left[known]] += np.log10((self.counts[k][entry[known]] - 0.5) / whole[known])
+            known = np.zeros(len(left), dtype=bool)
+            if k < self.order:  # those known in the longest context are not left
+                entry, known = self.place(self.codes[k], code & _mask(k + 1))
+                known &= there
+                out[left[known]] += np.log10((self.counts[k][entry[known]] - 0.5) / whole[known])
             escape = there & ~known & (kinds > 0)
             out[left[escape]] += np.log10(0.5 * kinds[escape] / whole[escape])
             gone = np.where(there, self.kinds[k][spot], gone)
@@ -155,25 +210,20 @@ class Trie:
 def count(df: DataFrame, order: int = ORDER) -> DataFrame:
     """``kind, code, n``: counts of byte strings (kind 0) and of words and ends (kind 1) over all rows."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {0: [], 1: []}
+        held = {0: Tally(), 1: Tally()}
 
-        def emptied(kind: int) -> pa.RecordBatch:
-            keys, n = _summed(np.concatenate([k for k, _ in held[kind]]), np.concatenate([c for _, c in held[kind]]))
-            held[kind] = []
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "code", "n"])
+        def rows(kind: int, found: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for keys, n in found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(n)], names=["kind", "code", "n"])
 
         for batch in all_pieces(batches):
             texts = text_list(batch.column("text"))
             words = word_hashes(texts, BY_SPACE)[0]
             words = np.concatenate([words, np.full(len(texts), END_WORD)])
             for kind, keys in ((0, strings(texts, order)[0]), (1, words)):
-                held[kind].append(np.unique(keys, return_counts=True))
-                if sum(len(k) for k, _ in held[kind]) > 2 << 20:
-                    yield emptied(kind)
+                yield from rows(kind, held[kind].add(keys))
         for kind in held:
-            if held[kind]:
-                yield emptied(kind)
+            yield from rows(kind, held[kind].rest())
 
     parts = documents(df, "text").mapInArrow(run, "kind byte, code long, n long")
     return parts.groupBy("kind", "code").agg(F.sum("n").alias("n"))
@@ -208,7 +258,7 @@ def frequent_words(counts: DataFrame, limit: int = TOP_WORDS) -> tuple[Words, in
             bar = n
             break
     keys, numbers = _arrays(words.filter(F.col("n") > bar))
-    return Words(keys, numbers, tokens, kinds), bar
+    return Words(keys, _small(numbers), tokens, kinds), bar
 
 
 def shard_count(counts: DataFrame, entries: int = SHARD_ENTRIES) -> int:
@@ -232,7 +282,7 @@ def _trie_pass(docs: DataFrame, shard: int, shards: int, trie: Trie) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(trie)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=SCORE_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(_scores(text_list(batch.column("text")), held.value, shard, shards))], names=["row", "score"])
 
     part = stage(docs.select("row", "text").mapInArrow(run, "row long, score double"), "lm_part")
@@ -263,7 +313,7 @@ def score(df: DataFrame, training: DataFrame, order: int = ORDER, entries: int =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, finder = held_words.value
         whole = known.tokens + 0.5 * (known.kinds + 1)
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=SCORE_BYTES):
             texts = text_list(batch.column("text"))
             hashes, sizes = word_hashes(texts, BY_SPACE)
             # Each text's words, then its end.

@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -65,6 +67,30 @@ def test_language_model_equals_its_definition(spark, order, entries):
         assert g[4:] == pytest.approx(e[4:], rel=1e-9)
 
 
+def test_language_model_is_held_in_few_bytes():
+    """Every worker of an executor holds the model, so it must not take more than it has to."""
+    codes = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 1 << 19, dtype=np.uint64))
+    counts = np.ones(len(codes), dtype=np.int64)
+    pairs = np.unique(codes & np.uint64(0xFFFF), return_counts=True)
+    assert len(pickle.dumps(ppm.Trie(codes, counts, *pairs), 5)) < 90 * len(codes)  # 189 with all numbers as doubles
+
+
+@pytest.mark.parametrize("limit", [1, 5, 40, 1 << 20])
+def test_tally_joins_equal_keys_before_it_gives_rows_up(limit):
+    rng, tally, got = np.random.default_rng(limit), ppm.Tally(limit), []
+    parts = [rng.integers(0, 30, 25, dtype=np.uint64) for _ in range(20)]
+    for keys in parts:
+        got += tally.add(keys)
+    kept = tally.size
+    got += tally.rest()
+    found = Counter()
+    for keys, n in got:
+        found.update(dict(zip(keys.tolist(), n.tolist(), strict=True)))
+    assert found == Counter(np.concatenate(parts).tolist()) and kept <= limit + 30
+    assert limit < 60 or len(got) == 1  # all 30 keys fit
+    assert not list(ppm.Tally().rest())
+
+
 # --- sharding ---------------------------------------------------------------
 
 def plain_ring(rows, shards, nodes):
