@@ -44,6 +44,7 @@ from casewright.llm.graph import components
 from casewright.session import Workspace, stage
 
 LEAF, BLOCK = 32, 512
+PIECE = 1 << 18  # bytes of text taken together; each takes some ten numbers per byte
 FREQUENCY_BITS = 18
 
 
@@ -201,7 +202,7 @@ def _frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, dtype=np.int64)
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=PIECE):
             for some in shingles(text_list(batch.column("text")), rule.words):
                 np.add.at(counts, (some & np.uint64(size - 1)).astype(np.int64), 1)
         at = np.flatnonzero(counts)
@@ -220,7 +221,7 @@ def _sets(docs: DataFrame, rule: Rule, rare: np.ndarray) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = held.value
-        for batch in all_pieces(batches):
+        for batch in all_pieces(batches, limit=PIECE):
             names, sizes, points, prefixes = [], [], [], []
             for some in shingles(text_list(batch.column("text")), rule.words):
                 ranked = np.unique((level[(some & np.uint64(len(level) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | some)

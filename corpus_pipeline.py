@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from casewright import session
 from casewright.llm import bpe, decontaminate, jaccard_join, suffix_dedup, toxicity
-from casewright.llm.common import table
+from casewright.llm.common import BATCH_BYTES, table
 from casewright.llm.queries import BYTE_VOCABULARY, vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,6 +28,7 @@ PASSAGE_WORDS = 51
 def tune(spark: SparkSession) -> None:
     session.tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,11 +3,12 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from casewright.llm import common, decontaminate, token_files
+from casewright.llm import common, decontaminate, queries, token_files
 from casewright.llm.queries import WORD_VOCABULARY, vocabulary
 from test_operators import ODD, lorem
 
@@ -76,3 +77,23 @@ def test_ids_are_counted_as_they_are_made(spark, tmp_path, id_bytes):
     assert order == sorted(set(ids.tolist()), key=lambda i: (-int((ids == i).sum()), i))
     none, zero = token_files.staged(docs.limit(0), vocabulary(WORD_VOCABULARY), 1, 49_408, str(tmp_path / "none"), id_bytes)
     assert none.count() == 0 and not zero.any()
+
+
+@pytest.mark.parametrize("tune", [corpus_pipeline.tune, lambda spark: queries.op5_jaccard_join(spark, SF_DIR), lambda spark: queries.op10_suffix_dedup(spark, SF_DIR)])
+def test_batches_for_python_are_bounded_in_bytes(spark, tune):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    tune(spark)
+    texts = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    out = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in out) == 1500 and max(r["bytes"] for r in out) < 2 * common.BATCH_BYTES
+
+
+def test_numbers_come_back_in_bounded_batches():
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(2 * common.NUMBER_ROWS + 5))], names=["n"])
+    parts = list(common.slices(batch))
+    assert max(p.num_rows for p in parts) == common.NUMBER_ROWS and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert list(common.slices(batch.slice(0, 0))) == []
